@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from strandlake.llm import exact_dedup, quality_rules
+from strandlake.llm import byte_bpe, chat_format, exact_dedup, quality_rules, source_mix, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_token_files": token_files.op5_token_files,
+    "op8_source_mix": source_mix.op8_source_mix,
+    "op9_byte_bpe": byte_bpe.op9_byte_bpe,
+    "op10_chat_format": chat_format.op10_chat_format,
 }
 
 ORACLE_SQL = {
