@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from strandlake.llm import byte_bpe, chat_format, exact_dedup, quality_rules, source_mix, token_files
+from strandlake.llm import byte_bpe, chat_format, exact_dedup, minhash_dedup, quality_rules, secret_scan, source_mix, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_source_mix": source_mix.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_chat_format": chat_format.op10_chat_format,
