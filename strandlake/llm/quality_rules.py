@@ -69,6 +69,18 @@ def repeated_window_words(w: Column) -> Column:
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, measurements, fail_bits. One scan, no shuffle."""
+    return judged(docs, F.col(id_col), text_col).select(id_col, *MEASURES, "fail_bits")
+
+
+def accepted(docs: DataFrame, policy: str, text_col: str = "text") -> DataFrame:
+    """The rows of docs, unchanged, that the policy accepts."""
+    return judged(docs, F.struct("*").alias("__row"), text_col).where(passes(policy)).select("__row.*")
+
+
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+
+
+def judged(docs: DataFrame, carried: Column, text_col: str) -> DataFrame:
     text = whole(text_col)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
 
@@ -80,8 +92,8 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         )
 
     by_line = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    out = docs.select(F.col(id_col), let(words(text), measured).alias("m"), by_line.alias("l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
-    out = out.select(id_col, "m.n_words", "m.word_chars", "n_symbols", "l.n_lines", "l.n_dup_lines", "m.n_repeat_words")
+    out = docs.select(carried, let(words(text), measured).alias("__m"), by_line.alias("__l"), F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
+    out = out.select(out.columns[0], "__m.n_words", "__m.word_chars", "n_symbols", "__l.n_lines", "__l.n_dup_lines", "__m.n_repeat_words")
     bits = [F.when(F.expr(rule), F.lit(bit)).otherwise(0) for bit, rule in RULES.values()]
     return out.withColumn("fail_bits", sum(bits[1:], bits[0]))
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from strandlake.llm import byte_bpe, chat_format, exact_dedup, minhash_dedup, quality_rules, secret_scan, source_mix, token_files
+from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, quality_rules, secret_scan, source_mix, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_html_extract": html_extract.op2_html_extract,
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
