@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, quality_rules, secret_scan, source_mix, token_files
+from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, secret_scan, source_mix, token_files
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_minhash_dedup": minhash_dedup.op3_minhash_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_token_files": token_files.op5_token_files,
+    "op6_passage_dedup": passage_dedup.op6_passage_dedup,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op8_source_mix": source_mix.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
