@@ -2,7 +2,7 @@
 
 encode() takes the pieces that the pattern finds, each on its own. A piece that is itself a token is one
 id. Any other starts as single bytes in a linked list; the merge rank of each adjacent pair goes to the
-bucket of that rank, which holds list positions. Three levels of 64-way bitmaps tell by find-first-set
+bucket of that rank, which holds list positions. Two levels of 256-way bitmaps tell by find-first-set
 which rank is next; entries whose pair has changed meanwhile are skipped. Each merge makes at most two new
 entries, so a piece of n bytes takes about n log n steps however long it is.
 
@@ -14,6 +14,7 @@ never recognised: their strings are ordinary text.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -27,47 +28,13 @@ from strandlake.llm.memo import Memo
 from strandlake.llm.text import table
 from strandlake.session import spread
 
-#: Words a worker remembers, twice over; documents handled together.
-MEMO_WORDS, BATCH = 400_000, 256
-
-
-class RankQueue:
-    """Positions by rank: push in any order, pop the smallest rank's leftmost position."""
-
-    def __init__(self, n_ranks: int):
-        self.leaf = [0] * (n_ranks // 64 + 1)
-        self.mid = [0] * (n_ranks // 4096 + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.leaf[rank >> 6] |= 1 << (rank & 63)
-            self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        a = (self.top & -self.top).bit_length() - 1
-        word = self.mid[a]
-        b = a << 6 | (word & -word).bit_length() - 1
-        word = self.leaf[b]
-        rank = b << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.leaf[b] &= self.leaf[b] - 1
-            if not self.leaf[b]:
-                self.mid[a] &= self.mid[a] - 1
-                if not self.mid[a]:
-                    self.top &= self.top - 1
-        return rank, position
+#: Words a worker remembers, twice over; documents in one output batch.
+MEMO_WORDS, BATCH = 800_000, 256
+
+
+#: A bitmap word covers so many ranks, as a power of two; a second level covers the words.
+SHIFT = 8
+BIT = [1 << k for k in range(1 << SHIFT)]
 
 
 class Codec:
@@ -77,47 +44,86 @@ class Codec:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.pieces = regex.compile(pattern).findall
-        self.queue = RankQueue(len(self.tokens))
-        self.memo = Memo(lambda words: (np.array(self.piece(w.encode()), "<i4").tobytes() for w in words), MEMO_WORDS)
+        self.leaf = [0] * (len(self.tokens) >> SHIFT) + [0]
+        self.byte = [ranks[bytes([k])] for k in range(256)]
+        self.two = [ranks.get(bytes([k >> 8, k & 255]), -1) for k in range(1 << 16)]
+        self.memo = Memo(lambda word: array("i", self.piece(word.encode())).tobytes(), MEMO_WORDS)
 
     def piece(self, piece: bytes) -> list[int]:
         ranks = self.ranks
         if (whole := ranks.get(piece)) is not None:
             return [whole]
-        n = len(piece)
+        n, get, leaf, two, low = len(piece), ranks.get, self.leaf, self.two, (1 << SHIFT) - 1
+        ids = [self.byte[b] for b in piece]  # of the token that begins at i
         end = list(range(1, n + 1))  # the token at i is piece[i : end[i]]; the next one begins at end[i]
         before = list(range(-1, n - 1))
         pair = [-1] * n  # rank of the token at i with the next one
-        push, pop, get = self.queue.push, self.queue.pop, ranks.get
-        for i in range(n - 1):
-            if (r := get(piece[i : i + 2])) is not None:
+        buckets: dict[int, list[int]] = {}  # by rank, heaps of positions
+        top = live = 0  # which words of leaf have bits (none between calls); pairs that can merge
+        for i, (a, b) in enumerate(zip(piece, piece[1:])):
+            if (r := two[a << 8 | b]) >= 0:
                 pair[i] = r
-                push(r, i)
-        while entry := pop():
-            rank, i = entry
+                live += 1
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
+                    leaf[r >> SHIFT] |= BIT[r & low]
+                    top |= BIT[r >> SHIFT]
+        while live:
+            k = (top & -top).bit_length() - 1
+            bits = leaf[k]
+            rank = k << SHIFT | (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                leaf[k] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale
             j = end[i]
-            end[i] = stop = end[j]
-            pair[j] = pair[i] = -1
+            ids[i], end[i], pair[i] = rank, (stop := end[j]), -1
+            live -= 1
+            if pair[j] >= 0:
+                pair[j] = -1
+                live -= 1
             if stop < n:
                 before[stop] = i
                 if (r := get(piece[i : end[stop]])) is not None:
                     pair[i] = r
-                    push(r, i)
+                    live += 1
+                    if r in buckets:
+                        heappush(buckets[r], i)
+                    else:
+                        buckets[r] = [i]
+                        leaf[r >> SHIFT] |= BIT[r & low]
+                        top |= BIT[r >> SHIFT]
             if (k := before[i]) >= 0:
-                pair[k] = -1
+                if pair[k] >= 0:
+                    pair[k] = -1
+                    live -= 1
                 if (r := get(piece[k:stop])) is not None:
                     pair[k] = r
-                    push(r, k)
+                    live += 1
+                    if r in buckets:
+                        heappush(buckets[r], k)
+                    else:
+                        buckets[r] = [k]
+                        leaf[r >> SHIFT] |= BIT[r & low]
+                        top |= BIT[r >> SHIFT]
+        while top:  # only stale entries are left
+            leaf[(top & -top).bit_length() - 1] = 0
+            top &= top - 1
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
+            out.append(ids[i])
             i = end[i]
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, "<i4") for x in self.memo.join([self.pieces(t) for t in texts])]
+        return [np.frombuffer(self.memo.join(self.pieces(t)), "<i4") for t in texts]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

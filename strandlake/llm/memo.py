@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 
-class Memo:
-    """Two generations of at most `limit` entries: when the young one is full it becomes the old one,
-    and entries of the old one move back when they are used, so that frequent words stay."""
+class Memo(dict):
+    """word -> result. Two generations of at most `limit` entries: when the young one is full it becomes the
+    old one, and entries of the old one move back when they are used, so that frequent words stay. Words
+    over `longest` characters are not kept."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable[bytes]], limit: int, longest: int = 64):
+    def __init__(self, compute: Callable[[str], bytes], limit: int, longest: int = 64):
+        super().__init__()
         self.compute, self.limit, self.longest = compute, limit, longest
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def join(self, batches: list[list[str]]) -> list[bytes]:
-        """For each list of words their results, joined."""
-        if len(self.young) > self.limit:
-            self.young, self.old = {}, self.young
-        once: dict[str, bytes] = {}
-        new = []
-        for w in set().union(*batches) - self.young.keys():
-            if (known := self.old.get(w)) is None:
-                new.append(w)
-            else:
-                self.young[w] = known
-        if new:
-            for w, result in zip(new, self.compute(new), strict=True):
-                if len(w) > self.longest:
-                    once[w] = result
-                else:
-                    self.young[w] = result
-        get = self.young.__getitem__ if not once else lambda w: once[w] if w in once else self.young[w]
-        return [b"".join(map(get, b)) for b in batches]
+    def __missing__(self, word: str) -> bytes:
+        if (result := self.old.get(word)) is None:
+            result = self.compute(word)
+        if len(word) <= self.longest:
+            self[word] = result
+        return result
+
+    def join(self, words: list[str]) -> bytes:
+        """The words' results, joined."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, words))
+
+    def known(self, word: str) -> bool:
+        return word in self or word in self.old
