@@ -38,7 +38,8 @@ from strandlake.session import scratch_path, settle
 
 HEAD, TAIL = b"SLTOK001", b"SLTOKEND"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
-BLOCK_IDS, SHARD_IDS, MEMO_WORDS, BATCH = 1 << 16, 1 << 22, 400_000, 256
+BAR = "|"
+BLOCK_IDS, SHARD_IDS, MEMO_WORDS, BATCH = 1 << 16, 1 << 22, 800_000, 256
 
 
 class ShardWriter:
@@ -112,22 +113,39 @@ def read_shard(folder: str, name: str) -> Iterator[tuple[int, np.ndarray]]:
 
 class WordEncoder:
     """Ids of whole texts. The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its white-space-separated words in turn, and frequent words need not be encoded again."""
+    those of its white-space-separated words in turn, and frequent words need not be encoded again. New
+    words go to the tokenizer together, between bars that give one id each; words with a bar go alone."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = Memo(self._words, MEMO_WORDS)
-
-    def _words(self, words: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(words), 4096):
-            for e in self.tokenizer.encode_batch_fast(words[at : at + 4096], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+        self.memo = Memo(lambda word: self._ids([word])[0].tobytes(), MEMO_WORDS)
+        bar = self._ids([BAR])[0]
+        self.bar = int(bar[0]) if len(bar) == 1 else None
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [w for w in new if BAR not in w] if self.bar is not None else []
+        runs = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+        for run, ids in zip(runs, self._ids([f" {BAR} ".join(run) for run in runs]), strict=True):
+            ends = np.append(np.flatnonzero(ids == self.bar), len(ids))
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(run, (ends * 4).tolist(), strict=True):
+                self.memo[word] = raw[at:end]
+                at = end + 4
+        alone = [w for w in new if w not in self.memo]
+        self.memo.update(zip(alone, (x.tobytes() for x in self._ids(alone)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, "<u4") for x in self.memo.join([WORDS(t) for t in texts])]
+        # the tokenizer lower-cases; where no accent can follow a letter, doing so first changes nothing
+        lists = [WORDS(t.lower() if t.isascii() else t) for t in texts]
+        memo = self.memo
+        self._learn([w for w in set().union(*lists) if w not in memo and len(w) <= memo.longest and w not in memo.old])
+        return [np.frombuffer(memo.join(words), "<u4") for words in lists]
 
 
 _encoders: dict[str, WordEncoder] = {}
