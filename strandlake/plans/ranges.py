@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,22 +44,21 @@ def id_partitions(n: Column, parts: int) -> Column:
 
 def merged_ranges(ranges: DataFrame, key: str, gap: int = MERGE_GAP, most: int = MERGE_MOST) -> DataFrame:
     """(key, start_byte, end_byte) -> key, start_byte, end_byte, n: neighbours joined over gaps up to `gap`
-    while the whole stays within `most`. The cap starts anew with each range, so a group is walked in
-    order; overlapping ranges are an error. A group is one file's ranges."""
-    kind = ranges.schema[key].dataType.simpleString()
-
-    def walk(f: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for start, end in f.sort_values(["start_byte", "end_byte"])[["start_byte", "end_byte"]].itertuples(index=False):
-            if start < 0 or end < start or (out and start < out[-1][2]):
-                raise ValueError(f"bad or overlapping range {start}-{end}")
-            if out and start - out[-1][2] <= gap and end - out[-1][1] <= most:
-                out[-1][2:] = [end, out[-1][3] + 1]
-            else:
-                out.append([f[key].iloc[0], start, end, 1])
-        return pd.DataFrame(out, columns=[key, "start_byte", "end_byte", "n"])
-
-    return ranges.groupBy(key).applyInPandas(walk, f"{key} {kind}, start_byte long, end_byte long, n long")
+    while the whole stays within `most`. The cap starts anew with each range, so the ranges of one key (a
+    file) are folded in order; overlapping ranges are an error."""
+    field = lambda *v: F.struct(*(x.cast("long").alias(n) for x, n in zip(v, ("s", "e", "n"), strict=True)))
+    empty = F.expr("CAST(array() AS array<struct<s:bigint,e:bigint,n:bigint>>)")
+
+    def step(out: Column, r: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        bad = (r["s"] < 0) | (r["e"] < r["s"]) | F.coalesce(r["s"] < last["e"], F.lit(False))
+        joins = F.coalesce((r["s"] - last["e"] <= gap) & (r["e"] - last["s"] <= most), F.lit(False))
+        grown = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(field(last["s"], r["e"], last["n"] + 1)))
+        return F.when(bad, F.raise_error(F.lit("bad or overlapping range"))).when(joins, grown).otherwise(F.concat(out, F.array(field(r["s"], r["e"], F.lit(1)))))
+
+    listed = F.array_sort(F.collect_list(field(F.col("start_byte"), F.col("end_byte"), F.lit(1))))
+    folded = ranges.groupBy(key).agg(listed.alias("l")).select(key, F.explode(F.aggregate("l", empty, step)).alias("r"))
+    return folded.select(key, F.col("r.s").alias("start_byte"), F.col("r.e").alias("end_byte"), F.col("r.n").alias("n"))
 
 
 def coverage(fragments: DataFrame, key: str) -> DataFrame:
