@@ -12,7 +12,8 @@ Steps:
    linked to it after exact verification on full sets. Components of these links are found.
 3. The rest: in buckets that still hold several components, members outside the leader's component meet the
    others in blocks. Pairs whose long signature rules out the threshold (4.5 standard deviations below) stop
-   there; the others are verified exactly and components are found again. No pair is dropped by a cap.
+   there; the others are verified on full sets and components are found again. Of the links between one
+   document and one component a single one comes out. No pair is dropped by a cap.
 
 Defined results: documents without words are their own component. A null id is not linked. Rows that share
 an id are one node. An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -38,7 +39,7 @@ WIDTH, PERCENT = 2, 80
 BANDS, ROWS = 32, 4
 #: Coordinates of the long signature, one byte of each is kept; least estimate that goes on to verification.
 LONG, LEAST = 512, 0.72
-BLOCK = 1024
+BLOCK = 512
 
 
 def circulant(s: np.ndarray, n: int) -> np.ndarray:
@@ -117,35 +118,69 @@ def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components within a bucket, a outside the leader's, that are still likely.
-
-    members: key, id, component, main (the leader's component), bands, sig. Both sides of a bucket are cut into blocks, and
-    a group holds one block of each. A pair counts in the first band that it shares, so it comes out once.
-    """
-    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if(F.expr("component <> main")) / BLOCK).cast("int").alias("n_out"))
+def blocked(members: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of every bucket that holds several components: members outside the leader's component,
+    and all members, each cut into blocks (i and j) and repeated for every block of the other side."""
+    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if(F.expr("component <> main")) / BLOCK).cast("int").alias("n_out")).where("n_out > 0")
     m = members.join(counts, "key")
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    columns = ["key", "i", "j", "id", "component", "band", "bands", "sig"]
-    outside = m.where("component <> main").withColumn("i", block("n_out")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1))).select(*columns)
-    others = m.withColumn("j", block("n_all")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_out") - 1))).select(*columns).toDF(*columns)
-
-    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(x) and len(y):
-            band = int(x.band.iloc[0])
-            bx, by = np.stack(x.bands.to_list()), np.stack(y.bands.to_list())
-            sx, sy = (np.frombuffer(b"".join(f.sig), np.uint8).reshape(-1, LONG) for f in (x, y))
-            ix, iy, cx, cy = x.id.to_numpy(), y.id.to_numpy(), x.component.to_numpy(), y.component.to_numpy()
-            for k in range(len(x)):
-                ok = (cy != cx[k]) & ~(by[:, :band] == bx[k, :band]).any(axis=1)
-                at = np.flatnonzero(ok)
-                if len(at):
-                    at = at[((sy[at] == sx[k]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= LEAST]
-                    found += [(min(ix[k], v), max(ix[k], v)) for v in iy[at]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return outside.groupBy("key", "i", "j").cogroup(others.groupBy("key", "i", "j")).applyInPandas(meet, "a long, b long").distinct()
+    outside = m.where("component <> main").withColumn("i", block("n_out")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
+    others = m.withColumn("j", block("n_all")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_out") - 1)))
+    columns = ["key", "i", "j", *columns]
+    return outside.select(*columns), others.select(*columns).toDF(*columns)
+
+
+def likely_partners(x: pd.DataFrame, y: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of x the rows of y in other components that its signature does not rule out. A pair
+    counts in the first band that it shares, so it comes up once."""
+    if not len(x) or not len(y):
+        return
+    band = int(x.band.iloc[0])
+    bx, by = np.stack(x.bands.to_list()), np.stack(y.bands.to_list())
+    sx, sy = (np.frombuffer(b"".join(f.sig), np.uint8).reshape(-1, LONG) for f in (x, y))
+    cx, cy = x.component.to_numpy(), y.component.to_numpy()
+    for k in range(len(x)):
+        at = np.flatnonzero((cy != cx[k]) & ~(by[:, :band] == bx[k, :band]).any(axis=1))
+        if len(at):
+            at = at[((sy[at] == sx[k]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= LEAST]
+            if len(at):
+                yield k, at
+
+
+def mark(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+    """key and id of the rows that have a likely partner."""
+    found: set[int] = set()
+    for k, at in likely_partners(x, y):
+        found.add(x.id.iloc[k])
+        found.update(y.id.iloc[at])
+    key = int(x.key.iloc[0]) if len(x) else 0
+    return pd.DataFrame({"key": np.full(len(found), key, np.int64), "id": np.array(sorted(found), np.int64)})
+
+
+def link(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+    """Pairs (a, b) that reach the threshold on full sets, one for each row of x and component of y."""
+    found = []
+    for k, at in likely_partners(x, y):
+        mine, linked = x.s.iloc[k], set()
+        for v in at:
+            other = y.component.iloc[v]
+            if other not in linked:
+                both = len(np.intersect1d(mine, y.s.iloc[v], assume_unique=True))
+                if 100 * both >= PERCENT * (len(mine) + len(y.s.iloc[v]) - both):
+                    linked.add(other)
+                    found.append((min(x.id.iloc[k], y.id.iloc[v]), max(x.id.iloc[k], y.id.iloc[v])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components that share a bucket. Signatures go first and mark the rows of a bucket that
+    have a likely partner; full sets follow for those alone."""
+    columns = ["id", "component", "band", "bands", "sig"]
+    out, every = blocked(members, columns)
+    marked, _ = settle(out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(mark, "key long, id long").distinct(), "marked")
+    left = members.join(marked, ["key", "id"], "left_semi").join(sets, "id")
+    out, every = blocked(left, [*columns, "s"])
+    return out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(link, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = member.join(lead_of, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
     mixed = member.where("component <> main").select("band", "key").distinct()
     rest = member.join(mixed, ["band", "key"], "left_semi").join(reps, "id").select("key", "band", "id", "component", "main", "bands", "sig")
-    more, _ = settle(verified(across(rest), sets), "more")
+    more, _ = settle(across(rest, sets), "more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
