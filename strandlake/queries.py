@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.derived import GENOME_SQL, genome, jobs, jobs_sql, read
@@ -322,8 +322,6 @@ def delta_encode(spark, sf):
 @query(f"WITH {IDS_SQL} SELECT bucket_id, row_number() OVER (PARTITION BY bucket_id ORDER BY global_id) AS pos, global_id FROM ids")
 def delta_decode(spark, sf):
     coded = cat.delta_encode(numbered(spark, sf).select("bucket_id", "global_id"), ["bucket_id"])
-    from pyspark.sql import Window
-
     placed = coded.withColumn("pos", F.row_number().over(Window.partitionBy("bucket_id").orderBy("global_id")).cast("long")).drop("global_id")
     return cat.delta_decode(placed, ["bucket_id"], "pos").select("bucket_id", "pos", "global_id")
 
@@ -457,8 +455,6 @@ FRAGMENT_SQL = "f AS (SELECT l_orderkey AS batch_id, sum(l_quantity::BIGINT) OVE
 
 @query(f"WITH {FRAGMENT_SQL}, g AS (SELECT *, start_id = coalesce(lag(end_id) OVER (PARTITION BY batch_id ORDER BY start_id), 0) AS ok FROM f) SELECT batch_id, bool_and(ok) AS contiguous, sum(records)::BIGINT AS records, max(end_id)::BIGINT AS end_id FROM g GROUP BY 1")
 def fragment_coverage(spark, sf):
-    from pyspark.sql import Window
-
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate").rowsBetween(Window.unboundedPreceding, 0)
     n = F.col("l_quantity").cast("long")
     f = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("batch_id"), (F.sum(n).over(w) - n + F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("start_id"), F.sum(n).over(w).alias("end_id"), n.alias("records"))
@@ -477,12 +473,21 @@ def guide_batches(spark, sf):
     return ranges.batches(scan.target_ids(unique(spark, sf)), ["job_id"], ["target_id"], 5).select("job_id", "target_id", "batch")
 
 
-@query()
-def merge_ranges(spark, sf):
-    from pyspark.sql import Window
+SPAN_SQL = """span AS (SELECT l_orderkey, size, gap, sum(size + gap) OVER w AS e, row_number() OVER w AS rn
+ FROM (SELECT *, floor(l_extendedprice)::BIGINT * 100 AS size, l_partkey * 500 AS gap FROM lineitem)
+ WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING)),
+base AS (SELECT l_orderkey, rn, (e - size)::BIGINT AS s, e::BIGINT AS e FROM span)"""
+JOINS_SQL = f"b.s - w.e <= {ranges.MERGE_GAP} AND b.e - w.s <= {ranges.MERGE_MOST}"
 
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, 0)
-    size, gap = F.col("l_extendedprice").cast("long") * 100, F.col("l_partkey") * 500
+
+@query(
+    f"WITH RECURSIVE {SPAN_SQL}, walk AS (SELECT l_orderkey, rn, s, e, 1 AS g FROM base WHERE rn = 1"
+    f" UNION ALL SELECT b.l_orderkey, b.rn, CASE WHEN {JOINS_SQL} THEN w.s ELSE b.s END, b.e, CASE WHEN {JOINS_SQL} THEN w.g ELSE w.g + 1 END FROM walk w JOIN base b ON b.l_orderkey = w.l_orderkey AND b.rn = w.rn + 1)"
+    " SELECT l_orderkey, s AS start_byte, max(e) AS end_byte, count(*) AS n FROM walk GROUP BY l_orderkey, s, g"
+)
+def merge_ranges(spark, sf):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").rowsBetween(Window.unboundedPreceding, 0)
+    size, gap = F.floor("l_extendedprice").cast("long") * 100, F.col("l_partkey") * 500
     f = read(spark, sf, "lineitem").select("l_orderkey", (F.sum(size + gap).over(w) - size).alias("start_byte"), F.sum(size + gap).over(w).alias("end_byte"))
     return ranges.merged_ranges(f, "l_orderkey")
 
