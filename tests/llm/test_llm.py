@@ -201,6 +201,60 @@ def test_passages(docs, plain):
     assert passage_dedup.repeated_passages(empty(docs)).count() == 0
 
 
+def test_passages_between_holders(spark):
+    """A passage of two documents whose every run of words also stands in documents before and after them."""
+    g = random.Random(12)
+    p = [f"w{k}" for k in range(60)]
+    noise = lambda k, n: " ".join(f"n{k}x{g.randrange(10**6)}" for _ in range(n))
+
+    def broken():
+        at, out = g.randrange(10), list(p)
+        for k in range(at, 60, 12):
+            out[k] = f"c{g.randrange(10**6)}"
+        return " ".join(out)
+
+    rows = [(k, f"{noise(k, 30)} {broken()} {noise(k, 30)}") for k in [*range(150), *range(200, 350)]]
+    rows += [(k, f"{noise(k, 30)} {' '.join(p)} {noise(k, 30)}") for k in (160, 161)]
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert (160, 161) in {(x.doc_id, x.match_id) for x in got}
+
+
+def test_anchors():
+    """Texts with RUN shingles in a row in common share an anchor, whatever stands around them."""
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        run = rng.integers(0, 2**63, passage_dedup.RUN).astype(np.uint64)
+        keys = []
+        for _ in range(2):
+            before, after = (rng.integers(0, 2**63, rng.integers(30, 60)).astype(np.uint64) for _ in range(2))
+            k, places = passage_dedup.anchors(np.concatenate([before, run, after]))
+            keys.append({int(v) for v, at in zip(k, places, strict=True) if len(before) <= at <= len(before) + passage_dedup.RUN - passage_dedup.GRAM})
+        assert keys[0] & keys[1]
+
+
+def test_passage_recall(spark):
+    """Edited passages of 50 to 80 words, similar by 0.8 or more by brute force, are all found."""
+    g = random.Random(13)
+    word = lambda: f"v{g.randrange(10**9)}"
+    rows, similar = [], {}
+    for k in range(400):
+        p = [word() for _ in range(g.randint(50, 80) if k else 50)]
+        q = list(p)
+        for _ in range(g.randint(1, 2)):
+            at, kind = g.randrange(len(q)), g.randrange(3)
+            q[at : at + (kind != 1)] = [word()] * (kind != 2)
+        if not k:
+            q = [*p[:2], word(), *p[3:]]
+        a, b = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (p, q))
+        similar[k] = len(q) >= 50 and len(a & b) >= 0.8 * len(a | b)
+        for n, w in enumerate((p, q)):
+            rows.append((2 * k + n, " ".join([*(word() for _ in range(20 * (k % 2))), *w, *(word() for _ in range(15))])))
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {k for k, s in similar.items() if s} <= {x.doc_id // 2 for x in got}
+    assert sum(similar.values()) > 150
+    assert all(x.doc_id // 2 == x.match_id // 2 and x.similarity >= 0.8 and x.end_word - x.start_word >= 50 for x in got)
+
+
 def test_compact_windows():
     """Each window holds exactly the subsequences that share its least hash."""
     rng = np.random.default_rng(3)
