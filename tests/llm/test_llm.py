@@ -294,6 +294,20 @@ def test_randomness_battery(spark):
     assert len([k for k in found if k >= 200]) <= 2
 
 
+def test_randomness_behind_names_and_paths(spark):
+    g = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, where = [], {}
+    for k in range(240):
+        key = "".join(g.choice(letters + ("+/" if k % 4 == 1 else "-_" if k % 4 == 3 else "")) for _ in range(64))
+        before, after = (("session=", " end"), ("AWS_SECRET_ACCESS_KEY=", "\n"), ("https://x.org/a?sig=", "&b=1"), ("get /v1/a-b/", " now"))[k % 4]
+        rows.append((k, "é " + before + key + after))
+        where[k] = (2 + len(before), 2 + len(before) + 64)
+    out = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    right = [k % 4 for x in out for k in [x.doc_id] if where[k] in {(s.start, s.end) for s in x.found if s.kind == 3}]
+    assert all(right.count(kind) > 48 for kind in range(4))
+
+
 def water(sizes):
     names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
