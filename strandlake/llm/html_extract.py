@@ -36,18 +36,32 @@ TRAINING_PAGES = 400
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+HIDDEN = re.compile(r"hidden|display\s*:\s*none", re.I)
+ANY_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 #: Elements whose content is no text, that hold no content, and that flow within a line.
-RAW = frozenset("script style template noscript svg iframe object canvas textarea select button math title head".split())
+RAW = frozenset("script style template noscript svg iframe object canvas textarea select button title head annotation annotation-xml".split())
 RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
-VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+VOID = frozenset("area base br col embed hr img input link meta source track wbr param mspace".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover mmultiscripts mpadded mphantom menclose merror mtable mtr mtd semantics annotation annotation-xml".split())
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BARRIER = frozenset("ul ol dl table article section div main aside nav header footer form body html blockquote td th".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 BLOCK_STARTS = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+def hides(attributes: str) -> bool:
+    """Whether the attributes of a tag hide it: hidden, display:none in style, or aria-hidden=true."""
+    if not HIDDEN.search(attributes):
+        return False
+    for m in ANY_ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or (name == "style" and NO_DISPLAY.search(value)) or (name == "aria-hidden" and value.strip().rstrip("/").lower() == "true"):
+            return True
+    return False
+
+
 @dataclass(slots=True)
 class Block:
     text: str
@@ -83,6 +97,8 @@ def leaf_blocks(page: str) -> list[Block]:
     at, n, lower = 0, len(page), None
     while at < n:
         m = TOKEN.search(page, at)
+        if stack and stack[-1][0] == "head" and page[at : m.start() if m else n].strip():
+            close(len(stack) - 1)  # text ends the head, as does any element that has no place there
         if m is None:
             if not skip:
                 parts.append(page[at:])
@@ -102,6 +118,10 @@ def leaf_blocks(page: str) -> list[Block]:
             if k is not None and not (tag in INLINE and any(t in BARRIER for t, _ in stack[k:])):
                 close(k)
             continue
+        if stack and tag not in HEAD and (stack[-1][0] == "head" or tag == "body"):
+            k = next((k for k, (t, _) in enumerate(stack) if t == "head"), None)
+            if k is not None:
+                close(k)
         if tag in VOID:
             if tag in ("br", "hr"):
                 parts.append("\n")
@@ -118,7 +138,7 @@ def leaf_blocks(page: str) -> list[Block]:
         attributes = m[3]
         entry = tag
         if attributes:
-            if HIDDEN.search(attributes):
+            if hides(attributes):
                 entry = HIDE
             else:
                 entry = " ".join([tag, *sorted({w for a in ATTRIBUTE.finditer(attributes) for w in name_words(a[2] or a[3] or a[4] or "")})])

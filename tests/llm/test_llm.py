@@ -417,6 +417,18 @@ def test_html(spark):
     assert len(got) == 6
 
 
+def test_html_hidden_head_math():
+    model = html_extract.fitted()
+    story = "A long first paragraph of the story stands here. " * 3
+    for attributes in ('class="overflow-hidden"', 'aria-hidden="false"', 'id="the-hidden-valley"', 'title="hidden gems"', 'data-style="display:none"'):
+        assert model.main_text(f"<html><body><article><div {attributes}><p>{story}</p></div></article></body></html>") == story.strip()
+    for attributes in ("hidden", 'hidden=""', 'style="color:red; display : none"', "aria-hidden=true", 'class="a" HIDDEN'):
+        assert model.main_text(f"<body><article><p>{story}</p><div {attributes}><p>Not shown.</p></div></article></body>") == story.strip()
+    for start in ("<html><head><title>T</title><body>", "<head><meta charset=utf-8><title>T</title>", "<head><template><p>no</p></template><body>"):
+        assert model.main_text(f"{start}<article><p>{story}</p></article>") == story.strip()
+    assert model.main_text(f"<article><p>{story}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>") == f"{story}x=2 holds."
+
+
 def test_html_held_out():
     model = html_extract.fitted()
     right = [model.decode(blocks) == labels for blocks, labels in html_extract.training_pages(200, seed=99)]
