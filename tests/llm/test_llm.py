@@ -180,11 +180,15 @@ def test_shard_round_trip(tmp_path):
 
 def test_passages(docs, plain):
     w = {k: WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t)) for k, t in plain.items()}
-    where = defaultdict(set)
+    where, ends = defaultdict(set), {}
+    exact = set()
     for k, x in w.items():
         for i in range(len(x) - 49):
-            where[tuple(x[i : i + 50])].add(k)
-    exact = set().union(*(s for s in where.values() if len(s) > 1))
+            run = tuple(x[i : i + 50])
+            where[run].add(k)
+            if i - ends.setdefault((k, run), i) >= 50:
+                exact.add(k)  # repeats inside the text
+    exact |= set().union(*(s for s in where.values() if len(s) > 1))
     rows = passage_dedup.repeated_passages(docs).collect()
     assert exact <= {x.doc_id for x in rows}
     near = {8, *range(len(TEXTS), len(TEXTS) + 4), 12, 13}
@@ -219,17 +223,87 @@ def test_passages_between_holders(spark):
     assert (160, 161) in {(x.doc_id, x.match_id) for x in got}
 
 
-def test_anchors():
-    """Texts with RUN shingles in a row in common share an anchor, whatever stands around them."""
-    rng = np.random.default_rng(8)
-    for _ in range(200):
-        run = rng.integers(0, 2**63, passage_dedup.RUN).astype(np.uint64)
-        keys = []
+def test_shared_windows():
+    """Texts with RUN shingles in a row in common share a key there, whatever stands around them; a text's windows are
+    those of all its subsequences, by brute force."""
+    g = random.Random(8)
+    word = lambda: f"v{g.randrange(10**9)}"
+    for _ in range(100):
+        run, keys = [word() for _ in range(passage_dedup.RUN + 4)], []
         for _ in range(2):
-            before, after = (rng.integers(0, 2**63, rng.integers(30, 60)).astype(np.uint64) for _ in range(2))
-            k, places = passage_dedup.anchors(np.concatenate([before, run, after]))
-            keys.append({int(v) for v, at in zip(k, places, strict=True) if len(before) <= at <= len(before) + passage_dedup.RUN - passage_dedup.GRAM})
+            before, after = ([word() for _ in range(g.randint(30, 60))] for _ in range(2))
+            t = " ".join([*before, *run, *after]).encode()
+            b = passage_dedup.Batch(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
+            keys.append({k for k, c in zip(b.key.tolist(), b.c.tolist(), strict=True) if len(before) <= c < len(before) + passage_dedup.RUN})
         assert keys[0] & keys[1]
+    packed = [passage_dedup.ranked(b.x, q) for q in range(passage_dedup.HASHES)]
+    seen = {}
+    for c, lo, hi in zip(b.c.tolist(), b.l.tolist(), b.r.tolist(), strict=True):
+        for i in range(lo, hi + 1):
+            for j in range(i + passage_dedup.RUN - 1, hi + 1):
+                least = tuple(int(p[i : j + 1].argmin()) + i for p in packed)
+                if i <= c <= j and least[0] == c:
+                    seen.setdefault((lo, hi, c), set()).add(least)
+    for i in range(len(b.x) - passage_dedup.RUN + 1):
+        least = tuple(int(p[i : i + passage_dedup.RUN].argmin()) + i for p in packed)
+        assert any(least in v and lo <= i and i + passage_dedup.RUN - 1 <= hi for (lo, hi, _), v in seen.items())
+
+
+def test_passages_between_ends(spark):
+    """A passage of two documents in the middle whose inner words also stand in the first and the last document."""
+    g = random.Random(15)
+    word = lambda: f"v{g.randrange(10**9)}"
+    noise = lambda: [word() for _ in range(25)]
+    rows = []
+    for k in range(300):
+        p = [word() for _ in range(60)]
+        q = list(p)
+        if k % 2:
+            q[g.randrange(60)] = word()
+        rows += [(k, p[8:53]), (1000 + k, p), (2000 + k, q), (3000 + k, p[8:53])]
+    docs = spark.createDataFrame([(i, " ".join([*noise(), *w, *noise()])) for i, w in rows], "doc_id long, text string")
+    got = passage_dedup.repeated_passages(docs).collect()
+    classes = defaultdict(set)
+    for x in got:
+        assert x.doc_id % 1000 == x.match_id % 1000
+        classes[x.class_id].update((x.doc_id, x.match_id))
+    together = [any({1000 + k, 2000 + k} <= c for c in classes.values()) for k in range(300)]
+    assert all(together[::2])
+    assert sum(together[1::2]) >= 147
+
+
+def test_passages_within_a_text(spark):
+    g = random.Random(16)
+    word = lambda: f"v{g.randrange(10**9)}"
+    p, q = [word() for _ in range(60)], [word() for _ in range(40)]
+    text = " ".join([*q, *p, *(word() for _ in range(20)), *p, *q[:30]])
+    got = passage_dedup.repeated_passages(spark.createDataFrame([(7, text), (8, " ".join(["buy"] * 3000)), (None, text), (9, None), (9, "")], "doc_id long, text string")).collect()
+    assert {(40, 100, 120, 180), (120, 180, 40, 100)} <= {(x.start_word, x.end_word, x.match_start, x.match_end) for x in got if x.doc_id == 7}
+    assert {x.doc_id for x in got} == {7, 8}
+    assert all(x.match_id == x.doc_id and (x.end_word <= x.match_start or x.match_end <= x.start_word) for x in got)
+    assert len(got) < 200
+
+
+def test_passages_of_copies(spark):
+    """Copies of a text and rows that share an id."""
+    g = random.Random(17)
+    word = lambda: f"v{g.randrange(10**9)}"
+    p = [word() for _ in range(60)]
+    text = lambda: " ".join([*(word() for _ in range(15)), *p, *(word() for _ in range(15))])
+    same, other = text(), text()
+    rows = [(k, same, 1, 1) for k in (5, 3, 4, 4)] + [(6, other, 1, 1), (6, text(), 1, 1)]
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string, key int, t int")).collect()
+    assert {x.doc_id for x in got} == {3, 4, 5, 6}
+    assert {(x.doc_id, x.match_id) for x in got if x.similarity == 1 and x.start_word == 0} == {(3, 5), (4, 3), (5, 3)}
+    assert {x.class_id for x in got} == {3}
+
+
+def test_many_keys_need_no_map(spark, monkeypatch):
+    g = random.Random(18)
+    p = [f"v{g.randrange(10**9)}" for _ in range(60)]
+    rows = [(k, " ".join([*(f"v{g.randrange(10**9)}" for _ in range(30)), *p])) for k in range(3)]
+    monkeypatch.setattr(passage_dedup, "MOST_KEYS", 0)
+    assert {x.doc_id for x in passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0, 1, 2}
 
 
 def test_passage_recall(spark):
@@ -257,16 +331,16 @@ def test_passage_recall(spark):
 
 def test_compact_windows():
     """Each window holds exactly the subsequences that share its least hash."""
-    rng = np.random.default_rng(3)
-    h = rng.integers(0, 1000, 300).astype(np.uint32)
-    least = passage_dedup.least_positions(h, 46)
-    assert all(h[i : i + 46].argmin() + i == p for i, p in enumerate(least))
+    x = np.random.default_rng(3).integers(0, 2**63, 300).astype(np.uint64)
+    packed = passage_dedup.ranked(x, 0)
+    least = passage_dedup.least_places(packed, 46)
+    assert all(packed[i : i + 46].argmin() + i == p for i, p in enumerate(least))
     places = np.unique(least)
-    left, right = passage_dedup.cartesian_windows(h, places, len(h) - 1)
+    left, right = passage_dedup.tree_windows(packed, places)
     for p, a, b in zip(places, left, right, strict=True):
-        assert h[a : b + 1].min() == h[p]
-        assert a == 0 or h[a - 1] <= h[p]
-        assert b == len(h) - 1 or h[b + 1] < h[p]
+        assert packed[a : b + 1].min() == packed[p]
+        assert a == 0 or packed[a - 1] < packed[p]
+        assert b == len(x) - 1 or packed[b + 1] < packed[p]
 
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
