@@ -6,9 +6,14 @@ its own text (length, share of link text, punctuation, marks of boilerplate). Th
 text and boilerplate; Viterbi gives the best sequence of the page, and the main blocks, joined by one space,
 are its text.
 
-The field is trained on labelled pages that training_pages() lays out with a fixed seed: articles of several
-markups among menus, headers, footers, sidebars, notices, adverts, forms and reader comments, with long
-boilerplate and short paragraphs, so that places as well as texts are told apart. TRAINING_PAGES bounds it.
+Besides, each block knows its container (the innermost div, section, cell and the like) and how much of the page's
+text stands in it, so that an article without telling tags or names is found by its weight.
+
+The field is trained on labelled pages of two kinds. training_pages() lays out TRAINING_PAGES with a fixed seed:
+articles of several markups among menus, headers, footers, sidebars, notices, adverts, forms and reader comments,
+with long boilerplate and short paragraphs, most of them under names that say nothing. labelled_pages() takes at most
+LABELLED_PAGES of the given pages that mark their main text by one `<article>`, by least hash, and puts each in as it
+is and once more with article and main renamed to div and without class, id and role.
 
 Defined results: a null or empty page, and one without main text, give "". Scripts, styles, templates,
 comments and form controls are no text. Repeated rows are each extracted. An empty table gives an empty
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.text import table
 from strandlake.session import spread
 
-TRAINING_PAGES = 400
+TRAINING_PAGES, LABELLED_PAGES = 400, 200
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -41,8 +46,9 @@ ANY_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 #: Elements whose content is no text, that hold no content, and that flow within a line.
-RAW = frozenset("script style template noscript svg iframe object canvas textarea select button title head annotation annotation-xml".split())
-RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
+RAW = frozenset("script style template svg iframe canvas textarea select button title head annotation annotation-xml".split())
+RAW_TEXT = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in "script style textarea title iframe".split()}
+CONTAINERS = frozenset("article aside body center div footer form header main nav section td th".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param mspace".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle mover munder munderover mmultiscripts mpadded mphantom menclose merror mtable mtr mtd semantics annotation annotation-xml".split())
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -67,13 +73,14 @@ class Block:
     text: str
     path: tuple[str, ...]
     links: int  # characters of link text
-    before: int = field(default=0)
+    home: int = 0  # number of its container
+    mass: float = 1.0  # text of its container against the container that has most
 
 
 def leaf_blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space within each turned into single spaces."""
     blocks: list[Block] = []
-    stack: list[tuple[str, str]] = []  # (tag, its entry in the path)
+    stack: list[tuple[str, str, int]] = []  # (tag, its entry in the path, number of its container)
     parts: list[str] = []
     links = skip = 0  # skip: open elements whose content is no text
     link_open = False
@@ -83,18 +90,18 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html_chars.unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(text, tuple(e for t, e in stack if t not in INLINE), links))
+                blocks.append(Block(text, tuple(e for t, e, _ in stack if t not in INLINE), links, stack[-1][2] if stack else 0))
             parts.clear()
         links = 0
 
     def close(upto: int) -> None:
         nonlocal skip, link_open
-        for tag, entry in stack[upto:]:
+        for tag, entry, _ in stack[upto:]:
             skip -= tag in RAW or entry == HIDE
             link_open &= tag != "a"
         del stack[upto:]
 
-    at, n, lower = 0, len(page), None
+    at, n, homes = 0, len(page), 0
     while at < n:
         m = TOKEN.search(page, at)
         if stack and stack[-1][0] == "head" and page[at : m.start() if m else n].strip():
@@ -115,11 +122,11 @@ def leaf_blocks(page: str) -> list[Block]:
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
             if tag not in INLINE:
                 flush()
-            if k is not None and not (tag in INLINE and any(t in BARRIER for t, _ in stack[k:])):
+            if k is not None and not (tag in INLINE and any(t in BARRIER for t, _, _ in stack[k:])):
                 close(k)
             continue
         if stack and tag not in HEAD and (stack[-1][0] == "head" or tag == "body"):
-            k = next((k for k, (t, _) in enumerate(stack) if t == "head"), None)
+            k = next((k for k, (t, _, _) in enumerate(stack) if t == "head"), None)
             if k is not None:
                 close(k)
         if tag in VOID:
@@ -141,17 +148,23 @@ def leaf_blocks(page: str) -> list[Block]:
             if hides(attributes):
                 entry = HIDE
             else:
-                entry = " ".join([tag, *sorted({w for a in ATTRIBUTE.finditer(attributes) for w in name_words(a[2] or a[3] or a[4] or "")})])
+                entry = " ".join([tag, *sorted({w for a in ATTRIBUTE.finditer(attributes) for name in (a[2] or a[3] or a[4] or "").split() for w in part_words(name)})])
             if attributes.endswith("/") and tag not in INLINE and tag not in BLOCK_STARTS:
                 continue
         if tag in RAW_TEXT:
-            lower = page.lower() if lower is None else lower
-            end = lower.find(f"</{tag}", at)
-            at = n if end < 0 else end
-        stack.append((tag, entry))
+            end = RAW_TEXT[tag].search(page, at)
+            at = end.start() if end else n
+        homes += tag in CONTAINERS
+        stack.append((tag, entry, homes if tag in CONTAINERS else stack[-1][2] if stack else 0))
         skip += tag in RAW or entry == HIDE
         link_open |= tag == "a"
     flush()
+    weight: dict[int, int] = {}
+    for b in blocks:
+        weight[b.home] = weight.get(b.home, 0) + len(b.text) - b.links
+    most = max(weight.values(), default=0)
+    for b in blocks:
+        b.mass = weight[b.home] / most if most else 1.0
     return blocks
 
 
@@ -159,13 +172,16 @@ HIDE = "(hidden)"
 _names: dict[str, list[str]] = {}
 
 
-def name_words(value: str) -> list[str]:
-    """Lower-case words of a class or id attribute: "siteFooter-top2" gives site, footer, top."""
-    if value not in _names:
+def part_words(name: str) -> list[str]:
+    """Words of one class or id that name a part of a page: "siteFooter-top2" gives footer. Where other words stand
+    beside them ("side-effects"), they are marked as doubtful: ~side."""
+    if name not in _names:
         if len(_names) > 10_000:
             _names.clear()
-        _names[value] = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)]
-    return _names[value]
+        words = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", name)]
+        doubt = "" if all(w in PART_OF or w in NEUTRAL for w in words) else "~"
+        _names[name] = [doubt + w for w in words if w in PART_OF]
+    return _names[name]
 
 
 #: Words that name a part of a page in class, id and role attributes, by the part.
@@ -173,13 +189,14 @@ PARTS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs toc pagination pager tabs skip".split(),
     "header": "header masthead topbar logo branding hero".split(),
     "footer": "footer foot bottom colophon copyright legal".split(),
-    "side": "sidebar side aside widget rail related recommended more popular trending tags share social author bio complementary".split(),
+    "side": "sidebar side aside widget rail related recommended popular trending tags share social author bio complementary".split(),
     "notice": "notice cookie cookies consent gdpr alert popup modal overlay toast message warning disclaimer announcement subscribe newsletter paywall".split(),
     "advert": "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sponsors promoted adsense banner".split(),
     "form": "form search login signup contact feedback poll".split(),
     "comment": "comment comments discussion replies reply respond disqus thread reviews responses".split(),
     "main": "article content main post entry story body text page blog prose articlebody maincontent".split(),
 }
+NEUTRAL = frozenset("site page x box wide container wrapper wrap block area list item items inner outer top left right section row col column global primary secondary first last js widget wp the id".split())
 REGIONS = frozenset("article aside footer form header main nav".split())
 PART_OF = {w: part for part, ws in PARTS.items() for w in ws}
 TRAITS = re.compile(r"(©|\ball rights reserved\b|\bcopyright\b)|(\bcookies?\b|\bprivacy policy\b)|(\bsubscribe\b|\bsign (?:up|in)\b|\blog in\b|\bread more\b|\bshare\b|\bclick here\b)|(\breply\b|\bsays:|\bposted by\b)", re.I)
@@ -189,7 +206,7 @@ def path_features(path: tuple[str, ...]) -> list[str]:
     out, nearest = [], []
     for entry in path:
         tag, *names = entry.split(" ")
-        here = [f"part:{PART_OF[w]}" for w in names if w in PART_OF] + [f"region:{tag}"] * (tag in REGIONS)
+        here = [f"part:{PART_OF[w]}" if w in PART_OF else f"maybe:{PART_OF[w[1:]]}" for w in names] + [f"region:{tag}"] * (tag in REGIONS)
         nearest = here or nearest
         out += [f"in:{tag}", *here]
     if path:
@@ -200,10 +217,10 @@ def path_features(path: tuple[str, ...]) -> list[str]:
 def text_features(block: Block) -> list[str]:
     text = block.text
     n = len(text)
-    out = ["bias", f"chars:{min(n.bit_length(), 10)}", f"links:{min(4, 4 * block.links // n)}"]
+    out = ["bias", f"chars:{min(n.bit_length(), 10)}", f"links:{min(4, 4 * block.links // n)}", f"mass:{int(4 * block.mass)}"]
     if text[-1] in ".!?":
         out.append("sentence")
-    out += [f"trait:{k}" for k in sorted({m.lastindex for m in TRAITS.finditer(text[:2000])})] if n < 2000 else []
+    out += [f"trait:{k}" for k in sorted({m.lastindex for m in TRAITS.finditer(text)})]
     return out
 
 
@@ -294,8 +311,8 @@ def train(pages: list[tuple[list[Block], list[bool]]], rounds: int = 150, rate:
     return Field({f: float(w[k]) for f, k in names.items()}, move.tolist())
 
 
-def training_pages(n: int = TRAINING_PAGES, seed: int = 11) -> Iterator[tuple[list[Block], list[bool]]]:
-    """Labelled pages. Text of the main part begins each block with a mark that is taken off again."""
+def training_pages(n: int = TRAINING_PAGES, seed: int = 11, telling: float = 0.7) -> Iterator[tuple[list[Block], list[bool]]]:
+    """Labelled pages; telling: share of names that say what part they are. Text of the main part begins each block with a mark that is taken off again."""
     r = random.Random(seed)
     mark = "⁣"
 
@@ -305,6 +322,8 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11) -> Iterator[tuple[li
 
     def name(part: str) -> str:
         k = r.choice(("class", "class", "id"))
+        if r.random() > telling:
+            return r.choice(("", f' {k}="{r.choice(("c", "css-", "el_", "m", "sc-", "row-", "b"))}{r.randint(1, 99)}"', f' {k}="{r.choice(("wrap", "overflow-hidden", "box left", "clearfix", "panel", "cell", "unit"))}"'))
         return f' {k}="{r.choice(("", "site-", "page_", "x-"))}{r.choice(PARTS[part])}{r.choice(("", "-box", " wide", "_1"))}"'
 
     def menu() -> str:
@@ -340,6 +359,9 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11) -> Iterator[tuple[li
                 out.append(f"<p>{r.choice(('', '<b>', '<a href=#>x</a> '))}{text}" + r.choice(("</p>", "</p>", "<br>")))
             elif kind < 0.83:
                 out.append(f"<h2>{text}</h2>")
+            elif kind < 0.87:
+                odd = f"{r.choice([w for ws in PARTS.values() for w in ws])}-{r.choice(('effects', 'history', 'table', 'note', 'points', 'study'))}"
+                out.append(f'<{r.choice(("div", "section"))} class="{odd}"><p>{text}</p><p>{mark}{words(5, 60)}</p></div></section>')
             elif kind < 0.9:
                 out.append("<ul>" + "".join(f"<li>{mark}{words(2, 15)}</li>" for _ in range(r.randint(1, 4))) + "</ul>")
             elif kind < 0.95:
@@ -349,7 +371,7 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11) -> Iterator[tuple[li
         body = "".join(out)
         if r.random() < 0.3:
             body += r.choice((boiler(), ""))
-        tag = r.choice(("article", "article", "article", "main", "div", "section"))
+        tag = r.choice(("article", "article", "main", "div", "div", "section"))
         names = name("main") if tag in ("div", "section") or r.random() < 0.3 else ""
         return f"<{tag}{names}>{body}</{tag}>"
 
@@ -358,6 +380,9 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11) -> Iterator[tuple[li
         core = main() if r.random() < 0.95 else ""
         if r.random() < 0.3:
             core = f"<main>{core}{boiler() if r.random() < 0.5 else ''}</main>"
+        if r.random() < 0.15:  # laid out by a table
+            before, core, after = (f"<td>{x}</td>" for x in (before, core, after))
+            before, after = f"<table><tr>{before}", f"{after}</tr></table>"
         blocks = leaf_blocks(f"<html><head><title>{words(2, 6)}</title></head><body>{before}{core}{after}</body></html>")
         labels = [mark in b.text for b in blocks]
         for b in blocks:
@@ -375,9 +400,43 @@ def fitted() -> Field:
     return _fields[0]
 
 
+NAMED, RENAMED = re.compile(r"""\s(?:class|id|role)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""", re.I), re.compile(r"<(/?)(?:article|main)\b", re.I)
+
+
+def bare(page: str) -> str:
+    """The page with article and main as div, without class, id and role."""
+    return NAMED.sub("", RENAMED.sub(r"<\1div", page))
+
+
+def in_article(block: Block) -> bool:
+    """Whether the block stands in an article and in no part of it that is none of its text."""
+    tags = [e.split(" ")[0] for e in block.path]
+    return "article" in tags and not {"nav", "aside", "footer", "form"} & set(tags[tags.index("article") :])
+
+
+def labelled_pages(pages: list[str]) -> Iterator[tuple[list[Block], list[bool]]]:
+    """Labelled blocks of pages that have one article, as they are and bare."""
+    for page in pages:
+        blocks = leaf_blocks(page)
+        labels = [in_article(b) for b in blocks]
+        yield blocks, labels
+        plain = leaf_blocks(bare(page))
+        if [b.text for b in plain] == [b.text for b in blocks]:
+            yield plain, labels
+
+
+def fitted_to(pages: DataFrame, html_col: str = "html") -> Field:
+    """The field, trained on TRAINING_PAGES laid out and on LABELLED_PAGES at most of the given pages."""
+    h = F.col(html_col)
+    one = F.regexp_count(h, F.lit("(?i)<article\\b")) == 1
+    rows = pages.where(one).select(h.alias("html")).orderBy(F.xxhash64("html"), "html").limit(LABELLED_PAGES).collect()
+    return train([*training_pages(), *labelled_pages([r.html for r in rows])]) if rows else fitted()
+
+
 def extract(pages: DataFrame, model: Field | None = None, html_col: str = "html") -> DataFrame:
-    """All columns of pages and text. One scan, no shuffle; the model travels with the task."""
-    model = model or fitted()
+    """All columns of pages (one called text is replaced) and text, by a model or the one that fits the given pages.
+    No shuffle; the model travels with the task."""
+    model = model or fitted_to(pages, html_col)
     weights, move = model.weights, model.move
     if "text" in pages.columns:
         pages = pages.drop("text")
