@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both, _ = settle(both, "edges")
+    both, edges_path = settle(both, "edges")
     labels, path = settle(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
     while True:
         told = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("m"))
@@ -29,4 +29,5 @@ def components(edges: DataFrame) -> DataFrame:
             discard(spark, old)
         labels, path = after.drop("before"), after_path
         if done:
+            discard(spark, edges_path)
             return labels

@@ -7,16 +7,18 @@ coordinate k is the least pi(sigma(s) + k). Four coordinates make a band, and do
 are candidates; a pair at the threshold is missed by all bands with probability 5e-8.
 
 Steps:
-1. Equal sets collapse to a class, whose smallest id stands for it from here on.
+1. Equal sets collapse to a class, which is the node from here on. Classes of one id are linked.
 2. Star: in each band bucket the most central member (whose buckets are largest) leads, and the others are
    linked to it after exact verification on full sets. Components of these links are found.
 3. The rest: in buckets that still hold several components, members outside the leader's component meet the
    others in blocks. Pairs whose long signature rules out the threshold (4.5 standard deviations below) stop
    there; the others are verified on full sets and components are found again. Of the links between one
-   document and one component a single one comes out. No pair is dropped by a cap.
+   document and one component a single one comes out. A bucket of more than LARGE members is dealt anew by SUB_BANDS
+   bands of SUB_ROWS further coordinates before that, so that unlike members of a hot bucket do not all meet; a pair
+   at the threshold is missed by all of these with probability 1e-5. No pair is dropped by a cap.
 
-Defined results: documents without words are their own component. A null id is not linked. Rows that share
-an id are one node. An empty table gives an empty result. Other columns are ignored, whatever their names.
+Defined results: documents without words are their own component. A null id is not linked: component_id is null,
+kept is true. Rows that share an id are one document: all their texts are in one component. An empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,13 +35,15 @@ from pyspark.sql import functions as F
 from strandlake.llm.components import components
 from strandlake.llm.shingles import batches, shingles, words
 from strandlake.llm.text import table
-from strandlake.session import settle, spread
+from strandlake.session import discard, settle, spread
 
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS = 32, 4
 #: Coordinates of the long signature, one byte of each is kept; least estimate that goes on to verification.
 LONG, LEAST = 512, 0.72
 BLOCK = 512
+#: Members of a bucket that is dealt anew, and bands for it (of bytes of the long signature beyond the first bands).
+LARGE, SUB_BANDS, SUB_ROWS = 2048, 16, 3
 
 
 def circulant(s: np.ndarray, n: int) -> np.ndarray:
@@ -82,7 +86,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """id and its set, from id and text."""
+    """id, fp (128 bits of the set) and the set, from id and text."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
@@ -90,9 +94,10 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 w, first = words(flat, offsets)
                 sets = [np.unique(shingles(w[a:b], WIDTH)).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
                 ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["id", "s"])
+                fps = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(sets)), fps, pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["id", "fp", "s"])
 
-    return docs.mapInArrow(run, "id long, s array<long>")
+    return docs.mapInArrow(run, "id long, fp binary, s array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -172,9 +177,21 @@ def link(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
+def dealt_anew(members: DataFrame) -> DataFrame:
+    """members with the buckets of more than LARGE members cut by further coordinates."""
+    counts = members.groupBy("key").agg(F.count("*").alias("__n"))
+    counted = members.join(counts, "key")
+    part = F.sequence(F.lit(0), F.lit(SUB_BANDS - 1))
+    large = counted.where(F.col("__n") > LARGE).withColumn("__q", F.explode(part))
+    at = LONG - SUB_BANDS * SUB_ROWS + 1 + F.col("__q") * SUB_ROWS
+    large = large.withColumn("key", F.xxhash64("key", "__q", F.substring("sig", at, F.lit(SUB_ROWS))))
+    return counted.where(F.col("__n") <= LARGE).drop("__n").unionByName(large.drop("__n", "__q"))
+
+
 def across(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between components that share a bucket. Signatures go first and mark the rows of a bucket that
     have a likely partner; full sets follow for those alone."""
+    members, path = settle(dealt_anew(members), "rest")
     columns = ["id", "component", "band", "bands", "sig"]
     out, every = blocked(members, columns)
     marked, _ = settle(out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(mark, "key long, id long").distinct(), "marked")
@@ -185,23 +202,37 @@ def across(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
+    spark, paths = docs.sparkSession, []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df, path = settle(df, name)
+        paths.append(path)
+        return df
+
     every, _ = settle(sketches(docs, id_col, text_col), "sketches")
-    classes, _ = settle(every.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
-    reps = every.join(classes, "fp").where("doc_id = id").groupBy("id").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    reps, _ = settle(reps, "reps")
+    classes = every.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    reps = written(classes.withColumn("id", F.monotonically_increasing_id()), "reps")  # written once, so ids stay
+    ids = reps.select("fp", "id", "first_id")
 
     keyed = reps.select("id", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    keyed, _ = settle(keyed.join(buckets, ["band", "key"]), "buckets")
+    keyed = written(keyed.join(buckets, ["band", "key"]), "buckets")
     central = keyed.groupBy("id").agg(F.sum("n").alias("weight"))
     leads = keyed.join(central, "id").groupBy("band", "key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id")))["id"].alias("id"))
-    leads, _ = settle(leads.select("band", "key", (-F.col("id")).alias("lead")), "leads")
-    led, _ = settle(keyed.join(leads, ["band", "key"]), "led")
+    leads = written(leads.select("band", "key", (-F.col("id")).alias("lead")), "leads")
+    led = written(keyed.join(leads, ["band", "key"]), "led")
 
+    wanted = ids.join(central.select("id"), "id", "left_semi")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets, _ = settle(shingle_sets(texts.join(central.select("id"), "id", "left_semi").select("id", "text")).dropDuplicates(["id"]), "sets")
+    sets = shingle_sets(texts.join(wanted.select(F.col("first_id").alias("id")), "id", "left_semi").select("id", "text"))
+    sets = written(sets.dropDuplicates(["fp"]).drop("id").join(wanted.select("fp", "id"), "fp").select("id", "s"), "sets")
     star = led.where("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-    links, _ = settle(verified(likely(star, reps.select("id", "sig")), sets), "links")
+    links = verified(likely(star, reps.select("id", "sig")), sets)
+    shared = every.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("fp"), F.max("fp").alias("last")).where("fp < last")
+    if not shared.isEmpty():  # ids with several texts: their classes belong together
+        own = every.join(shared.select("doc_id", F.col("fp").alias("one")), "doc_id").where("fp <> one").select("one", "fp").distinct()
+        links = links.unionByName(own.join(ids.select(F.col("fp").alias("one"), F.col("id").alias("a")), "one").join(ids.select("fp", F.col("id").alias("b")), "fp").select("a", "b"))
+    links = written(links, "links")
     found = components(links)
 
     member = led.where("n > 2").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -209,15 +240,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = member.join(lead_of, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
     mixed = member.where("component <> main").select("band", "key").distinct()
     rest = member.join(mixed, ["band", "key"], "left_semi").join(reps, "id").select("key", "band", "id", "component", "main", "bands", "sig")
-    more, _ = settle(across(rest, sets), "more")
+    more = written(across(rest, sets), "more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
-    by_class = classes.join(found.withColumnRenamed("node", "id"), "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    by_class, _ = settle(by_class, "by_class")
+    labelled = ids.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    by_class, _ = settle(labelled.join(least, "component").select("fp", "component_id"), "by_class")
+    for path in paths:
+        discard(spark, path)
     out = every.select("doc_id", "n_shingles", "fp").join(by_class, "fp", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,6 +132,46 @@ def test_minhash_finds_links_across_the_leader(spark):
     assert {x.doc_id: x.component_id for x in minhash_dedup.near_duplicates(docs).collect()} == dict(enumerate(label))
 
 
+def test_minhash_shared_and_null_ids(spark):
+    """Both neighbours of an id with two texts are in its component; a null id is in none."""
+    rows, kinds = [], []
+    for k in range(40):
+        one, two = prose(80), prose(80)
+        rows += [(10 * k + 5, one), (10 * k + 5, two), (10 * k + 5, two), (10 * k + 1, one + " end"), (10 * k + 8, two + " end")]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (None, None), (7000, "")]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, bands string, id long")).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        if x.doc_id is None:
+            assert (x.component_id, x.kept) == (None, True)
+        elif x.doc_id == 7000:
+            assert (x.n_shingles, x.component_id, x.kept) == (0, 7000, True)
+        else:
+            assert (x.component_id, x.kept) == (x.doc_id // 10 * 10 + 1, x.doc_id % 10 == 1)
+    only = minhash_dedup.near_duplicates(spark.createDataFrame([(3, "a b c d"), (9, "a b c d"), (9, "x y z w")], "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.component_id) for x in only} == {(3, 3), (9, 3)}
+
+
+def test_minhash_large_bucket_of_unlike_members(spark, monkeypatch):
+    """Many documents share a third of their shingles and so some buckets; pairs among them are found, and the
+    buckets are dealt anew."""
+    monkeypatch.setattr(minhash_dedup, "LARGE", 8)
+    g = random.Random(21)
+    common = [f"c{k}" for k in range(140)]
+    rows = []
+    for k in range(1500):
+        own = [f"u{k}x{j}" for j in range(60)]
+        rows.append((3 * k, " ".join(common + own)))
+        if k % 50 == 0:
+            own[g.randrange(60)] = "edit"
+            rows.append((3 * k + 1, " ".join(common + own)))
+    want = {}
+    for i, _ in rows:
+        want[i] = i // 3 * 3
+    got = {x.doc_id: x.component_id for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_circulant_estimates_similarity():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**64, 1000, dtype=np.uint64)
