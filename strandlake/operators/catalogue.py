@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.dna import SITE, bucket, pack
-from strandlake.session import settle
+from strandlake.session import exists, settle, shared_dir
 
 Mask = tuple[int, ...]
 #: Five blocks of four bases, and every pair of six blocks: both find all sites within four mismatches, the
@@ -42,11 +43,17 @@ def catalogue(sites: DataFrame) -> DataFrame:
 def with_global_ids(sites: DataFrame, by: str = "seq20") -> DataFrame:
     """Dense global_id from 0 in sorted order, without one task seeing all rows: a range sort (written, as its
     bounds are sampled anew in every run), the count of each partition, a number within the partition."""
-    ordered, _ = settle(sites.repartitionByRange(F.col(by)).withColumn("__p", F.spark_partition_id()), "ordered")
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count a partition's rows
+    ordered = sites.repartitionByRange(F.col(by)).sortWithinPartitions(by).select("*", F.spark_partition_id().alias("__p"), within.alias("__r"))
+    ordered, _ = settle(ordered, "ordered")
     counts = ordered.groupBy("__p").agg(F.count("*").alias("n"))
-    before = counts.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__b"))
-    inside = F.row_number().over(Window.partitionBy("__p").orderBy(by))
-    return ordered.withColumn("__r", inside).join(before, "__p").withColumn("global_id", F.col("__b") + F.col("__r") - 1).drop("__p", "__r", "__b")
+    before = counts.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__b"))  # a row for each partition
+    return ordered.join(before, "__p").withColumn("global_id", F.col("__b") + F.col("__r")).drop("__p", "__r", "__b")
+
+
+def id_range(numbered: DataFrame, first: int, end: int) -> DataFrame:
+    """Rows of a stored table with first <= global_id < end; the literals prune its row groups."""
+    return numbered.where((F.col("global_id") >= F.lit(first)) & (F.col("global_id") < F.lit(end)))
 
 
 def sliced(sites: DataFrame, masks: Sequence[Mask], signature: str = "signature") -> DataFrame:
@@ -61,6 +68,28 @@ def write_index(sites: DataFrame, path: str, masks: Sequence[Mask], distance: in
     sliced(sites, masks).repartitionByRange("slice_id", "bucket_id").sortWithinPartitions("slice_id", "bucket_id").write.partitionBy("slice_id").parquet(path)
 
 
+BUCKETS = 64
+
+
+def stored_index(spark: SparkSession, key: str, sites: Callable[[], DataFrame], masks: Sequence[Mask], distance: int = 4, base: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """The index of masks under base (spark.checkpoint.dir by default) by a key of its source: reused where it is
+    there, built from sites() where it is not.
+
+    Parquet bucketed and sorted by slice and bucket: a join on these reads it without a shuffle, or has its few
+    guides broadcast by Spark. `buckets` should give files of some hundred MB."""
+    check_coverage(masks, distance)
+    name = "strandlake_index_" + hashlib.sha256(repr((key, tuple(masks), buckets)).encode()).hexdigest()[:24]
+    path = f"{base or shared_dir(spark) + '/strandlake'}/{name}"
+    if not spark.catalog.tableExists(name):
+        if not exists(spark, f"{path}/_SUCCESS"):
+            rows = sliced(sites(), masks).repartition(buckets, "slice_id", "bucket_id")
+            rows.write.bucketBy(buckets, "slice_id", "bucket_id").sortBy("slice_id", "bucket_id").option("path", path).mode("overwrite").saveAsTable(name)
+        else:
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (slice_id, bucket_id) SORTED BY (slice_id, bucket_id) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -14,6 +14,8 @@ from strandlake.functions.dna import at_count, one_hot
 #: the shape of a fold in which the guide stays free.
 AT_LOW, AT_HIGH = 0.20, 0.65
 ENERGY_SHAPED, ENERGY_OTHER = -30.0, -18.0
+SCAFFOLD = "GUUUUAGAGCUAGAAAUAGCAAGUUAAAAUAAGGCUAGUCCGUUAUCAACUUGAAAAAGUGGCACCGAGUCGGUGCUUUU"
+FREE_GUIDE = r".{28}\({4}\.{4}\){4}\.{3}\){4}.{21}\({4}\.{4}\){4}\({7}\.{3}\){7}\.{3}\s\((.+)\)"
 
 
 def chopchop(seq: Column) -> Column:
@@ -36,7 +38,12 @@ def parse_fold(line: Column) -> Column:
     return F.struct(F.regexp_extract(line, r"^([.()]+)\s", 1).alias("structure"), F.regexp_extract(line, r"\(\s*(-?[0-9.]+)\s*\)\s*$", 1).try_cast("double").alias("energy"))
 
 
-def fold_input(seq: Column, scaffold: str) -> Column:
+def free_guide(line: Column) -> Column:
+    """Whether a fold (a line of structure and energy) has the shape in which the guide stays free."""
+    return F.coalesce(line.rlike(FREE_GUIDE), F.lit(False))
+
+
+def fold_input(seq: Column, scaffold: str = SCAFFOLD) -> Column:
     """What is folded: G, bases 2 to 20, the scaffold."""
     return F.concat(F.lit("G"), F.substring(seq, 2, 19), F.lit(scaffold))
 
@@ -79,7 +86,7 @@ def recommended(flags: Column, score: Column, least_votes: int = 2, least_score:
     return (votes(flags) >= least_votes) & (score >= least_score)
 
 
-def fold_with(guides: DataFrame, fold: Callable[[list[str]], list[tuple[str, float]]], scaffold: str) -> DataFrame:
+def fold_with(guides: DataFrame, fold: Callable[[list[str]], list[tuple[str, float]]], scaffold: str = SCAFFOLD) -> DataFrame:
     """structure and energy from an outside folding program, given as a function on a batch of strings."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

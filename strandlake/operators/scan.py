@@ -13,13 +13,25 @@ LENGTH = 23
 FORWARD, REVERSE = "[ACGT]{21}GG", "CC[ACGT]{21}"
 OFF_FORWARD, OFF_REVERSE = "[ACG][ACGT]{19}[ACGT][AG]G", "C[CT][ACGT][ACGT]{19}[TGC]"
 CHUNK = 512
+#: Bases of a piece of a sequence; pieces are dealt over tasks.
+PIECE = 1 << 16
+
+
+def pieces(sequences: DataFrame, carried: list[str], length: int = LENGTH, bases: int = PIECE) -> DataFrame:
+    """carried columns, at (0-based), seq: sequences in pieces that reach `length` - 1 bases into the next, dealt over
+    all cores (or spark.sql.shuffle.partitions, if that is more), so that one chromosome is the work of many tasks."""
+    spark = sequences.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / bases).cast("int")))
+    cut = sequences.select(*carried, "seq", F.explode(starts).alias("__k")).withColumn("at", F.col("__k") * bases)
+    return cut.select(*carried, "at", F.substring("seq", F.col("at") + 1, F.lit(bases + length - 1)).alias("seq")).repartition(n)
 
 
 def matches(sequences: DataFrame, pattern: str, carried: list[str], length: int = LENGTH) -> DataFrame:
     """carried columns, start (0-based) and site of every match of pattern, overlapping ones too.
 
     Sequences are cut into chunks that reach `length` - 1 bases into the next, so the work is linear in the
-    bases and a chromosome spreads over tasks. Splitting a chunk before every match gives the positions.
+    bases. Splitting a chunk before every match gives the positions. Long records go through pieces() first.
     """
     chunks = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
     cut = sequences.select(*carried, chunks.alias("__c")).select(*carried, F.posexplode(F.expr(f"transform(__c, (c, i) -> concat(c, coalesce(substring(get(__c, i + 1), 1, {length - 1}), '')))")).alias("__n", "__t"))
@@ -29,10 +41,17 @@ def matches(sequences: DataFrame, pattern: str, carried: list[str], length: int
     return at.select(*carried, (F.col("__n") * CHUNK + F.col("__s")).alias("start"), F.expr(f"substring(__t, __s + 1, {length})").alias("site"))
 
 
-def guide_sites(jobs: DataFrame, strands: str = "+-", upper: bool = False) -> DataFrame:
-    """(job_id, seq) -> job_id, start, end, strand, sequence (oriented), positions on the forward string."""
+def guide_sites(jobs: DataFrame, strands: str = "+-", upper: bool = False, long_records: bool = False) -> DataFrame:
+    """(job_id, seq) -> job_id, start, end, strand, sequence (oriented), positions on the forward string.
+
+    Requests are short (20,000 bases at most) and stay in their tasks; long_records deals pieces of them."""
     seq = F.upper("seq") if upper else F.col("seq")
     jobs = jobs.select("job_id", seq.alias("seq"))
+    if long_records:
+        moved = guide_sites(pieces(jobs, ["job_id"]).select(F.struct("job_id", "at").alias("job_id"), "seq"), strands)
+        start = (F.col("job_id.at") + F.col("start")).alias("start")
+        # what begins in the overlap belongs to the next piece, which reaches further
+        return moved.where(F.col("start") < PIECE).select("job_id.job_id", start, (start + LENGTH).alias("end"), "strand", "sequence")
     found = []
     if "+" in strands:
         found.append(matches(jobs, FORWARD, ["job_id"]).select("job_id", "start", F.lit("+").alias("strand"), F.col("site").alias("sequence")))
@@ -55,7 +74,8 @@ def target_ids(guides: DataFrame) -> DataFrame:
 
 
 def offtarget_sites(sequences: DataFrame, strands: str = "+-", reverse_mode: str = "literal") -> DataFrame:
-    """seq20 of every off-target site, repeats kept. No positions, so one pass of look-ahead matching.
+    """seq20 of every off-target site, repeats kept, from pieces dealt over tasks. No positions, so one pass of
+    look-ahead matching; a piece overlaps the next by less than a site, so no site comes up twice.
 
     On the reverse strand, literal takes the first 20 bases of the match before complementing; protospacer
     complements the match first.
@@ -67,4 +87,4 @@ def offtarget_sites(sequences: DataFrame, strands: str = "+-", reverse_mode: str
         found.append(F.transform(every(OFF_FORWARD), lambda m: F.substring(m, 1, 20)))
     if "-" in strands:
         found.append(F.transform(every(OFF_REVERSE), lambda m: revcomp(F.substring(m, 1, 20)) if reverse_mode == "literal" else F.substring(revcomp(m), 1, 20)))
-    return sequences.select(F.explode(F.concat(*found)).alias("seq20"))
+    return pieces(sequences, []).select(F.explode(F.concat(*found)).alias("seq20"))

@@ -26,8 +26,10 @@ def first_slice(a: Column, b: Column, masks: Sequence[Mask]) -> Column:
 
 def candidates(guides: DataFrame, sites: DataFrame, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:
     """Every meeting of a guide (guide_id, guide_sig) and a site (global_id, signature, occurrences) in a
-    bucket. An equi-join on slice and bucket: Spark picks broadcast by size, and splits hot buckets."""
-    return sliced(guides, masks, "guide_sig").join(sliced(sites, masks), ["slice_id", "bucket_id"])
+    bucket. sites: an index of these masks (slice_id, bucket_id), read as it is, or a catalogue, sliced here. An
+    equi-join on slice and bucket: Spark picks broadcast by size, and splits hot buckets."""
+    index = sites if "bucket_id" in sites.columns else sliced(sites, masks)
+    return sliced(guides, masks, "guide_sig").join(index, ["slice_id", "bucket_id"])
 
 
 def offtargets(guides: DataFrame, sites: DataFrame, distance: int = 4, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.dna import pack
 from strandlake.operators import ontarget, scan, scoring, simjoin
+from strandlake.session import settle
 
 
 def guides_with_ids(jobs: DataFrame) -> DataFrame:
@@ -26,18 +27,25 @@ def with_consensus(guides: DataFrame, folds: DataFrame, weights: Sequence[float]
 
 
 def design_guides(jobs: DataFrame, sites: DataFrame, folds: DataFrame, weights: Sequence[float], bias: float, distance: int = 4) -> DataFrame:
-    """job_id, target_id, sequence, start, end, strand, consensus, mit_score.
+    """job_id, target_id, sequence, start, end, strand, consensus, mit_score. sites: a catalogue or a stored index.
 
-    The join sees each distinct guide once, however many jobs ask for it.
+    Guides are settled once, as the join and the result both read them. The join sees each distinct guide once, however many jobs ask for it.
     """
-    guides = with_consensus(guides_with_ids(jobs), folds, weights, bias)
+    guides, _ = settle(with_consensus(guides_with_ids(jobs), folds, weights, bias), "guides")
     distinct = guides.select("guide_sig").distinct().withColumn("guide_id", F.col("guide_sig"))
     scores = scoring.mit_scores(simjoin.offtargets(distinct, sites, distance), distinct)
     return guides.join(scores.withColumnRenamed("guide_id", "guide_sig"), "guide_sig").select("job_id", "target_id", "sequence", "start", "end", "strand", "consensus", "mit_score")
 
 
 def results_by_job(results: DataFrame, job_id) -> DataFrame:
-    return results.where(F.col("job_id") == job_id).orderBy("target_id")
+    """Guides of one job by target_id; of stored results, only row groups that can hold the job are read."""
+    return results.where(F.col("job_id") == F.lit(job_id)).orderBy("target_id")
+
+
+def store_results(results: DataFrame, path: str) -> DataFrame:
+    """Results written in order of jobs, so that a look-up by job prunes, and read back."""
+    results.repartitionByRange("job_id").sortWithinPartitions("job_id", "target_id").write.parquet(path)
+    return results.sparkSession.read.parquet(path)
 
 
 def progress(results: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from strandlake.functions import dna
 from strandlake.operators import catalogue as cat
 from strandlake.operators import ontarget, scan, scoring, simjoin
 from strandlake.plans import design, ranges
+from strandlake.session import input_key, scratch_path, settle
 from strandlake.sources import fasta, requests
 from strandlake.streaming import commits
 
@@ -84,6 +85,12 @@ def gc(spark: SparkSession, sf: str) -> DataFrame:
     return cat.catalogue(scan.offtarget_sites(genome(spark, sf)))
 
 
+def index(spark: SparkSession, sf: str, masks=cat.PAIRS_OF_SIX) -> DataFrame:
+    """The stored index of the genome: built by the first query that needs it, read by the others."""
+    key = input_key(read(spark, sf, "documents"), "genome")
+    return cat.stored_index(spark, key, lambda: gc(spark, sf), masks)
+
+
 def unique(spark: SparkSession, sf: str, *source: str) -> DataFrame:
     return scan.unique_guides(scan.guide_sites(jobs(spark, sf, *source)))
 
@@ -127,7 +134,7 @@ def scan_reverse(spark, sf):
 
 @query(f"WITH {sites_sql(GENOME_SQL, 'genome', 'doc_id')} SELECT doc_id AS job_id, strand, count(*) AS sites, count(DISTINCT sequence) AS kinds, sum(start)::BIGINT AS starts FROM site GROUP BY 1, 2")
 def all_sites(spark, sf):
-    sites = scan.guide_sites(genome(spark, sf).withColumnRenamed("doc_id", "job_id"))
+    sites = scan.guide_sites(genome(spark, sf).withColumnRenamed("doc_id", "job_id"), long_records=True)
     return sites.groupBy("job_id", "strand").agg(F.count("*").alias("sites"), F.countDistinct("sequence").alias("kinds"), F.sum("start").alias("starts"))
 
 
@@ -214,9 +221,40 @@ def accession_path(spark, sf):
 def parse_marker_path(spark, sf):
     k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     path = F.concat(F.lit("g+"), c, F.lit("/mapper/"), c, F.lit("/batches/"), k, F.when(F.col("o_orderkey") % 4 == 0, "/other.json").otherwise("/mapper-result.json"))
-    pattern = r"^(.+)/mapper/([^/]+)/batches/([^/]+)/mapper-result\.json$"
-    rows = read(spark, sf, "orders").select("o_orderkey", F.url_decode(path).alias("p")).where(F.col("p").rlike(pattern))
-    return rows.select("o_orderkey", *(F.regexp_extract("p", pattern, i).alias(n) for i, n in enumerate(("genome", "job_id", "batch_id"), 1)))
+    return requests.marker_parts(read(spark, sf, "orders").select("o_orderkey", path.alias("path")))
+
+
+@query("SELECT o_orderkey, 'job ' || o_custkey AS job_id, o_orderkey % 1000 AS target_id, 'ACGT' || o_orderkey AS sequence, 'g' || o_custkey % 9 AS genome FROM orders WHERE o_orderkey % 5 > 1")
+def guide_messages(spark, sf):
+    """Messages as they come: some lack a field, some are no JSON."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    whole = F.to_json(F.struct(F.concat(F.lit("job "), c.cast("string")).alias("JobID"), (k % 1000).alias("TargetID"), F.concat(F.lit("ACGT"), k.cast("string")).alias("Sequence"), F.lit(1).alias("Count")))
+    partial = F.to_json(F.struct(c.cast("string").alias("JobID"), k.alias("TargetID")))
+    body = F.to_json(F.struct(F.when(k % 5 == 0, partial).otherwise(whole).alias("default"), F.concat(F.lit('"g'), (c % 9).cast("string"), F.lit('"')).alias("genome")))
+    return requests.guide_messages(read(spark, sf, "orders").select("o_orderkey", F.when(k % 5 == 1, F.lit("not json")).otherwise(body).alias("body")))
+
+
+@query("SELECT c_custkey AS job_id, 'ACGT' || c_nationkey AS sequence, 'g' || c_custkey AS genome FROM customer")
+def double_encoded(spark, sf):
+    """Every second body is a JSON string that holds the object."""
+    k = F.col("c_custkey")
+    one = F.to_json(F.struct(F.concat(F.lit("AC GT"), F.col("c_nationkey").cast("string")).alias("sequence"), F.concat(F.lit("g"), k.cast("string")).alias("genome")))
+    twice = F.concat(F.lit('"'), F.replace(one, F.lit('"'), F.lit('\\"')), F.lit('"'))
+    return requests.normalize(read(spark, sf, "customer").select(k.alias("job_id"), F.when(k % 2 == 0, twice).otherwise(one).alias("body"))).select("job_id", "sequence", "genome")
+
+
+@query(f"WITH {GENOME_SQL} SELECT doc_id, length(seq)::BIGINT AS n_bases, CASE WHEN seq = '' THEN 'empty' END AS error FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '' ELSE seq END AS seq FROM genome)")
+def empty_sources(spark, sf):
+    """Sources checked before an index is built of them: every third has header lines only."""
+    body = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.regexp_replace("seq", "(.{60})", "$1\n"))
+    files = genome(spark, sf).select("doc_id", F.concat(F.lit(">header ACGT\n"), body, F.lit("\n>last\n")).alias("value"))
+    return fasta.usable(files).select("doc_id", "n_bases", "error")
+
+
+@query("SELECT event_id, CASE WHEN value IS NULL THEN 'no_value' WHEN value < 1 THEN 'too_small' WHEN event_type = 'error' THEN 'error' END AS reason FROM events WHERE value IS NULL OR value < 1 OR event_type = 'error'")
+def quarantined_messages(spark, sf):
+    rules = {"no_value": F.col("value").isNull(), "too_small": F.col("value") < 1, "error": F.col("event_type") == "error"}
+    return commits.screened(read(spark, sf, "events"), rules)[1].select("event_id", "reason")
 
 
 # --- on-target ---------------------------------------------------------------------------------------
@@ -245,6 +283,21 @@ def fold_verdict(spark, sf):
     return parsed.select("job_id", "sequence", F.col("f.energy").alias("energy"), ontarget.fold_verdict(F.contains(F.col("f.structure"), F.lit("(")), F.col("f.energy")).alias("accepted"))
 
 
+SHAPE_SQL = "repeat('.', 28) || '((((....))))...))))' || repeat('.', 21) || '((((....))))(((((((...)))))))...'"
+
+
+@query(f"{UNIQUE_SQL}, k AS (SELECT job_id, sequence, ({FOLD_SQL}) AS k FROM uniq) SELECT job_id, sequence, md5('G' || substr(sequence, 2, 19) || '{ontarget.SCAFFOLD}') AS input_md5, k >= 8 AS shaped, CASE WHEN k >= 8 THEN k % 4 < 3 ELSE k % 4 > 1 END AS accepted FROM k")
+def fold_shapes(spark, sf):
+    """What goes into the folding program, and the verdict on its lines: the free-guide shape, or another one."""
+    k = F.instr(F.lit("0123456789abcdef"), F.substring(F.md5("sequence"), 1, 1)) - 1
+    free = "." * 28 + "((((....))))...))))" + "." * 21 + "((((....))))(((((((...)))))))..."
+    shape = F.when(k >= 8, free).otherwise(free.replace("...))))", "......."))
+    energy = F.when(k >= 8, F.element_at(F.array(*map(F.lit, ("-25.00", "-30.00", "-10.50", "-30.10"))), k % 4 + 1)).otherwise(F.element_at(F.array(*map(F.lit, ("-18.00", "-35.00", "-17.90", " -3.40"))), k % 4 + 1))
+    folded = unique(spark, sf).withColumn("line", F.concat(shape, F.lit(" ("), energy, F.lit(")")))
+    s, shaped = F.col("sequence"), ontarget.free_guide(F.col("line"))
+    return folded.select("job_id", "sequence", F.md5(ontarget.fold_input(s)).alias("input_md5"), shaped.alias("shaped"), ontarget.fold_verdict(shaped, ontarget.parse_fold(F.col("line"))["energy"]).alias("accepted"))
+
+
 @query(f"{UNIQUE_SQL} SELECT job_id, sequence, round({SVM_SQL}, 6) AS score, round({SVM_SQL}, 6) >= 0 AS accepted FROM uniq")
 def sgrnascorer(spark, sf):
     score = F.round(ontarget.svm_score(F.col("sequence"), SVM_WEIGHTS, SVM_BIAS), 6)
@@ -302,9 +355,9 @@ def new_buckets(spark, sf):
 
 @query(f"WITH {CATALOGUE_SQL}, g AS (SELECT seq20, occurrences, row_number() OVER (ORDER BY seq20) - 1 AS global_id FROM cata) SELECT seq20, global_id, occurrences FROM g WHERE global_id >= (SELECT max(global_id) // 4 FROM g) AND global_id < (SELECT max(global_id) // 2 FROM g)")
 def id_range(spark, sf):
-    g = cat.with_global_ids(gc(spark, sf))
-    edges = g.agg(F.floor(F.max("global_id") / 4).alias("lo"), F.floor(F.max("global_id") / 2).alias("hi"))
-    return g.join(F.broadcast(edges), (F.col("global_id") >= F.col("lo")) & (F.col("global_id") < F.col("hi"))).select("seq20", "global_id", "occurrences")  # one row
+    g, _ = settle(cat.with_global_ids(gc(spark, sf)), "numbered")
+    last = g.agg(F.max("global_id")).first()[0] or 0
+    return cat.id_range(g, last // 4, last // 2).select("seq20", "global_id", "occurrences")
 
 
 IDS_SQL = f"{CATALOGUE_SQL}, ids AS (SELECT {bucket_sql('signature', cat.FIVE_BLOCKS[0])} AS bucket_id, row_number() OVER (ORDER BY seq20) - 1 AS global_id FROM cata)"
@@ -343,18 +396,18 @@ def hydrate(spark, sf):
 
 @query(f"WITH {TARGETS_SQL}, {INDEX_SQL}, m AS (" + " UNION ALL ".join(f"SELECT {k} AS slice_id, guide_sig, {bucket_sql('guide_sig', m)} AS bucket_id FROM guides" for k, m in enumerate(cat.FIVE_BLOCKS)) + ") SELECT slice_id, guide_sig, count(*) AS candidates, sum(occurrences)::BIGINT AS occurrences FROM m JOIN idx USING (slice_id, bucket_id) GROUP BY ALL")
 def issl_candidates(spark, sf):
-    met = simjoin.candidates(distinct_guides(spark, sf), gc(spark, sf), cat.FIVE_BLOCKS)
+    met = simjoin.candidates(distinct_guides(spark, sf), index(spark, sf, cat.FIVE_BLOCKS), cat.FIVE_BLOCKS)
     return met.groupBy("slice_id", "guide_sig").agg(F.count("*").alias("candidates"), F.sum("occurrences").alias("occurrences"))
 
 
 @query(f"WITH {PAIRS_SQL} SELECT guide_sig, signature, occurrences, mismatches FROM pair")
 def offtarget_join(spark, sf):
-    return simjoin.offtargets(distinct_guides(spark, sf), gc(spark, sf)).select("guide_sig", "signature", "occurrences", "mismatches")
+    return simjoin.offtargets(distinct_guides(spark, sf), index(spark, sf)).select("guide_sig", "signature", "occurrences", "mismatches")
 
 
 @query(f"WITH {PAIRS_SQL} SELECT guide_sig, signature FROM pair")
 def offtarget_dedupe(spark, sf):
-    sites = gc(spark, sf).withColumn("global_id", F.col("signature"))
+    sites = index(spark, sf, cat.FIVE_BLOCKS).withColumn("global_id", F.col("signature"))
     return simjoin.offtargets_by_distinct(distinct_guides(spark, sf), sites, masks=cat.FIVE_BLOCKS).select("guide_sig", "signature")
 
 
@@ -369,14 +422,14 @@ BOTH_SQL = SCORE_SQL + f", cfd AS (SELECT guide_sig, 10000.0::DOUBLE / (100 + 10
 @query(SCORE_SQL + " SELECT guide_sig, round(mit_score, 6) AS mit_score FROM mit")
 def mit_score(spark, sf):
     guides = distinct_guides(spark, sf)
-    out = scoring.mit_scores(simjoin.offtargets(guides, gc(spark, sf)), guides)
+    out = scoring.mit_scores(simjoin.offtargets(guides, index(spark, sf)), guides)
     return out.select(F.col("guide_id").alias("guide_sig"), F.round("mit_score", 6).alias("mit_score"))
 
 
 @query(BOTH_SQL + " SELECT guide_sig, round(cfd_score, 6) AS cfd_score FROM cfd")
 def cfd_score(spark, sf):
     guides = distinct_guides(spark, sf)
-    out = scoring.cfd_scores(simjoin.offtargets(guides, gc(spark, sf)), guides, CFD)
+    out = scoring.cfd_scores(simjoin.offtargets(guides, index(spark, sf)), guides, CFD)
     return out.select(F.col("guide_id").alias("guide_sig"), F.round("cfd_score", 6).alias("cfd_score"))
 
 
@@ -389,7 +442,7 @@ METHODS_SQL = " UNION ALL ".join(
 @query(BOTH_SQL + ", s AS (SELECT guide_sig, round(mit_score, 6) AS m, round(cfd_score, 6) AS c FROM mit JOIN cfd USING (guide_sig)) " + METHODS_SQL)
 def score_methods(spark, sf):
     guides = distinct_guides(spark, sf)
-    pairs = simjoin.offtargets(guides, gc(spark, sf))
+    pairs = simjoin.offtargets(guides, index(spark, sf))
     hits = pairs.groupBy("guide_id").agg(
         F.sum(F.when(F.col("mismatches") > 0, scoring.mit_hit(F.col("guide_sig"), F.col("signature")) * F.col("occurrences"))).alias("m"),
         F.sum(scoring.cfd_hit(F.col("guide_sig"), F.col("signature"), CFD) * F.col("occurrences")).alias("c"),
@@ -410,12 +463,20 @@ RESULT_SQL = (
 def results(spark: SparkSession, sf: str) -> DataFrame:
     own = jobs(spark, sf, *SUPPLIERS)
     folds = with_fold(unique(spark, sf, *SUPPLIERS).select("sequence").distinct())
-    return design.design_guides(own, gc(spark, sf), folds, SVM_WEIGHTS, SVM_BIAS)
+    return design.design_guides(own, index(spark, sf), folds, SVM_WEIGHTS, SVM_BIAS)
 
 
 @query(RESULT_SQL + " SELECT job_id, target_id, sequence, start, \"end\", strand, consensus, round(mit_score, 6) AS mit_score FROM result")
 def results_by_job(spark, sf):
-    return results(spark, sf).withColumn("mit_score", F.round("mit_score", 6)).orderBy("job_id", "target_id")
+    return results(spark, sf).withColumn("mit_score", F.round("mit_score", 6))
+
+
+@query(RESULT_SQL + " SELECT job_id, target_id, sequence, consensus, round(mit_score, 6) AS mit_score FROM result WHERE job_id = (SELECT job_id FROM result GROUP BY 1 ORDER BY count(*) DESC, job_id LIMIT 1)")
+def job_lookup(spark, sf):
+    """Stored results, and from them those of the job with most guides."""
+    stored = design.store_results(results(spark, sf), scratch_path(spark, "results"))
+    counts = stored.groupBy("job_id").count().orderBy(F.desc("count"), "job_id").first()
+    return design.results_by_job(stored, counts["job_id"] if counts else None).select("job_id", "target_id", "sequence", "consensus", F.round("mit_score", 6).alias("mit_score"))
 
 
 @query(RESULT_SQL + " SELECT job_id, target_id, sequence, consensus, round(mit_score, 6) AS mit_score FROM result WHERE votes >= 2 AND round(mit_score, 6) >= 75")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -9,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, or a fresh one where it is unset (tests)."""
+    """Folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a fresh local one if all
+    executors are threads of the driver, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -35,6 +40,22 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def input_key(df: DataFrame, *more: object) -> str:
+    """Digest of the input files of df by name, size and time of change, and of more: names what is derived from them."""
+    spark = df.sparkSession
+    conf, states = spark._jsc.hadoopConfiguration(), []
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        state = path.getFileSystem(conf).getFileStatus(path)
+        states.append((name, state.getLen(), state.getModificationTime()))
+    return hashlib.sha256(repr((states, more)).encode()).hexdigest()[:24]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows over all cores if the input came in fewer partitions than there are cores.
 

@@ -20,6 +20,21 @@ def records(files: DataFrame) -> DataFrame:
     return out.where((F.col("record") > 0) | (F.col("seq") != ""))
 
 
+def usable(sources: DataFrame, text: str = "value") -> DataFrame:
+    """Source files with n_bases (long) and error: null, or empty where no base stands outside header lines. An empty
+    or missing source must not become an empty index: check_usable() raises instead."""
+    body = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?m)^>[^\r\n]*", "")
+    n = F.length(F.regexp_replace(body, r"\s+", "")).cast("long")
+    return sources.withColumn("n_bases", n).withColumn("error", F.when(F.col("n_bases") == 0, "empty"))
+
+
+def check_usable(sources: DataFrame, text: str = "value") -> DataFrame:
+    """sources, once it is known that they hold bases; else ValueError."""
+    if usable(sources, text).where("error IS NULL").isEmpty():
+        raise ValueError("the source holds no bases")
+    return sources
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """One file a row; the codec follows from the suffix, so .gz needs nothing more."""
     return records(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value"))

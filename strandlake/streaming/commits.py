@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,8 +17,18 @@ def dedupe_messages(messages: DataFrame, keys: list[str], body: list[str]) -> Da
     return sums
 
 
-def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, str] = ("job_id", "batch_id")) -> None:
-    """Writes each (job, batch) once: a replay with the same digest changes nothing, another digest fails.
+def screened(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Sound rows, and the others with reason: the first rule (name: condition of a bad row) that holds."""
+    reason = F.lit(None).cast("string")
+    for name, bad in reversed(rules.items()):
+        reason = F.when(F.coalesce(bad, F.lit(False)), F.lit(name)).otherwise(reason)
+    marked = rows.withColumn("reason", reason)
+    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+
+
+def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, str] = ("job_id", "batch_id"), quarantine: str | None = None) -> None:
+    """Writes each (job, batch) once: a replay with the same digest changes nothing, another digest fails. With a
+    quarantine folder, batches of another digest go there with a reason, and the sound ones are committed.
 
     The data partition is overwritten first and the guard row written last, so a batch that broke off in
     between is simply written again.
@@ -35,8 +45,11 @@ def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, s
         guard = None
     if guard is not None:
         sums = sums.join(guard, list(keys), "left")
-        clash = sums.where("committed IS NOT NULL AND committed <> digest").select(*keys).head()
-        if clash:
+        clashes = sums.where("committed IS NOT NULL AND committed <> digest").select(*keys)
+        clash = clashes.head()
+        if clash and quarantine:
+            rows.join(clashes, list(keys), "left_semi").withColumn("reason", F.lit("other_contents")).write.mode("append").parquet(quarantine)
+        elif clash:
             raise ValueError(f"batch {tuple(clash)} was committed with other contents")
         sums = sums.where("committed IS NULL").drop("committed")
     fresh = sums.persist()
@@ -49,9 +62,9 @@ def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, s
         fresh.unpersist()
 
 
-def stream_commits(stream: DataFrame, path: str, guard_path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
+def stream_commits(stream: DataFrame, path: str, guard_path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d, quarantine: str | None = None) -> StreamingQuery:
     """Runs transform on every micro-batch and commits it; ends when the input at hand is done."""
-    return stream.writeStream.foreachBatch(lambda batch, _: commit_batch(transform(batch), path, guard_path)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda batch, _: commit_batch(transform(batch), path, guard_path, quarantine=quarantine)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_jobs(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFrame:

@@ -181,6 +181,81 @@ def test_fasta(spark, tmp_path):
         assert rows == {("a.fa", "a.fa", "ACGT"), ("a.fa", "one first", "ACGTT"), ("a.fa", "two", ""), ("a.fa", "three", "GG"), ("b.fa.gz", "x", "ACGTAC")}
 
 
+def test_index_is_built_once_and_joined_without_its_shuffle(spark, tmp_path):
+    g = random.Random(3)
+    seqs = ["".join(g.choice("ACGT") for _ in range(20)) for _ in range(3000)]
+    near = ["".join(g.choice("ACGT") if g.random() < 0.1 else c for c in s) for s in seqs[:300]]
+    sites = cat.catalogue(spark.createDataFrame([(s,) for s in seqs], "seq20 string"))
+    guides = spark.createDataFrame([(s,) for s in near], "s string").select(dna.pack(F.col("s")).alias("guide_sig")).distinct().withColumn("guide_id", F.col("guide_sig"))
+    built = []
+
+    def build():
+        built.append(1)
+        return sites
+
+    index = lambda: cat.stored_index(spark, "key of the test", build, cat.PAIRS_OF_SIX, base=f"file://{tmp_path}", buckets=4)
+    index()
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("strandlake_index_") and spark.table(t.name).count() == 15 * 3000)
+    spark.sql(f"DROP TABLE {name}")  # as in another session; the files stay
+    stored = index()
+    assert len(built) == 1
+    pairs = lambda df: {(r.guide_sig, r.signature, r.mismatches) for r in df.collect()}
+    want = pairs(simjoin.offtargets(guides, sites))
+    assert len(want) > 250
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = simjoin.offtargets(guides, stored)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert pairs(joined) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning(slice_id") == 1  # of the guides
+
+
+def test_one_long_record_is_the_work_of_many_tasks(spark):
+    g = random.Random(4)
+    seq = "".join(g.choice("ACGT") for _ in range(400_000))
+    one = spark.createDataFrame([(1, seq)], "job_id long, seq string").coalesce(1)
+    got = scan.guide_sites(one, long_records=True)
+    tasks = got.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert len(tasks) >= spark.sparkContext.defaultParallelism
+    plain = scan.guide_sites(one)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    sites = scan.offtarget_sites(one)
+    assert sites.withColumn("p", F.spark_partition_id()).select("p").distinct().count() >= spark.sparkContext.defaultParallelism
+    want = sum(seq[i] != "T" and seq[i + 21 : i + 23] in ("AG", "GG") for i in range(len(seq) - 22)) + sum(seq[i : i + 2] in ("CC", "CT") and seq[i + 22] != "A" for i in range(len(seq) - 22))
+    assert sites.count() == want
+
+
+def test_messages_sources_and_quarantine(spark, tmp_path):
+    message = lambda g, **k: json.dumps({"default": json.dumps(k), "genome": json.dumps(g)})
+    rows = [(1, message("g", JobID="j", TargetID=2, Sequence="A")), (2, message("g", JobID="j", TargetID=2)), (3, "no"), (4, None), (5, json.dumps({"default": "{", "genome": '"g"'}))]
+    assert [tuple(r) for r in requests.guide_messages(spark.createDataFrame(rows, "k long, body string")).collect()] == [(1, "j", 2, "A", "g")]
+    twice = json.dumps(json.dumps({"sequence": "AC", "genome": "a \"b\""}))
+    got = requests.normalize(spark.createDataFrame([(1, twice)], "job_id long, body string")).first()
+    assert (got.sequence, got.genome, got.error) == ("AC", 'a "b"', None)
+    files = spark.createDataFrame([("a", ">x ACGT\n\n"), ("b", ">x\nAC\nG"), ("c", None)], "file string, value string")
+    assert [(r.n_bases, r.error) for r in fasta.usable(files).orderBy("file").collect()] == [(0, "empty"), (3, None), (0, "empty")]
+    with pytest.raises(ValueError):
+        fasta.check_usable(files.where("file <> 'b'"))
+    path, guard, aside = (f"file://{tmp_path}/{n}" for n in ("rows", "guard", "aside"))
+    batch = spark.createDataFrame([(1, "x", 5.0), (2, "y", 7.0)], "job_id long, batch_id string, score double")
+    commits.commit_batch(batch, path, guard, quarantine=aside)
+    commits.commit_batch(spark.createDataFrame([(1, "x", 6.0), (3, "z", 8.0)], batch.schema), path, guard, quarantine=aside)
+    assert {(r.job_id, r.score) for r in spark.read.parquet(path).collect()} == {(1, 5.0), (2, 7.0), (3, 8.0)}
+    assert [(r.job_id, r.score, r.reason) for r in spark.read.parquet(aside).collect()] == [(1, 6.0, "other_contents")]
+
+
+def test_folds(spark):
+    free = "." * 28 + "((((....))))...))))" + "." * 21 + "((((....))))(((((((...)))))))..."
+    assert len(ontarget.SCAFFOLD) == 80
+    rows = spark.createDataFrame([(free + " (-20.00)", True), (free.replace("...))))", "......."), False), (None, False)], "line string, want boolean")
+    assert all(r[0] == r[1] for r in rows.select(ontarget.free_guide(F.col("line")), "want").collect())
+
+
 def test_requests(spark):
     body = lambda **k: json.dumps(k)
     rows = [(1, body(sequence="AC GT\r\n", genome="g")), (2, body(genome="g")), (3, body(sequence="A")), (4, body(sequence=" ", genome="g")), (5, body(sequence="A" * 30, genome="g")), (6, "no json"), (7, None)]
