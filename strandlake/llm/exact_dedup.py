@@ -2,8 +2,8 @@
 
 Texts are equal when identical after deleting ASCII white space; null counts as empty, so null, empty and
 blank texts form one group. Of equal texts the row with the most code points in the original text stays,
-then the smallest id. Rows that repeat in id and length as well are each counted in group_size and kept or
-dropped alike. An empty table gives an empty result; other columns are ignored, whatever their names.
+then the smallest id; a null id comes last. Rows that repeat in id as well are each counted in group_size and kept
+or dropped alike. An empty table gives an empty result; other columns are ignored, whatever their names.
 
 Steps, all native: a digest of each row (hash, length, id: no text moves), then per hash the least and the
 greatest normalised text: they are equal unless hashes collide. Partial aggregation folds copies before the
@@ -31,8 +31,8 @@ def md5_bytes(norm: Column) -> Column:
 
 def keep_one(digests: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: keep_id and group_size. Longest first, then smallest id; counts and minima combine map-side."""
-    rank = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").alias("b"))
-    return digests.groupBy(*keys).agg(F.min(rank)["b"].alias("keep_id"), F.count("*").alias("group_size"))
+    rank = F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), F.col("doc_id").alias("c"))
+    return digests.groupBy(*keys).agg(F.min(rank)["c"].alias("keep_id"), F.count("*").alias("group_size"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", content_hash: Callable[[Column], Column] = md5_bytes) -> DataFrame:
@@ -48,7 +48,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         by_bytes = src.join(collided, "h", "left_semi").withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
         cols = ["doc_id", "text_sha256", "keep_id", "group_size"]
         out = sound.join(keep_one(sound, ["h"]), "h").select(*cols).unionByName(by_bytes.join(keep_one(by_bytes, ["h", "norm"]), ["h", "norm"]).select(*cols))
-    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), (F.col("doc_id") == F.col("keep_id")).alias("kept"), "text_sha256")
+    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def text_digest(text_col: str = "text") -> Column:
+    """text_sha256 of a row, as exact_groups() has it."""
+    return F.sha2(normalised(whole(text_col)).cast("binary"), 256)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +62,6 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = rf"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '{SPACE}', '', 'g') AS norm FROM documents),
-k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+k AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size::BIGINT AS group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM k
 """
