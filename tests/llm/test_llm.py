@@ -408,6 +408,31 @@ def test_randomness_battery(spark):
     assert len([k for k in found if k >= 200]) <= 2
 
 
+ENGLISH = "get set user name file path data list item value key index count size time date start end first last next node tree map table row column cell page view model event mouse color width left right top text label title button form field input read write open close send receive request response server client string number array object class method call result message debug test case check valid load save update remove find search filter sort order config option default version package import account session buffer stream lock queue".split()
+
+
+def identifier(g):
+    w = [g.choice(ENGLISH) for _ in range(g.randint(4, 6))]
+    k, number = g.randrange(4), str(g.randrange(10 ** g.randint(1, 4)))
+    return ("".join(x.capitalize() for x in w) if k == 0 else "_".join(w) + "_" if k == 1 else "-".join(w) + "-" if k == 2 else w[0] + "".join(x.capitalize() for x in w[1:])) + number
+
+
+@pytest.mark.parametrize("fit", [False, True])
+def test_power_and_false_alarms(spark, fit):
+    """Base62 of 24 characters against identifiers; with fit, among documents of prose, from which the null is fitted."""
+    g = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(g.choice(letters) for _ in range(24)) for _ in range(400)]
+    names = [x for x in (identifier(g) for _ in range(1500)) if len(x) >= 20][:1000]
+    rows = [(k, "key " + t) for k, t in enumerate(keys + names)]
+    if fit:
+        rows += [(5000 + k, " ".join(g.choice(ENGLISH) for _ in range(60))) for k in range(3000)]
+    found = {x.doc_id for x in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).where(F.exists("found", lambda s: s["kind"] == 3)).collect()}
+    assert sum(k in found for k in range(400)) >= 360
+    assert sum(k in found for k in range(400, 1400)) <= 10
+    assert not any(k >= 5000 for k in found)
+
+
 def test_randomness_behind_names_and_paths(spark):
     g = random.Random(6)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
