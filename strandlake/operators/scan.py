@@ -48,10 +48,7 @@ def guide_sites(jobs: DataFrame, strands: str = "+-", upper: bool = False, long_
     seq = F.upper("seq") if upper else F.col("seq")
     jobs = jobs.select("job_id", seq.alias("seq"))
     if long_records:
-        moved = guide_sites(pieces(jobs, ["job_id"]).select(F.struct("job_id", "at").alias("job_id"), "seq"), strands)
-        start = (F.col("job_id.at") + F.col("start")).alias("start")
-        # what begins in the overlap belongs to the next piece, which reaches further
-        return moved.where(F.col("start") < PIECE).select("job_id.job_id", start, (start + LENGTH).alias("end"), "strand", "sequence")
+        return sites_of_pieces(pieces(jobs, ["job_id"]), strands)
     found = []
     if "+" in strands:
         found.append(matches(jobs, FORWARD, ["job_id"]).select("job_id", "start", F.lit("+").alias("strand"), F.col("site").alias("sequence")))
@@ -61,6 +58,13 @@ def guide_sites(jobs: DataFrame, strands: str = "+-", upper: bool = False, long_
     return out.select("job_id", F.col("start").cast("int").alias("start"), (F.col("start") + LENGTH).cast("int").alias("end"), "strand", "sequence")
 
 
+def sites_of_pieces(cut: DataFrame, strands: str = "+-") -> DataFrame:
+    """The same of pieces (job_id, at, seq); job_id may be a struct. Overlaps are shorter than a site, so none comes twice."""
+    found = guide_sites(cut.select(F.struct("job_id", "at").alias("job_id"), "seq"), strands)
+    start = F.col("job_id.at") + F.col("start")
+    return found.select("job_id.job_id", start.alias("start"), (start + LENGTH).alias("end"), "strand", "sequence")
+
+
 def unique_guides(sites: DataFrame) -> DataFrame:
     """Sites whose oriented sequence occurs once in the job, on either strand, with count = 1."""
     one = sites.groupBy("job_id", "sequence").agg(F.count("*").alias("count"), F.min("start").alias("start"), F.min("end").alias("end"), F.min("strand").alias("strand"))
@@ -87,4 +91,5 @@ def offtarget_sites(sequences: DataFrame, strands: str = "+-", reverse_mode: str
         found.append(F.transform(every(OFF_FORWARD), lambda m: F.substring(m, 1, 20)))
     if "-" in strands:
         found.append(F.transform(every(OFF_REVERSE), lambda m: revcomp(F.substring(m, 1, 20)) if reverse_mode == "literal" else F.substring(revcomp(m), 1, 20)))
-    return pieces(sequences, []).select(F.explode(F.concat(*found)).alias("seq20"))
+    cut = sequences if "at" in sequences.columns else pieces(sequences, [])
+    return cut.select(F.explode(F.concat(*found)).alias("seq20"))

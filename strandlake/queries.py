@@ -180,6 +180,21 @@ def fasta_read(spark, sf):
     return out.select(F.regexp_extract("file", r"(\d+)", 1).cast("long").alias("doc_id"), "header", "seq")
 
 
+@query(f"WITH {sites_sql(GENOME_SQL, 'genome', 'doc_id')}, n AS (SELECT doc_id, count(*) AS sites, sum(start)::BIGINT AS starts FROM site GROUP BY 1) SELECT doc_id, length(seq)::BIGINT AS n_bases, coalesce(sites, 0)::BIGINT AS sites, coalesce(starts, 0)::BIGINT AS starts FROM genome LEFT JOIN n USING (doc_id) WHERE seq <> ''")
+def fasta_pieces(spark, sf):
+    """The genome written as FASTA files, read in pieces, scanned; bases and sites of each record."""
+    path = scratch_path(spark, "genome")
+    body = F.regexp_replace("seq", "(.{60})", "$1\n")
+    genome(spark, sf).select(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit("\n"), body).alias("value")).write.text(path)
+    pieces, headers = fasta.read_fasta_pieces(spark, path)
+    pieces, _ = settle(pieces.withColumn("job_id", F.struct("file", "record")), "pieces")
+    sites = scan.sites_of_pieces(pieces).groupBy("job_id").agg(F.count("*").alias("sites"), F.sum("start").alias("starts"))
+    n = pieces.groupBy("job_id").agg(F.sum(F.least(F.length("seq"), F.lit(scan.PIECE))).alias("n_bases"))
+    named = headers.select(F.struct("file", "record").alias("job_id"), F.col("header").cast("long").alias("doc_id"))
+    out = named.join(n, "job_id").join(sites, "job_id", "left")
+    return out.select("doc_id", F.col("n_bases").cast("long").alias("n_bases"), F.coalesce("sites", F.lit(0)).cast("long").alias("sites"), F.coalesce("starts", F.lit(0)).cast("long").alias("starts"))
+
+
 BODY_SQL = """body AS (SELECT c_custkey AS job_id, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN repeat('ACGT', 6000) ELSE 'AC GT' || chr(10) || 'acgt' || c_custkey END AS s,
  CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'mine' ELSE 'GCF_' || lpad(c_custkey::VARCHAR, 9, '0') || '.1' END AS g FROM customer)"""
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandlake.operators.scan import LENGTH, PIECE
+from strandlake.session import settle
+
 
 def records(files: DataFrame) -> DataFrame:
     """Records of whole files (columns file, value), all of them, in file order.
@@ -40,15 +43,57 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of bases (file, record, at, seq; at: bases of the record before the line) and headers (file, record,
+    header) of files of any size.
+
+    Lines are numbered within their split of the file, which is the unit that a task reads; one row a split then
+    tells what the splits before it leave open, so no task sees a whole file."""
+    line = F.trim("value")
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n"), line.alias("line")).where("line <> ''")
+    head = F.col("line").startswith(">")
+    so_far = Window.partitionBy("file", "split").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.when(head, 0).otherwise(F.length("line")).cast("long")
+    within = read.select("*", head.alias("head"), size.alias("size"))
+    within = within.withColumn("before", F.sum("size").over(so_far) - F.col("size")).withColumn("heads", F.sum(F.col("head").cast("int")).over(so_far))
+    within = within.withColumn("opened", F.max(F.when(F.col("head"), F.col("before"))).over(so_far))
+    within, _ = settle(within, "lines")
+    splits = within.groupBy("file", "split").agg(F.max("heads").alias("h"), F.sum("size").alias("total"), F.max("opened").alias("last"))
+    order = Window.partitionBy("file").orderBy("split")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("total") - F.coalesce("last", F.lit(0))  # bases after the last header of the split, all where it has none
+    splits = splits.select("file", "split", F.coalesce(F.sum("h").over(earlier), F.lit(0)).alias("records"), F.sum((F.col("h") > 0).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("g"), left.alias("left"), "h")
+    # a split's left belongs to its group g; one that has headers opens the group for those after it
+    group = Window.partitionBy("file", "g").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = splits.withColumn("in_group", F.coalesce(F.sum("left").over(group), F.lit(0)))
+    opens = splits.groupBy("file", "g").agg(F.sum("left").alias("group_left"))
+    carried = carried.join(opens.select("file", (F.col("g") + 1).alias("g"), "group_left"), ["file", "g"], "left")
+    carry = F.when(F.col("h") > 0, F.coalesce("group_left", F.lit(0))).otherwise(F.col("in_group"))
+    placed = within.join(carried.select("file", "split", "records", carry.alias("carry")), ["file", "split"])
+    record = (F.col("records") + F.col("heads")).cast("long").alias("record")
+    at = F.when(F.col("heads") > 0, F.col("before") - F.col("opened")).otherwise(F.col("before") + F.col("carry"))
+    seq = F.upper(F.regexp_replace("line", r"\s+", ""))
+    return placed.where(~F.col("head")).select("file", record, at.alias("at"), seq.alias("seq")), placed.where("head").select("file", record, F.trim(F.expr("substring(line, 2)")).alias("header"))
+
+
 def read_fasta_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The same for files too large for a row each: lines keep their order by offset within the file, and a
-    running count of headers numbers the records."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), F.trim("value").alias("line")).where("line <> ''")
-    by_file = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = lines.withColumn("record", F.sum(F.col("line").startswith(">").cast("int")).over(by_file))
-    is_header = F.col("line").startswith(">")
-    grouped = numbered.groupBy("file", "record").agg(
-        F.max(F.when(is_header, F.trim(F.expr("substring(line, 2)")))).alias("header"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~is_header, F.struct("at", "line")))), lambda x: x["line"]), "").alias("seq"),
-    )
-    return grouped.select("file", "record", F.coalesce("header", "file").alias("header"), F.upper("seq").alias("seq"))
+    """Records of files too large for a row each, where every record fits one: file, record, header, seq."""
+    lines, headers = numbered_lines(spark, path)
+    whole = lines.groupBy("file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "seq"))), lambda x: x["seq"]), "").alias("seq"))
+    out = headers.join(whole, ["file", "record"], "full")
+    return out.select("file", "record", F.coalesce("header", "file").alias("header"), F.coalesce("seq", F.lit("")).alias("seq"))
+
+
+def read_fasta_pieces(spark: SparkSession, path: str, bases: int = PIECE, overlap: int = LENGTH - 1) -> tuple[DataFrame, DataFrame]:
+    """Pieces (file, record, at, seq) of records of any size, each reaching `overlap` bases into the next, and headers
+    (file, record, header). Pieces are dealt over tasks; they go straight into the scans."""
+    lines, headers = numbered_lines(spark, path)
+    end = F.col("at") + F.length("seq")
+    first, last = F.greatest(F.lit(0), F.floor((F.col("at") - overlap) / bases)), F.floor((end - 1) / bases)
+    cut = lines.where("seq <> ''").select("*", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("k"))
+    begin = F.greatest(F.col("at"), F.col("k") * bases)
+    stop = F.least(end, (F.col("k") + 1) * bases + overlap)
+    part = F.substring("seq", (begin - F.col("at") + 1).cast("int"), (stop - begin).cast("int"))
+    parts = cut.select("file", "record", "k", F.struct(begin.alias("at"), part.alias("seq")).alias("p")).where("p.seq <> ''")
+    pieces = parts.groupBy("file", "record", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["seq"]), "").alias("seq"))
+    return pieces.select("file", "record", (F.col("k") * bases).alias("at"), "seq"), headers

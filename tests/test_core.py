@@ -181,6 +181,28 @@ def test_fasta(spark, tmp_path):
         assert rows == {("a.fa", "a.fa", "ACGT"), ("a.fa", "one first", "ACGTT"), ("a.fa", "two", ""), ("a.fa", "three", "GG"), ("b.fa.gz", "x", "ACGTAC")}
 
 
+def test_fasta_pieces_of_files_in_many_splits(spark, tmp_path):
+    g = random.Random(6)
+    dna_of = lambda n: "".join(g.choice("ACGT") for _ in range(n))
+    records = [dna_of(n) for n in (5, 0, 3000, 17, 9000, 1, 400)]
+    text = "ac\n" + "".join(f">r{k}\n" + "".join(r[i : i + 61] + "\n" for i in range(0, len(r), 61)) for k, r in enumerate(records))
+    (tmp_path / "a.fa").write_text(text)
+    (tmp_path / "b.fa").write_text(">long\n" + records[4])
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    try:
+        pieces, headers = fasta.read_fasta_pieces(spark, f"file://{tmp_path}/*.fa", bases=256, overlap=22)
+        rows = {(r.file[-4:], r.record, r["at"]): r.seq for r in pieces.collect()}
+        heads = {(r.file[-4:], r.record): r.header for r in headers.collect()}
+        lines = {(r.file[-4:], r.record): r.seq for r in fasta.read_fasta_lines(spark, f"file://{tmp_path}/*.fa").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    want = {("a.fa", k + 1): r for k, r in enumerate(records)} | {("b.fa", 1): records[4], ("a.fa", 0): "AC"}
+    assert lines == want
+    assert heads == {("a.fa", k + 1): f"r{k}" for k in range(7)} | {("b.fa", 1): "long"}
+    assert rows == {(*key, at): r[at : at + 278] for key, r in want.items() for at in range(0, len(r), 256)}
+
+
 def test_index_is_built_once_and_joined_without_its_shuffle(spark, tmp_path):
     g = random.Random(3)
     seqs = ["".join(g.choice("ACGT") for _ in range(20)) for _ in range(3000)]
