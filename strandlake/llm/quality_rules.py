@@ -121,6 +121,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), passes("v2").alias("kept"), "fail_bits", "n_lines")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the newest policy rejects, and what leaving it out would bring back."""
+    return ablation(ledger(table(spark, sf_dir, "documents")), "v2")
+
+
 OP1_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 spot AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2),
@@ -135,3 +140,8 @@ b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_re
  + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END + CASE WHEN word_chars < 3 * n_words OR word_chars > 12 * n_words THEN 16 ELSE 0 END)::INTEGER AS fail_bits FROM l)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits, n_lines FROM b
 """
+ABLATION_SQL = (
+    "WITH op AS (" + OP1_SQL + ") SELECT rule, count(*) FILTER (WHERE fail_bits & bit <> 0) AS failed, count(*) FILTER (WHERE fail_bits = bit) AS \"only\", count(*) FILTER (WHERE fail_bits & bit <> 0) = 0 AS never FROM op, (VALUES "
+    + ", ".join(f"('{name}', {bit})" for name, (bit, _) in RULES.items())
+    + ") AS r(rule, bit) GROUP BY rule"
+)

@@ -15,9 +15,11 @@ QUERIES = {
     "op8_source_mix": source_mix.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_chat_format": chat_format.op10_chat_format,
+    "quality_ablation": quality_rules.quality_ablation,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "quality_ablation": quality_rules.ABLATION_SQL,
 }

@@ -113,6 +113,10 @@ def read_shard(folder: str, name: str) -> Iterator[tuple[int, np.ndarray]]:
             rest = every[n_ids:]
 
 
+#: Fixed value: how the tokenizers that plainer() suits part words.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 def plainer(text: str) -> str:
     """The text with fewer different words and the same ids. The tokenizer lower-cases after composing
     accents: where none follows a letter, A-Z may be lower-cased first. It also parts a full stop or comma
@@ -124,8 +128,16 @@ def plainer(text: str) -> str:
     return STOP.sub(r" \1", text)
 
 
+def by_words(tokenizer: object) -> bool:
+    """Whether the tokenizer composes, lower-cases and parts at white space as plainer() and the memory of words need."""
+    spec = json.loads(tokenizer.to_str())
+    steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    split = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    return steps == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed" and split.get("invert") is True and split.get("pattern") == {"Regex": WORD_PATTERN}
+
+
 class WordEncoder:
-    """Ids of whole texts. The tokenizer drops white space and never joins across it, so a text's ids are
+    """Ids of whole texts, by the library as it is where by_words() does not hold. Else the tokenizer drops white space and never joins across it, so a text's ids are
     those of its white-space-separated words in turn, and frequent words need not be encoded again. New
     words go to the tokenizer together, between bars that give one id each; words with a bar go alone."""
 
@@ -134,6 +146,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = by_words(self.tokenizer)
         self.memo = Memo(lambda word: self._ids([word])[0].tobytes(), MEMO_WORDS)
         bar = self._ids([BAR])[0]
         self.bar = int(bar[0]) if len(bar) == 1 else None
@@ -154,6 +167,8 @@ class WordEncoder:
         self.memo.update(zip(alone, (x.tobytes() for x in self._ids(alone)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_words:
+            return self._ids(texts)
         lists = [WORDS(plainer(t)) for t in texts]
         memo = self.memo
         self._learn([w for w in set().union(*lists) if w not in memo and len(w) <= memo.longest and w not in memo.old])

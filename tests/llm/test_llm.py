@@ -203,6 +203,18 @@ def test_token_files(spark, docs, plain):
     assert token_files.read_token_files(token_files.write_token_files(empty(docs), folder, path, 1), folder).count() == 0
 
 
+def test_other_tokenizers_are_not_taken_apart(docs, plain):
+    """A file with other rules goes to the library as it is."""
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_files.WordEncoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_words
+    assert token_files.WordEncoder(P.path("word_bpe_49k.json")).by_words
+    texts = [*plain.values(), "Ends. Then\tMore,  Words"]
+    assert [x.tolist() for x in encoder.encode(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_shard_round_trip(tmp_path):
     rng = np.random.default_rng(2)
     many = [(k, rng.integers(0, 2**32, n, dtype=np.uint32)) for k, n in enumerate((0, 1, 70_000, 3, 200_000, 65_536))]
