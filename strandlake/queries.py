@@ -88,7 +88,7 @@ def gc(spark: SparkSession, sf: str) -> DataFrame:
 def index(spark: SparkSession, sf: str, masks=cat.PAIRS_OF_SIX) -> DataFrame:
     """The stored index of the genome: built by the first query that needs it, read by the others."""
     key = input_key(read(spark, sf, "documents"), "genome")
-    return cat.stored_index(spark, key, lambda: gc(spark, sf), masks)
+    return cat.stored_index(spark, key, lambda: gc(spark, sf), masks, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def unique(spark: SparkSession, sf: str, *source: str) -> DataFrame:
