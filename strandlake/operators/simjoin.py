@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.dna import bucket, hamming
+from strandlake.functions.dna import hamming
 from strandlake.operators.catalogue import PAIRS_OF_SIX, Mask, sliced
 
 
@@ -47,7 +47,3 @@ def offtargets_by_distinct(guides: DataFrame, sites: DataFrame, distance: int =
 def needed_buckets(guides: DataFrame, masks: Sequence[Mask]) -> DataFrame:
     """Distinct slice_id and bucket_id that the guides read."""
     return sliced(guides.select("guide_sig"), masks, "guide_sig").select("slice_id", "bucket_id").distinct()
-
-
-def in_bucket(signature: Column, mask: Mask, value: int) -> Column:
-    return bucket(signature, mask) == value
