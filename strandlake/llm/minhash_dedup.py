@@ -126,7 +126,7 @@ def likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 def blocked(members: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both sides of every bucket that holds several components: members outside the leader's component,
     and all members, each cut into blocks (i and j) and repeated for every block of the other side."""
-    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if(F.expr("component <> main")) / BLOCK).cast("int").alias("n_out")).where("n_out > 0")
+    counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if(F.expr("component <> main")) / BLOCK).cast("int").alias("n_out"), (F.min("component") < F.max("component")).alias("several")).where("n_out > 0 AND several").drop("several")
     m = members.join(counts, "key")
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     outside = m.where("component <> main").withColumn("i", block("n_out")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
