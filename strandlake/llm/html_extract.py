@@ -429,7 +429,10 @@ def fitted_to(pages: DataFrame, html_col: str = "html") -> Field:
     """The field, trained on TRAINING_PAGES laid out and on LABELLED_PAGES at most of the given pages."""
     h = F.col(html_col)
     one = F.regexp_count(h, F.lit("(?i)<article\\b")) == 1
-    rows = pages.where(one).select(h.alias("html")).orderBy(F.xxhash64("html"), "html").limit(LABELLED_PAGES).collect()
+    marked = pages.where(one).select(h.alias("html"), F.xxhash64(h).alias("hash"))
+    # hashes alone are sorted, and equal pages count once, so LABELLED_PAGES pages reach the driver at most
+    last = marked.select("hash").distinct().orderBy("hash").limit(LABELLED_PAGES).agg(F.max("hash")).first()[0]
+    rows = marked.where(F.col("hash") <= F.lit(last)).dropDuplicates(["hash"]).orderBy("hash").collect() if last is not None else []
     return train([*training_pages(), *labelled_pages([r.html for r in rows])]) if rows else fitted()
 
 
