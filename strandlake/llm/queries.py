@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, secret_scan, source_mix, token_files
+from strandlake.llm import byte_bpe, chat_format, collocations, cross_tokenizer, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, secret_scan, source_mix, token_files, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,11 +15,16 @@ QUERIES = {
     "op8_source_mix": source_mix.op8_source_mix,
     "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     "op10_chat_format": chat_format.op10_chat_format,
+    "op11_cross_tokenizer": cross_tokenizer.op11_cross_tokenizer,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
+    "op13_url_filter": url_filter.op13_url_filter,
     "quality_ablation": quality_rules.quality_ablation,
 }
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op12_phrase_collocations": collocations.OP12_SQL,
+    "op13_url_filter": url_filter.OP13_SQL,
     "quality_ablation": quality_rules.ABLATION_SQL,
 }
