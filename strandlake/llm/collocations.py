@@ -9,8 +9,8 @@ counted for each language on its own (null: `und`).
 2. Words are counted first, then n-grams whose shorter parts are all frequent: a bit map of the frequent
    fingerprints, of at most MOST_BITS, is broadcast for each length. It never hides a frequent n-gram; where it is too
    small for its keys it only lets more of the others through.
-3. In a last reading, each run takes the text of an n-gram with a frequent fingerprint from its first occurrence, compares the bytes of all
-   others to it, and sends text, count and pointer (document, number of the word) on. Counts by text are exact: different texts with one
+3. In a last reading, a worker takes the text of an n-gram with a frequent fingerprint from its first occurrence, compares the bytes of all
+   others to it, and sends text, count and pointer (document, number of the word) on when its share is done. Counts by text are exact: different texts with one
    fingerprint come apart, and those that are not frequent go.
 4. Cuts of a phrase into two are looked up in the table of frequent phrases, scored in exact decimals, and phrases
    inside a longer one of the same count are dropped. The first rows of a language come from the first rows of 64
@@ -39,6 +39,8 @@ from strandlake.session import discard, settle, spread
 LONGEST, LEAST, MOST_ROWS = 5, 100, 2000
 #: Bytes of a run of texts or block of a long one; fingerprints that a worker adds up before it sends them.
 RUN, HELD = 1 << 22, 1 << 21
+#: Phrases that a worker holds before it sends them with their counts (about 100 bytes each).
+MOST_PHRASES = 1 << 20
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _GAP = _BREAK.copy()
@@ -162,56 +164,115 @@ def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None
     return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def same_bytes(packed: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether the bytes from a and from b on are the same, for size bytes each."""
+def ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers begin, begin + 1, … of each range in a row, and where each range starts among them."""
+    start = np.concatenate([[0], np.cumsum(size)])
+    return np.repeat(begin - start[:-1], size) + np.arange(start[-1]), start[:-1]
+
+
+def same_bytes(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the bytes of x from a and of y from b on are the same, for size bytes each."""
     out = np.ones(len(a), bool)
     for at in range(0, len(a), 1 << 16):
-        s = size[at : at + (1 << 16)]
-        begin = np.concatenate([[0], np.cumsum(s)])
-        step = np.arange(begin[-1])
-        differ = packed[np.repeat(a[at : at + (1 << 16)] - begin[:-1], s) + step] != packed[np.repeat(b[at : at + (1 << 16)] - begin[:-1], s) + step]
-        out[at : at + (1 << 16)] = np.add.reduceat(differ, begin[:-1]) == 0
+        part = slice(at, at + (1 << 16))
+        own, start = ranges(a[part], size[part])
+        out[part] = np.add.reduceat(x[own] != y[ranges(b[part], size[part])[0]], start) == 0
     return out
 
 
+class Phrases:
+    """Phrases of a worker with their counts: the text of each stands in a store, and every further occurrence of its
+    fingerprint is compared to it."""
+
+    NUMBERS = ("size", "words", "n", "doc", "word")
+
+    def __init__(self):
+        self.keys, self.at = np.empty(0, U), np.empty(0, np.int64)  # sorted fingerprints, and their places in what follows
+        self.store, self.begin, self.salt = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, U)
+        self.size, self.words, self.n, self.doc, self.word = (np.empty(0, np.int64) for _ in self.NUMBERS)
+
+    def add(self, p: Prints, first: np.ndarray, keys: np.ndarray, words: int, doc: np.ndarray, word: np.ndarray) -> None:
+        """Occurrences at the words `first` of a block: their fingerprints, length, documents and numbers within them."""
+        while len(first):
+            kinds, pointer, where = np.unique(keys, return_index=True, return_inverse=True)
+            begin, size, salt = p.begin[first], p.end[first + words - 1] - p.begin[first], p.salt[first]
+            alike = (size == size[pointer][where]) & (salt == salt[pointer][where])
+            alike[alike] = same_bytes(p.packed, begin[alike], p.packed, begin[pointer][where][alike], size[alike])
+            self.count(p.packed, kinds, begin[pointer], size[pointer], salt[pointer], words, np.bincount(where[alike], minlength=len(kinds)), doc[pointer], word[pointer])
+            first, keys, doc, word = first[~alike], keys[~alike], doc[~alike], word[~alike]  # other texts with the same fingerprints
+
+    def count(self, packed: np.ndarray, kinds: np.ndarray, begin: np.ndarray, size: np.ndarray, salt: np.ndarray, words: int, n: np.ndarray, doc: np.ndarray, word: np.ndarray) -> None:
+        new = np.ones(len(kinds), bool)
+        if len(self.keys):
+            place = np.minimum(np.searchsorted(self.keys, kinds), len(self.keys) - 1)
+            new = self.keys[place] != kinds
+            row = self.at[place]
+            same = ~new & (self.size[row] == size) & (self.salt[row] == salt)
+            same[same] = same_bytes(self.store, self.begin[row[same]], packed, begin[same], size[same])
+            self.n[row[same]] += n[same]
+        else:
+            same = np.zeros(len(kinds), bool)
+        if same.all():
+            return
+        rest = ~same
+        take, start = ranges(begin[rest], size[rest])
+        number = len(self.n) + np.arange(rest.sum())
+        self.begin, self.salt = np.concatenate([self.begin, len(self.store) + start]), np.concatenate([self.salt, salt[rest]])
+        self.store = np.concatenate([self.store, packed[take]])
+        for name, values in zip(self.NUMBERS, (size, np.full(len(kinds), words), n, doc, word), strict=True):
+            setattr(self, name, np.concatenate([getattr(self, name), values[rest]]))
+        every = np.concatenate([self.keys, kinds[new]])  # a text whose fingerprint is taken stays beside the index
+        order = np.argsort(every)
+        self.keys, self.at = every[order], np.concatenate([self.at, number[new[rest]]])[order]
+
+
+NO_ID = -(1 << 63)
+COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("word", pa.int64())])
+
+
 def phrase_counts(docs: DataFrame, known: Broadcast, least: int) -> DataFrame:
     """lang, phrase, words, n, doc_id, word of every phrase of up to LONGEST words that occurs least times or more: exact counts by text, and one occurrence (a
     document and the number of the word within it). The row of no words has the number of all words of a language."""
-    schema = "lang string, phrase string, words int, n long, doc_id long, word long"
-    arrow = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("word", pa.int64())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, names, total = Phrases(), {}, {}
+
+        def rows() -> pa.RecordBatch:
+            raw = held.store.tobytes()
+            texts = [raw[b : b + s].decode() for b, s in zip(held.begin.tolist(), held.size.tolist(), strict=True)]
+            langs = [names[x] for x in held.salt.tolist()] + list(total)
+            more = len(total)
+            doc = np.concatenate([held.doc, np.full(more, NO_ID)])
+            numbers = [np.concatenate([held.words, np.zeros(more, np.int64)]), np.concatenate([held.n, np.array([*total.values()], np.int64)])]
+            columns = [pa.array(langs, pa.string()), pa.array(texts + [""] * more, pa.string()), pa.array(numbers[0].astype("i4")), pa.array(numbers[1]), pa.array(doc, mask=doc == NO_ID), pa.array(np.concatenate([held.word, np.zeros(more, np.int64)]))]
+            return pa.RecordBatch.from_arrays(columns, schema=COUNTED)
+
         for batch in stream:
-            langs, ids = [x or "und" for x in batch.column(1).to_pylist()], batch.column(2).to_pylist()
+            langs = [x or "und" for x in batch.column(1).to_pylist()]
+            names.update(zip(salts(langs).tolist(), langs, strict=True))
+            ids = np.array([NO_ID if x is None else x for x in batch.column(2).to_pylist()], np.int64)
             row, words = -1, 0  # of a long text in blocks: words before this one
             for at, p in runs(batch):
                 words = words if row == at + p.text[0] else 0
-                row = at + int(p.text[-1])
-                begun = np.searchsorted(p.text, p.text)  # first word of each word's text
-                rows: list[tuple] = []
+                last = p.text[p.own - 1]
+                row = at + int(last)
+                word = np.arange(len(p.text)) - np.searchsorted(p.text, p.text) + words * (p.text == p.text[0])
                 per = np.bincount(p.text[: p.own])
-                rows += [(langs[at + k], "", 0, int(per[k]), None, None) for k in np.flatnonzero(per).tolist()]
+                for k in np.flatnonzero(per).tolist():
+                    total[langs[at + k]] = total.get(langs[at + k], 0) + int(per[k])
                 for n in range(1, LONGEST + 1):
                     first = p.whole(n) if n == 1 else p.frequent(n, known.value, n - 1)
                     keys = p.of(first, n)
                     kept = bitmap.holds(known.value, keys)
                     first, keys = first[kept], keys[kept]
-                    while len(first):
-                        kinds, pointer, where, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                        size = p.end[first + n - 1] - p.begin[first]
-                        as_pointed = pointer[where]
-                        alike = (size == size[as_pointed]) & (p.salt[first] == p.salt[first[as_pointed]])
-                        alike[alike] = same_bytes(p.packed, p.begin[first[alike]], p.begin[first[as_pointed[alike]]], size[alike])
-                        counts = np.bincount(where[alike], minlength=len(kinds))
-                        raw = p.packed.tobytes()
-                        for k, c in zip(first[pointer].tolist(), counts.tolist(), strict=True):
-                            t = int(p.text[k])
-                            rows.append((langs[at + t], raw[p.begin[k] : p.end[k + n - 1]].decode(), n, c, ids[at + t], int(k - begun[k]) + (words if t == p.text[0] else 0)))
-                        first, keys = first[~alike], keys[~alike]  # other texts with the same fingerprints
-                words = (words if p.text[0] == p.text[-1] else 0) + int(per[-1])
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
-
-    sums = docs.mapInArrow(run, schema).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("at"))
+                    held.add(p, first, keys, n, ids[at + p.text[first]], word[first])
+                words = (words if p.text[0] == last else 0) + int(per[-1])
+                if len(held.n) > MOST_PHRASES:
+                    yield rows()
+                    held, total = Phrases(), {}
+        yield rows()
+
+    sums = docs.mapInArrow(run, "lang string, phrase string, words int, n long, doc_id long, word long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("at"))
     return sums.where(F.col("n") >= F.when(F.col("words") > 0, least).otherwise(0)).select("lang", "phrase", "words", "n", "at.doc_id", "at.word")
 
 
