@@ -87,7 +87,7 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     known, _ = settle(known, "urls")
     held = known.select("url", "subject", F.explode(F.concat(F.array_remove(tokens(F.col("subject")), ""), F.array(F.lit("")))).alias("token"))
     sought = rules.select(F.explode(F.regexp_extract_all(lowered(F.col("pattern")), F.lit(SAFE), F.lit(0))).alias("token")).distinct()
-    counts = held.select("token").join(sought, "token").groupBy("token").agg(F.count("*").alias("n"))
+    counts = held.groupBy("token").agg(F.count("*").alias("n")).join(sought, "token")
     index, _ = settle(filed(rules, counts), "rules")
     fits = held.join(index, "token").where(F.expr("subject RLIKE expr"))
     listed = F.col("rule").isNotNull()
