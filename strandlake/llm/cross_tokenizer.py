@@ -39,8 +39,13 @@ from strandlake.session import settle, spread
 
 CHUNK, FAN, HOT = 1 << 16, 16, 1 << 20
 #: Bytes of texts that a worker aligns together; stretches and their characters that it remembers.
-RUN, KEPT, KEPT_CHARS = 1 << 22, 300_000, 1 << 25
+RUN, KEPT, KEPT_CHARS = 1 << 22, 500_000, 1 << 25
+#: Stretches that are encoded together.
+TOGETHER = 200
 CUT = re.compile(r"(?<=\S) (?=\S)")
+LATIN = re.compile("[\x00-\u024f]*").fullmatch
+#: Fixed value: how byte-level vocabularies of this family part words.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FIELDS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "cold", "bad")
 BLANK = "▁"
 
@@ -62,61 +67,96 @@ def cuttable(a: object, b: object) -> bool:
     return bool(first and second)
 
 
+def ranked(a: object, token_bytes: list[bytes], special: set[int]) -> dict[bytes, int] | None:
+    """Ids by token bytes, where they are also the order of the merges: then the pair with the least id merges first, as it does by the
+    list of merges, and a library that knows ids alone gives the same. None where they are not."""
+    spec = json.loads(a.to_str())
+    model, of = spec["model"], byte_level()
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    made = [model["vocab"].get(x + y, -1) for x, y in merges]
+    alone = all(model["vocab"].get(c, 1 << 30) < min(made, default=0) for c in of)
+    if not alone or made != sorted(set(made)) or len(made) + 256 + len(special) != len(token_bytes) or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    return {t: k for k, t in enumerate(token_bytes) if k not in special}
+
+
 class Aligner:
     """Tokens, groups and links of stretches of text."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
         self.a.encode_special_tokens = True
-        self.split = CUT.split if cuttable(self.a, self.b) else lambda text: [text]
+        cut = cuttable(self.a, self.b)
+        self.split = CUT.split if cut else lambda text: [text]
         of = byte_level()
         special = {t["id"] for t in json.loads(self.a.to_str())["added_tokens"]}
         names = [self.a.id_to_token(k) for k in range(self.a.get_vocab_size())]
         self.a_bytes = [t.encode() if k in special else bytes(of[c] for c in t) for k, t in enumerate(names)]
         pieces = range(self.b.get_piece_size())
         self.b_bytes = [bytes([int(self.b.id_to_piece(k)[3:5], 16)]) if self.b.is_byte(k) else self.b.id_to_piece(k).replace(BLANK, " ").encode() for k in pieces]
+        ranks = ranked(self.a, self.a_bytes, special) if cut else None
+        self.fast = Encoding("pairs", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
         self.a_len, self.b_len = (np.array([*map(len, x)]) for x in (self.a_bytes, self.b_bytes))
         n = len(self.a_bytes)
         ids = [str(k).encode() for k in range(max(n, len(self.b_bytes)))]
         self.ends = [x + s for s, size in ((b",", n), (b"|", n), (b",", len(self.b_bytes)), (b";", len(self.b_bytes))) for x in ids[:size]]
 
-    def learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-        """Of stretches (without the leading blank): counts by FIELDS (links in no table yet), pairs of all links in a row, how many are each
-        one's, and its groups, each followed by ;."""
+    def sorted(self, units: list[str]) -> tuple[list[str], list[str], list[str]]:
+        """Stretches of Latin letters and signs, others, and those that are empty or have white space at an end."""
+        firm = [u for u in units if u and u == u.strip()]
+        edge = [u for u in units if not u or u != u.strip()]
+        latin = [u for u in firm if u.isascii() or LATIN(u)] if self.fast else []
+        return latin, [u for u in firm if not (u.isascii() or LATIN(u))] if self.fast else firm, edge
+
+    def tokens(self, latin: list[str], firm: list[str], edge: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both tokenizers for the stretches in a row. Those without white space at their ends are encoded together
+        with a blank between, as each begins new tokens; Latin ones by the faster library."""
+        joined = lambda units: [" ".join(units[k : k + TOGETHER]) for k in range(0, len(units), TOGETHER)]
+        fast, texts = joined(latin), [*joined(firm), *edge]
+        a = [self.fast.encode_ordinary(" " + t) for t in fast] + [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(fast + texts, num_threads=1)
+        return tuple(np.concatenate([np.zeros(0, np.int64), *(np.array(x, np.int64) for x in ids)]) for ids in (a, b))
+
+    def whole(self, a: np.ndarray, b: np.ndarray, raw: bytes) -> bool:
+        return all(b"".join(map(of.__getitem__, ids.tolist())) == raw for of, ids in ((self.a_bytes, a), (self.b_bytes, b)))
+
+    def learn(self, units: list[str], with_groups: bool = True) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Of stretches (without the leading blank), which come back in another order: counts by FIELDS (links in no table yet), pairs of
+        all links in a row, how many are each one's, and its groups, each followed by ;."""
+        kinds = self.sorted(units)
+        units = [*chain.from_iterable(kinds)]
         raw = [b" " + u.encode() for u in units]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1)
-        good = np.array([self.whole(x, y, r) for x, y, r in zip(a, b, raw, strict=True)], bool)
-        a, b = ([x if g else [] for x, g in zip(ids, good.tolist(), strict=True)] for ids in (a, b))
-        n_a, n_b = (np.array([*map(len, ids)]) for ids in (a, b))
-        size = np.where(good, [*map(len, raw)], 0)
-        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        a, b = self.tokens(*kinds)
+        good = np.ones(len(units), bool)
+        if not self.whole(a, b, b"".join(raw)):  # some are not what their tokens spell: told apart one by one
+            good = np.array([self.whole(*self.tokens(*self.sorted([u])), x) for u, x in zip(units, raw, strict=True)], bool)
+            a, b = self.tokens(*self.sorted([u for u, g in zip(units, good.tolist(), strict=True) if g]))
+        stops = np.cumsum(np.where(good, [*map(len, raw)], 0))
         end_a, end_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")
+        ends = ends[np.diff(ends, prepend=-1) > 0]
         at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         pairs = a[at_a] << 32 | b[at_b]
         cuts = ends[(end_a[at_a] == ends) & (end_b[at_b] == ends)]
-        stops = np.cumsum(size)
-        until = np.searchsorted(ends, stops, "right")
-        n_links = np.diff(until, prepend=0)
-        n_groups = np.diff(np.searchsorted(cuts, stops, "right"), prepend=0)
+        counts = np.zeros((len(units), len(FIELDS)), np.int64)
+        for k, sorted_ends in enumerate((end_a, end_b, cuts, ends)):
+            counts[:, k] = np.diff(np.searchsorted(sorted_ends, stops, "right"), prepend=0)
+        counts[:, 7] = ~good
+        if not with_groups:
+            return units, counts, pairs, counts[:, 3], []
         group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
         n = len(self.a_bytes)
         codes = np.concatenate([a + n * (cuts[group_a] == end_a), b + 2 * n + len(self.b_bytes) * (cuts[group_b] == end_b)])
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         strings = [*map(self.ends.__getitem__, codes[order].tolist())]
-        to = np.cumsum(n_a + n_b).tolist()
-        groups = [b"".join(strings[s:e]) for s, e in zip([0, *to], to)]
-        counts = np.zeros((len(units), len(FIELDS)), np.int64)
-        counts[:, 0], counts[:, 1], counts[:, 2], counts[:, 3], counts[:, 7] = n_a, n_b, n_groups, n_links, ~good
-        return counts, pairs, n_links, groups
-
-    def whole(self, a: list[int], b: list[int], raw: bytes) -> bool:
-        return b"".join(map(self.a_bytes.__getitem__, a)) == raw and b"".join(map(self.b_bytes.__getitem__, b)) == raw
+        text, size = b"".join(strings), np.array([*map(len, strings)], np.int64)
+        to = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts[:, 0] + counts[:, 1])].tolist()
+        return units, counts, pairs, counts[:, 3], [text[s:e] for s, e in zip([0, *to], to)]
 
 
 class Known:
@@ -139,7 +179,7 @@ class Known:
         index = self.index
         new = [u for u in set().union(*lists) if u not in index]
         if new:
-            counts, pairs, n_pairs, groups = self.aligner.learn(new)
+            new, counts, pairs, n_pairs, groups = self.aligner.learn(new, self.hot is not None)
             first = len(index)
             index.update(zip(new, range(first, first + len(new)), strict=True))
             self.chars += sum(map(len, new))

@@ -97,6 +97,17 @@ def test_alignment_of_strange_rows(spark):
     assert cross_tokenizer.align(docs.where("doc_id = 7"), *FILES).count() == 0
 
 
+def test_the_faster_library_gives_the_same_ids():
+    """On every token by itself, pairs of tokens, and random Latin strings."""
+    a = cross_tokenizer.Aligner(*FILES)
+    assert a.fast
+    tokens = [t.decode() for t in a.a_bytes[:-1] if cross_tokenizer.LATIN(t.decode("utf-8", "replace"))]
+    assert len(tokens) > 49_000
+    letters = [chr(k) for k in range(1, 0x250)]
+    texts = tokens + [r.choice(tokens) + r.choice(tokens) for _ in range(20_000)] + ["".join(r.choice(letters) for _ in range(r.randint(1, 12))) for _ in range(5000)] + ["".join(r.choice("aeinrst'.,0 1\n") for _ in range(20)) for _ in range(5000)]
+    assert [e.ids for e in a.a.encode_batch_fast(texts, add_special_tokens=False)] == [a.fast.encode_ordinary(t) for t in texts]
+
+
 def test_fragments_compose_in_any_order():
     """The monoid's law: however the fragments of a text are bracketed, the same parts close."""
     for _ in range(200):
