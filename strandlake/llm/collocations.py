@@ -5,13 +5,14 @@ counted for each language on its own (null: `und`).
 
 1. A worker writes the words of a run of texts behind one another with one blank after each. Prefix polynomials over
    these bytes (numpy, modulo 2 ** 64) give the fingerprint of every n-gram by one subtraction and one product; the
-   language is mixed in. Runs are counted by sorting; workers and Spark add the counts up before the shuffle.
+   language is mixed in. Runs are counted by sorting; workers and Spark add the counts up before the shuffle, with a
+   pointer (the first task that has an occurrence) and the least and greatest of a second fingerprint of 31 bits.
 2. Words are counted first, then n-grams whose shorter parts are all frequent: a bit map of the frequent
-   fingerprints, of at most MOST_BITS, is broadcast for each length. It never hides a frequent n-gram; where it is too
+   fingerprints, of at most 16 MB, is broadcast for each length. It never hides a frequent n-gram; where it is too
    small for its keys it only lets more of the others through.
-3. In a last reading, a worker takes the text of an n-gram with a frequent fingerprint from its first occurrence, compares the bytes of all
-   others to it, and sends text, count and pointer (document, number of the word) on when its share is done. Counts by text are exact: different texts with one
-   fingerprint come apart, and those that are not frequent go.
+3. In a last reading, the task that a pointer names sends the text of the frequent n-gram, once, with the document and the
+   number of the word. Where second fingerprints or texts differ, different n-grams share a fingerprint: these are read
+   again and counted by their texts, so counts are exact unless 95 bits agree.
 4. Cuts of a phrase into two are looked up in the table of frequent phrases, scored in exact decimals, and phrases
    inside a longer one of the same count are dropped. The first rows of a language come from the first rows of 64
    parts of it.
@@ -26,8 +27,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,7 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _GAP = _BREAK.copy()
 _GAP[[9, 32]] = True
+OTHER = np.random.default_rng(20250311).integers(1, 2**64, 256, dtype=U)
 
 
 def word_runs(flat: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -80,17 +83,25 @@ def word_runs(flat: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 class Prints:
     """Fingerprints of the n-grams of a block."""
 
-    def __init__(self, run: tuple, salts: np.ndarray):
+    def __init__(self, run: tuple, salts: np.ndarray, bits: int = 64):
+        self.shift = U(64 - bits)
         self.packed, self.begin, self.end, self.piece, self.text, self.own = run
         power, self.inverse = _power(len(self.packed) + 1)
         self.sums = np.zeros(len(self.packed) + 1, U)
         np.cumsum(_BYTE[self.packed] * power[: len(self.packed)], out=self.sums[1:])
+        self.others = np.zeros(len(self.packed) + 1, U)
+        np.cumsum(OTHER[self.packed] * power[: len(self.packed)], out=self.others[1:])
         self.salt = salts[self.text]
 
     def of(self, first: np.ndarray, n: int) -> np.ndarray:
         """Of the n-grams that begin at these words."""
         b, e = self.begin[first], self.end[first + n - 1]
-        return mix64((self.sums[e] - self.sums[b]) * self.inverse[b] ^ self.salt[first])
+        return mix64((self.sums[e] - self.sums[b]) * self.inverse[b] ^ self.salt[first]) >> self.shift
+
+    def check(self, first: np.ndarray, n: int) -> np.ndarray:
+        """A second fingerprint of them, by other values of the bytes: 31 bits."""
+        b, e = self.begin[first], self.end[first + n - 1]
+        return (mix64((self.others[e] - self.others[b]) * self.inverse[b] ^ self.salt[first]) >> U(33)).astype(np.int64)
 
     def whole(self, n: int) -> np.ndarray:
         """Words of the block at which n words of one piece begin."""
@@ -110,25 +121,25 @@ def salts(langs: list[str | None]) -> np.ndarray:
     return np.array([seen[x] for x in langs], U)
 
 
-def runs(batch: pa.RecordBatch) -> Iterator[tuple[int, Prints]]:
+def runs(batch: pa.RecordBatch, bits: int) -> Iterator[tuple[int, Prints]]:
     """First row and fingerprints of every run of a batch (text, lang, …)."""
     salt = salts(batch.column(1).to_pylist())
     for at, flat, offsets in batches(batch, 0, RUN, 1 << 14):
         for run in word_runs(flat, offsets):
-            yield at, Prints(run, salt[at:])
+            yield at, Prints(run, salt[at:], bits)
 
 
 class Tally:
-    """Counts by key, added up until many different keys are held."""
+    """Counts by key, with the least and the greatest second fingerprint of each, added up until many different keys are held."""
 
-    def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+    SCHEMA = "key long, n long, low int, high int, part int"
+
+    def __init__(self, part: int):
+        self.part, self.waiting, self.held = part, [], 0
 
-    def add(self, keys: np.ndarray) -> pa.RecordBatch | None:
-        kinds, counts = np.unique(keys, return_counts=True)
-        self.keys.append(kinds)
-        self.counts.append(counts)
-        self.held += len(kinds)
+    def add(self, keys: np.ndarray, check: np.ndarray) -> pa.RecordBatch | None:
+        self.waiting.append(grouped(keys, np.ones(len(keys), np.int64), check, check))
+        self.held += len(self.waiting[-1][0])
         if self.held > HELD:
             self.merge()
             if self.held > HELD // 2:
@@ -136,32 +147,108 @@ class Tally:
         return None
 
     def merge(self) -> None:
-        kinds, where = np.unique(np.concatenate(self.keys), return_inverse=True)
-        self.counts = [np.bincount(where, np.concatenate(self.counts)).astype(np.int64)]
-        self.keys, self.held = [kinds], len(kinds)
+        self.waiting = [grouped(*(np.concatenate(x) for x in zip(*self.waiting, strict=True)))]
+        self.held = len(self.waiting[0][0])
 
     def rows(self) -> pa.RecordBatch:
         self.merge()
-        out = pa.RecordBatch.from_arrays([pa.array(self.keys[0].view(np.int64)), pa.array(self.counts[0])], names=["key", "n"])
-        self.keys, self.counts, self.held = [], [], 0
-        return out
+        keys, n, low, high = self.waiting[0]
+        self.waiting, self.held = [], 0
+        columns = [pa.array(keys.view(np.int64)), pa.array(n), pa.array(low.astype("i4")), pa.array(high.astype("i4")), pa.array(np.full(len(keys), self.part, "i4"))]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "n", "low", "high", "part"])
 
 
-def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None, least: int) -> DataFrame:
-    """key, n of the fingerprints of these lengths that occur least times or more, among n-grams whose parts (one word shorter than the least length) are known."""
+def grouped(keys: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[begin], np.add.reduceat(n[order], begin), np.minimum.reduceat(low[order], begin), np.maximum.reduceat(high[order], begin)
+
+
+def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None, least: int, bits: int = 64) -> DataFrame:
+    """key, n, low, high, part of the fingerprints of these lengths that occur least times or more, among n-grams whose parts (one word shorter
+    than the least length) are known. low and high differ if texts share a fingerprint; part points to a task that has read an occurrence."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
+        tally = Tally(TaskContext.get().partitionId())
         for batch in stream:
-            for _, p in runs(batch):
+            for _, p in runs(batch, bits):
                 for n in lengths:
                     first = p.whole(n) if known is None else p.frequent(n, known.value, lengths[0] - 1)
-                    if len(first) and (full := tally.add(p.of(first, n))):
+                    if len(first) and (full := tally.add(p.of(first, n), p.check(first, n))):
                         yield full
         if tally.held:
             yield tally.rows()
 
-    return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("part").alias("part"))
+    return sums.where(F.col("n") >= least)
+
+
+def pointed(keys: np.ndarray, part: int) -> np.ndarray:
+    """What stands in the map of pointers for a fingerprint and a task."""
+    return mix64(keys ^ mix64(np.full(1, part + 1, U)))
+
+
+def pointers(frequent: DataFrame) -> DataFrame:
+    """key of the map of pointers."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            part = f["part"].to_numpy().astype(U)
+            yield pd.DataFrame({"key": mix64(f["key"].to_numpy().view(U) ^ mix64(part + U(1))).view(np.int64)})
+
+    return frequent.select("key", "part").mapInPandas(run, "key long")
+
+
+def texts(docs: DataFrame, known: Broadcast, pointing: Broadcast, bits: int = 64) -> DataFrame:
+    """key, lang, phrase, words, doc_id, word: the text of an n-gram where its pointer says, once a task. The rows of no words have, as key, how many
+    words of a language a task has read."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, told, total = TaskContext.get().partitionId(), np.empty(0, U), {}
+        for batch in stream:
+            for p, langs, ids, word in placed(batch, total, bits):
+                rows: list[tuple] = []
+                for n in range(1, LONGEST + 1):
+                    first = p.whole(n) if n == 1 else p.frequent(n, known.value, n - 1)
+                    keys, at = np.unique(p.of(first, n), return_index=True)
+                    here = bitmap.holds(pointing.value, pointed(keys, part))
+                    here[here] = ~np.isin(keys[here], told)
+                    told = np.concatenate([told, keys[here]])
+                    raw = p.packed.tobytes() if here.any() else b""
+                    for key, k in zip(keys[here].view(np.int64).tolist(), first[at[here]].tolist(), strict=True):
+                        rows.append((key, langs[p.text[k]], raw[p.begin[k] : p.end[k + n - 1]].decode(), n, ids[p.text[k]], int(word[k])))
+                if rows:
+                    yield as_batch(rows)
+        if total:
+            yield as_batch([(n, lang, "", 0, None, None) for lang, n in total.items()])
+
+    return docs.mapInArrow(run, TEXTS)
+
+
+TEXTS = "key long, lang string, phrase string, words int, doc_id long, word long"
+
+
+def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=[c.split(" ")[0] for c in TEXTS.split(", ")])
+
+
+def placed(batch: pa.RecordBatch, total: dict[str, int], bits: int) -> Iterator[tuple]:
+    """Of every block: fingerprints, languages and ids from its first text on, the number of each word within its text. total
+    counts the words of each language."""
+    langs, ids = [x or "und" for x in batch.column(1).to_pylist()], batch.column(2).to_pylist()
+    row, words = -1, 0  # of a long text in blocks: words before this one
+    for at, p in runs(batch, bits):
+        words = words if row == at + p.text[0] else 0
+        last = p.text[p.own - 1]
+        row = at + int(last)
+        word = np.arange(len(p.text)) - np.searchsorted(p.text, p.text) + words * (p.text == p.text[0])
+        per = np.bincount(p.text[: p.own])
+        for k in np.flatnonzero(per).tolist():
+            total[langs[at + k]] = total.get(langs[at + k], 0) + int(per[k])
+        yield p, langs[at:], ids[at:], word
+        words = (words if p.text[0] == last else 0) + int(per[-1])
 
 
 def ranges(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +275,7 @@ class Phrases:
 
     def __init__(self):
         self.keys, self.at = np.empty(0, U), np.empty(0, np.int64)  # sorted fingerprints, and their places in what follows
-        self.store, self.begin, self.salt = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, U)
+        self.store, self.begin, self.salt, self.key = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, U), np.empty(0, U)
         self.size, self.words, self.n, self.doc, self.word = (np.empty(0, np.int64) for _ in self.NUMBERS)
 
     def add(self, p: Prints, first: np.ndarray, keys: np.ndarray, words: int, doc: np.ndarray, word: np.ndarray) -> None:
@@ -217,7 +304,7 @@ class Phrases:
         rest = ~same
         take, start = ranges(begin[rest], size[rest])
         number = len(self.n) + np.arange(rest.sum())
-        self.begin, self.salt = np.concatenate([self.begin, len(self.store) + start]), np.concatenate([self.salt, salt[rest]])
+        self.begin, self.salt, self.key = (np.concatenate(x) for x in ((self.begin, len(self.store) + start), (self.salt, salt[rest]), (self.key, kinds[rest])))
         self.store = np.concatenate([self.store, packed[take]])
         for name, values in zip(self.NUMBERS, (size, np.full(len(kinds), words), n, doc, word), strict=True):
             setattr(self, name, np.concatenate([getattr(self, name), values[rest]]))
@@ -227,53 +314,61 @@ class Phrases:
 
 
 NO_ID = -(1 << 63)
-COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64()), ("doc_id", pa.int64()), ("word", pa.int64())])
 
 
-def phrase_counts(docs: DataFrame, known: Broadcast, least: int) -> DataFrame:
-    """lang, phrase, words, n, doc_id, word of every phrase of up to LONGEST words that occurs least times or more: exact counts by text, and one occurrence (a
-    document and the number of the word within it). The row of no words has the number of all words of a language."""
+def exact_counts(docs: DataFrame, known: Broadcast, shared: Broadcast, least: int, bits: int = 64) -> DataFrame:
+    """lang, phrase, words, n, doc_id, word, keys of the phrases with a shared fingerprint, counted by their texts."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, names, total = Phrases(), {}, {}
+        held, names = Phrases(), {}
 
         def rows() -> pa.RecordBatch:
             raw = held.store.tobytes()
-            texts = [raw[b : b + s].decode() for b, s in zip(held.begin.tolist(), held.size.tolist(), strict=True)]
-            langs = [names[x] for x in held.salt.tolist()] + list(total)
-            more = len(total)
-            doc = np.concatenate([held.doc, np.full(more, NO_ID)])
-            numbers = [np.concatenate([held.words, np.zeros(more, np.int64)]), np.concatenate([held.n, np.array([*total.values()], np.int64)])]
-            columns = [pa.array(langs, pa.string()), pa.array(texts + [""] * more, pa.string()), pa.array(numbers[0].astype("i4")), pa.array(numbers[1]), pa.array(doc, mask=doc == NO_ID), pa.array(np.concatenate([held.word, np.zeros(more, np.int64)]))]
-            return pa.RecordBatch.from_arrays(columns, schema=COUNTED)
+            found = [raw[b : b + s].decode() for b, s in zip(held.begin.tolist(), held.size.tolist(), strict=True)]
+            columns = [pa.array(held.key.view(np.int64)), pa.array([names[x] for x in held.salt.tolist()], pa.string()), pa.array(found, pa.string()), pa.array(held.words.astype("i4")), pa.array(held.doc, mask=held.doc == NO_ID), pa.array(held.word), pa.array(held.n)]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "lang", "phrase", "words", "doc_id", "word", "n"])
 
         for batch in stream:
             langs = [x or "und" for x in batch.column(1).to_pylist()]
             names.update(zip(salts(langs).tolist(), langs, strict=True))
-            ids = np.array([NO_ID if x is None else x for x in batch.column(2).to_pylist()], np.int64)
-            row, words = -1, 0  # of a long text in blocks: words before this one
-            for at, p in runs(batch):
-                words = words if row == at + p.text[0] else 0
-                last = p.text[p.own - 1]
-                row = at + int(last)
-                word = np.arange(len(p.text)) - np.searchsorted(p.text, p.text) + words * (p.text == p.text[0])
-                per = np.bincount(p.text[: p.own])
-                for k in np.flatnonzero(per).tolist():
-                    total[langs[at + k]] = total.get(langs[at + k], 0) + int(per[k])
+            for p, _, ids, word in placed(batch, {}, bits):
+                ids = np.array([NO_ID if x is None else x for x in ids[: p.text[-1] + 1]], np.int64)
                 for n in range(1, LONGEST + 1):
                     first = p.whole(n) if n == 1 else p.frequent(n, known.value, n - 1)
                     keys = p.of(first, n)
-                    kept = bitmap.holds(known.value, keys)
+                    kept = bitmap.holds(shared.value, keys)
                     first, keys = first[kept], keys[kept]
-                    held.add(p, first, keys, n, ids[at + p.text[first]], word[first])
-                words = (words if p.text[0] == last else 0) + int(per[-1])
+                    held.add(p, first, keys, n, ids[p.text[first]], word[first])
                 if len(held.n) > MOST_PHRASES:
                     yield rows()
-                    held, total = Phrases(), {}
+                    held = Phrases()
         yield rows()
 
-    sums = docs.mapInArrow(run, "lang string, phrase string, words int, n long, doc_id long, word long").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("at"))
-    return sums.where(F.col("n") >= F.when(F.col("words") > 0, least).otherwise(0)).select("lang", "phrase", "words", "n", "at.doc_id", "at.word")
+    sums = docs.mapInArrow(run, TEXTS + ", n long").groupBy("key", "lang", "phrase", "words").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("at"))
+    return sums.where(F.col("n") >= least).select("key", "lang", "phrase", "words", "n", "at.doc_id", "at.word")
+
+
+def phrase_counts(docs: DataFrame, frequent: DataFrame, least: int, bits: int = 64) -> DataFrame:
+    """lang, phrase, words, n, doc_id, word of every phrase of up to LONGEST words that occurs least times or more: exact counts, and one
+    occurrence (a document and the number of the word within it). The row of no words has the number of all words of a language."""
+    known = bitmap.broadcast_bits(frequent, frequent.count())
+    pointing = bitmap.broadcast_bits(pointers(frequent), frequent.count())
+    told, _ = settle(texts(docs, known, pointing, bits), "texts")
+    pointing.unpersist()
+    total = told.where("words = 0").groupBy("lang").agg(F.sum("key").alias("n"))
+    total = total.select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "n", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("word"))
+    one = told.where("words > 0").groupBy("key").agg(F.min(F.struct("lang", "phrase", "words", "doc_id", "word")).alias("t"), F.max(F.struct("lang", "phrase")).alias("last"))
+    met = frequent.join(one, "key").withColumn("shared", (F.col("low") != F.col("high")) | (F.col("t.lang") != F.col("last.lang")) | (F.col("t.phrase") != F.col("last.phrase")))
+    met, _ = settle(met, "met")
+    out = total.unionByName(met.where("NOT shared").select("t.lang", "t.phrase", "t.words", "n", "t.doc_id", "t.word"))
+    shared = met.where("shared").select("key")
+    if n := shared.count():
+        again = bitmap.broadcast_bits(shared, n)
+        found, _ = settle(exact_counts(docs, known, again, least, bits), "exact")
+        again.unpersist()
+        out = out.unionByName(found.join(shared, "key", "left_semi").drop("key"))
+    known.unpersist()
+    return out
 
 
 def scored(phrases: DataFrame) -> DataFrame:
@@ -309,22 +404,21 @@ def first_rows(scores: DataFrame, most: int) -> DataFrame:
     return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= most)
 
 
-def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST_ROWS) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, and one occurrence (doc_id, word), of the first phrases of each language. docs: text, lang, doc_id."""
+def collocations(docs: DataFrame, least: int = LEAST, most: int = MOST_ROWS, bits: int = 64) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score, and one occurrence (doc_id, word), of the first phrases of each language. docs: text, lang, doc_id.
+    bits: of the fingerprints (fewer make more work and the same result)."""
     spark = docs.sparkSession
     src = spread(docs.select(F.col("text"), F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id")))
     paths, frequent, known = [], None, None
     for lengths in ([1], [2], [3], [4, 5]):
-        found, path = settle(frequent_prints(src, lengths, known, least), "prints")
+        found, path = settle(frequent_prints(src, lengths, known, least, bits), "prints")
         paths.append(path)
         if known:
             known.unpersist()
         known = bitmap.broadcast_bits(found, found.count())
         frequent = found if frequent is None else frequent.unionByName(found)
     known.unpersist()
-    known = bitmap.broadcast_bits(frequent, frequent.count())
-    phrases, _ = settle(phrase_counts(src, known, least), "phrases")
-    known.unpersist()
+    phrases, _ = settle(phrase_counts(src, frequent, least, bits), "phrases")
     for path in paths:
         discard(spark, path)
     scores, _ = settle(scored(phrases), "scores")

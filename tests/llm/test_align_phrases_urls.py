@@ -170,10 +170,12 @@ def phrase_rows():
     return rows + [rows[20]] * 9
 
 
-def test_collocations(spark):
+@pytest.mark.parametrize("bits", [64, 9])
+def test_collocations(spark, bits):
+    """With fingerprints of nine bits nearly all are shared."""
     rows = phrase_rows()
     docs = spark.createDataFrame([(k, t, lang, "clash") for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string, n string").repartition(3)
-    got = collocations.collocations(docs, least=6, most=40)
+    got = collocations.collocations(docs, least=6, most=40, bits=bits)
     want = brute_phrases(rows, 6, 40)
     assert len(want) > 60
     found = got.collect()
@@ -214,7 +216,7 @@ def test_blocks_and_colliding_fingerprints(monkeypatch):
         value = np.full(4, 2**64 - 1, np.uint64)
 
     with pytest.raises(StopIteration):
-        collocations.phrase_counts(Docs(), Everything(), 1)
+        collocations.exact_counts(Docs(), Everything(), Everything(), 1)
     sums = Counter()
     for x in caught["rows"]:
         sums[x["phrase"]] += x["n"]
