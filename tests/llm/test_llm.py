@@ -743,3 +743,23 @@ def test_pipeline(spark, tmp_path):
     final = pipeline.run(spark, folder)
     assert final.count() == counts[-1]
     assert {x.doc_id for x in final.collect()} <= set(text)
+
+
+def test_passages_of_compilations_are_linked(spark):
+    """A and B share S alone; what stands around it stands elsewhere too, and parts of S stand in short texts that lead its keys."""
+    g = random.Random(21)
+    words_ = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows, wanted = [], []
+    for k in range(150):
+        x, s, z, y, u = (words_(60) for _ in range(5))
+        names = list(range(10 * k, 10 * k + 6))
+        g.shuffle(names)
+        for name, text in zip(names, (x + s + z, y + s + u, x + words_(9) + z, y + words_(9) + u, words_(20) + s[:38] + words_(20), words_(20) + s[22:] + words_(20)), strict=True):
+            rows.append((name, " ".join(text)))
+        wanted.append((names[0], names[1]))
+    found = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    direct = {(x.doc_id, x.match_id) for x in found}
+    classes = defaultdict(set)
+    for x in found:
+        classes[x.doc_id].add(x.class_id)
+    assert [p for p in wanted if p not in direct and not classes[p[0]] & classes[p[1]]] == []
