@@ -40,7 +40,7 @@ from strandlake.session import discard, settle, spread
 
 LONGEST, LEAST, MOST_ROWS = 5, 100, 2000
 #: Bytes of a run of texts or block of a long one; fingerprints that a worker adds up before it sends them.
-RUN, HELD = 1 << 22, 1 << 21
+RUN, HELD = 1 << 21, 1 << 20
 #: Phrases that a worker holds before it sends them with their counts (about 100 bytes each).
 MOST_PHRASES = 1 << 20
 _BREAK = np.zeros(256, bool)
@@ -101,7 +101,7 @@ class Prints:
     def check(self, first: np.ndarray, n: int) -> np.ndarray:
         """A second fingerprint of them, by other values of the bytes: 31 bits."""
         b, e = self.begin[first], self.end[first + n - 1]
-        return (mix64((self.others[e] - self.others[b]) * self.inverse[b] ^ self.salt[first]) >> U(33)).astype(np.int64)
+        return (mix64((self.others[e] - self.others[b]) * self.inverse[b] ^ self.salt[first]) >> U(33)).astype(np.int32)
 
     def whole(self, n: int) -> np.ndarray:
         """Words of the block at which n words of one piece begin."""
