@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.dna import SITE, bucket, pack
-from strandlake.session import exists, settle, shared_dir
+from strandlake.session import discard, exists, publish, scratch_path
 
 Mask = tuple[int, ...]
 #: Five blocks of four bases, and every pair of six blocks: both find all sites within four mismatches, the
@@ -36,24 +37,71 @@ def check_coverage(masks: Sequence[Mask], distance: int) -> None:
 
 
 def catalogue(sites: DataFrame) -> DataFrame:
-    """seq20, signature, occurrences: counted before anything is sliced, so repeats cost one row a task."""
-    return sites.groupBy("seq20").agg(F.count("*").alias("occurrences")).withColumn("signature", pack(F.col("seq20"))).select("seq20", "signature", "occurrences")
+    """seq20, signature, occurrences, gg (how many of them have a PAM in GG, as a column gg of sites says; all where it
+    is missing): counted before anything is sliced, so repeats cost one row a task."""
+    gg = F.count_if("gg") if "gg" in sites.columns else F.count("*")
+    return sites.groupBy("seq20").agg(F.count("*").alias("occurrences"), gg.alias("gg")).withColumn("signature", pack(F.col("seq20"))).select("seq20", "signature", "occurrences", "gg")
+
+
+def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """One catalogue of two, counts added: both are counted already, so a site is two rows at most."""
+    both = old.select("seq20", "signature", "occurrences", "gg").unionByName(new.select("seq20", "signature", "occurrences", "gg"))
+    return both.groupBy("seq20", "signature").agg(F.sum("occurrences").alias("occurrences"), F.sum("gg").alias("gg"))
+
+
+@dataclass(frozen=True)
+class Numbered:
+    """Sites in sorted order with dense ids from 0, stored by partitions of a range sort: part, place (within the part).
+
+    starts: the id at which each part begins, a number for each partition."""
+
+    rows: DataFrame
+    starts: dict[int, int]
+
+    def ids(self) -> DataFrame:
+        """The sites with global_id; a look-up in a literal map, no join."""
+        if not self.starts:
+            return self.rows.select("*", F.lit(0).cast("long").alias("global_id")).drop("part", "place")
+        start = F.create_map(*[F.lit(x) for pair in self.starts.items() for x in pair])
+        return self.rows.withColumn("global_id", F.element_at(start, F.col("part")).cast("long") + F.col("place")).drop("part", "place")
+
+    def count(self) -> int:
+        last = self.rows.where(F.col("part") == max(self.starts, default=-1)).count()
+        return self.starts[max(self.starts)] + last if self.starts else 0
+
+    def between(self, first: int, end: int) -> Numbered:
+        """Sites with first <= global_id < end. Parts outside are pruned by the statistics of their row groups, and so are
+        places in the parts at both ends."""
+        part, place, keep = F.col("part"), F.col("place"), F.lit(False)
+        ordered = sorted(self.starts.items())
+        inside = [p for p, s in ordered if s < end and s >= first]
+        before = [p for p, s in ordered if s < first][-1:]
+        for p in before + inside[-1:]:
+            keep = keep | ((part == p) & (place >= first - self.starts[p]) & (place < end - self.starts[p]))
+        if len(inside) > 1:
+            keep = keep | ((part >= inside[0]) & (part < inside[-1]))
+        return Numbered(self.rows.where(keep), self.starts)
+
+
+def numbered(sites: DataFrame, path: str, by: str = "seq20") -> Numbered:
+    """Sites numbered in sorted order without one task seeing all rows: a range sort, written once with each row's place in
+    its partition, and the counts of the partitions. What is at path already is used."""
+    spark = sites.sparkSession
+    if not exists(spark, path):
+        place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count a partition's rows
+        aside = f"{path}-{uuid.uuid4().hex}"
+        sites.repartitionByRange(F.col(by)).sortWithinPartitions(by).select("*", F.spark_partition_id().alias("part"), place.alias("place")).write.parquet(aside)
+        if not publish(spark, aside, path):
+            discard(spark, aside)
+    rows, start, starts = spark.read.parquet(path), 0, {}
+    for part, n in sorted(rows.groupBy("part").agg(F.count("*")).collect()):
+        starts[part], start = start, start + n
+    return Numbered(rows, starts)
 
 
 def with_global_ids(sites: DataFrame, by: str = "seq20") -> DataFrame:
-    """Dense global_id from 0 in sorted order, without one task seeing all rows: a range sort (written, as its
-    bounds are sampled anew in every run), the count of each partition, a number within the partition."""
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low bits count a partition's rows
-    ordered = sites.repartitionByRange(F.col(by)).sortWithinPartitions(by).select("*", F.spark_partition_id().alias("__p"), within.alias("__r"))
-    ordered, _ = settle(ordered, "ordered")
-    counts = ordered.groupBy("__p").agg(F.count("*").alias("n"))
-    before = counts.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__b"))  # a row for each partition
-    return ordered.join(before, "__p").withColumn("global_id", F.col("__b") + F.col("__r")).drop("__p", "__r", "__b")
-
-
-def id_range(numbered: DataFrame, first: int, end: int) -> DataFrame:
-    """Rows of a stored table with first <= global_id < end; the literals prune its row groups."""
-    return numbered.where((F.col("global_id") >= F.lit(first)) & (F.col("global_id") < F.lit(end)))
+    """Sites with dense global_id from 0 in sorted order."""
+    return numbered(sites, scratch_path(sites.sparkSession, "numbered"), by).ids()
 
 
 def sliced(sites: DataFrame, masks: Sequence[Mask], signature: str = "signature") -> DataFrame:
@@ -62,45 +110,14 @@ def sliced(sites: DataFrame, masks: Sequence[Mask], signature: str = "signature"
     return sites.withColumn("__k", F.explode(keys)).select("*", "__k.slice_id", "__k.bucket_id").drop("__k")
 
 
-def write_index(sites: DataFrame, path: str, masks: Sequence[Mask], distance: int = 4) -> None:
-    """The index as Parquet, a folder for each slice, sorted by bucket so that row groups prune."""
-    check_coverage(masks, distance)
-    sliced(sites, masks).repartitionByRange("slice_id", "bucket_id").sortWithinPartitions("slice_id", "bucket_id").write.partitionBy("slice_id").parquet(path)
-
-
-BUCKETS = 64
-
-
-def stored_index(spark: SparkSession, key: str, sites: Callable[[], DataFrame], masks: Sequence[Mask], distance: int = 4, base: str | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """The index of masks under base (spark.checkpoint.dir by default) by a key of its source: reused where it is
-    there, built from sites() where it is not.
-
-    Parquet bucketed and sorted by slice and bucket: a join on these reads it without a shuffle, or has its few
-    guides broadcast by Spark. `buckets` should give files of some hundred MB."""
-    check_coverage(masks, distance)
-    name = "strandlake_index_" + hashlib.sha256(repr((key, tuple(masks), buckets)).encode()).hexdigest()[:24]
-    path = f"{base or shared_dir(spark) + '/strandlake'}/{name}"
-    if not spark.catalog.tableExists(name):
-        if not exists(spark, f"{path}/_SUCCESS"):
-            rows = sliced(sites(), masks).repartition(buckets, "slice_id", "bucket_id")
-            rows.write.bucketBy(buckets, "slice_id", "bucket_id").sortBy("slice_id", "bucket_id").option("path", path).mode("overwrite").saveAsTable(name)
-        else:
-            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
-            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (slice_id, bucket_id) SORTED BY (slice_id, bucket_id) INTO {buckets} BUCKETS LOCATION '{path}'")
-    return spark.table(name)
-
-
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def bucket_histogram(index: DataFrame) -> DataFrame:
-    return index.groupBy("slice_id", "bucket_id").agg(F.count("*").alias("entries"))
+def bucket_histogram(manifest: DataFrame) -> DataFrame:
+    """slice_id, bucket_id, entries, occurrences of the buckets in use, from the manifest of an index."""
+    return manifest.where("entries > 0").groupBy("slice_id", "bucket_id").agg(F.sum("entries").alias("entries"), F.sum("occurrences").alias("occurrences"))
 
 
-def index_stats(index: DataFrame) -> DataFrame:
+def index_stats(manifest: DataFrame) -> DataFrame:
     """Per slice: buckets in use, entries, largest bucket, all occurrences."""
-    per = index.groupBy("slice_id", "bucket_id").agg(F.count("*").alias("n"), F.sum("occurrences").alias("o"))
+    per = bucket_histogram(manifest).select("slice_id", "bucket_id", F.col("entries").alias("n"), F.col("occurrences").alias("o"))
     return per.groupBy("slice_id").agg(F.count("*").alias("buckets"), F.sum("n").alias("entries"), F.max("n").alias("largest"), F.sum("o").alias("occurrences"))
 
 

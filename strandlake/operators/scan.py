@@ -19,12 +19,13 @@ PIECE = 1 << 16
 
 def pieces(sequences: DataFrame, carried: list[str], length: int = LENGTH, bases: int = PIECE) -> DataFrame:
     """carried columns, at (0-based), seq: sequences in pieces that reach `length` - 1 bases into the next, dealt over
-    all cores (or spark.sql.shuffle.partitions, if that is more), so that one chromosome is the work of many tasks."""
+    all cores (or spark.sql.shuffle.partitions, if that is more), so that one chromosome is the work of many tasks.
+    A record is cut in one pass; files with records that no row should hold come in pieces (read_fasta_pieces)."""
     spark = sequences.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("seq") - 1) / bases).cast("int")))
-    cut = sequences.select(*carried, "seq", F.explode(starts).alias("__k")).withColumn("at", F.col("__k") * bases)
-    return cut.select(*carried, "at", F.substring("seq", F.col("at") + 1, F.lit(bases + length - 1)).alias("seq")).repartition(n)
+    own, next_bases = (F.regexp_extract_all("seq", F.lit(f"(?s)(.{{1,{bases}}})(?=(.{{0,{length - 1}}}))"), F.lit(g)) for g in (1, 2))
+    cut = sequences.select(*carried, F.posexplode(F.arrays_zip(own.alias("own"), next_bases.alias("next"))).alias("__k", "__p"))
+    return cut.select(*carried, (F.col("__k") * bases).alias("at"), F.concat("__p.own", "__p.next").alias("seq")).repartition(n)
 
 
 def matches(sequences: DataFrame, pattern: str, carried: list[str], length: int = LENGTH) -> DataFrame:
@@ -78,8 +79,9 @@ def target_ids(guides: DataFrame) -> DataFrame:
 
 
 def offtarget_sites(sequences: DataFrame, strands: str = "+-", reverse_mode: str = "literal") -> DataFrame:
-    """seq20 of every off-target site, repeats kept, from pieces dealt over tasks. No positions, so one pass of
-    look-ahead matching; a piece overlaps the next by less than a site, so no site comes up twice.
+    """seq20 of every off-target site and gg (whether its PAM ends in GG, not AG), repeats kept, from pieces dealt over
+    tasks. No positions, so one pass of look-ahead matching; a piece overlaps the next by less than a site, so no site
+    comes up twice.
 
     On the reverse strand, literal takes the first 20 bases of the match before complementing; protospacer
     complements the match first.
@@ -88,8 +90,9 @@ def offtarget_sites(sequences: DataFrame, strands: str = "+-", reverse_mode: str
     every = lambda p: F.regexp_extract_all(seq, F.lit(f"(?=({p}))"), F.lit(1))
     found = []
     if "+" in strands:
-        found.append(F.transform(every(OFF_FORWARD), lambda m: F.substring(m, 1, 20)))
+        found.append(F.transform(every(OFF_FORWARD), lambda m: F.struct(F.substring(m, 1, 20).alias("seq20"), (F.substring(m, 22, 1) == "G").alias("gg"))))
     if "-" in strands:
-        found.append(F.transform(every(OFF_REVERSE), lambda m: revcomp(F.substring(m, 1, 20)) if reverse_mode == "literal" else F.substring(revcomp(m), 1, 20)))
+        oriented = lambda m: revcomp(F.substring(m, 1, 20)) if reverse_mode == "literal" else F.substring(revcomp(m), 1, 20)
+        found.append(F.transform(every(OFF_REVERSE), lambda m: F.struct(oriented(m).alias("seq20"), (F.substring(m, 2, 1) == "C").alias("gg"))))
     cut = sequences if "at" in sequences.columns else pieces(sequences, [])
-    return cut.select(F.explode(F.concat(*found)).alias("seq20"))
+    return cut.select(F.explode(F.concat(*found)).alias("s")).select("s.seq20", "s.gg")

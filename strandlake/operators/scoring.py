@@ -57,10 +57,17 @@ def cfd_hit(a: Column, b: Column, penalties: dict[tuple[int, int, int], float])
     return out
 
 
-def cfd_scores(pairs: DataFrame, guides: DataFrame, penalties: dict[tuple[int, int, int], float], count_exact: bool = True, pam: Column | None = None) -> DataFrame:
-    """guide_id, cfd_score in 0..100. pam: factor of a site's PAM, a column of pairs (a catalogue that keeps no PAM
-    leaves it out, and every site counts as NGG, whose factor is 1)."""
-    hit = cfd_hit(F.col("guide_sig"), F.col("signature"), penalties) * F.col("occurrences") * (F.lit(1.0) if pam is None else pam)
+def weighed(pairs: DataFrame, pam_factors: dict[str, float] | None) -> Column:
+    """Occurrences, each with the factor of its PAM (GG or AG) by the catalogue's counters; all count 1 without factors."""
+    if pam_factors is None or "gg" not in pairs.columns:
+        return F.col("occurrences").cast("double")
+    return F.col("gg") * F.lit(float(pam_factors["GG"])) + (F.col("occurrences") - F.col("gg")) * F.lit(float(pam_factors["AG"]))
+
+
+def cfd_scores(pairs: DataFrame, guides: DataFrame, penalties: dict[tuple[int, int, int], float], count_exact: bool = True, pam_factors: dict[str, float] | None = None) -> DataFrame:
+    """guide_id, cfd_score in 0..100. pam_factors: of the PAMs GG and AG, which users bring; pairs then have the column gg
+    of a catalogue."""
+    hit = cfd_hit(F.col("guide_sig"), F.col("signature"), penalties) * weighed(pairs, pam_factors)
     used = pairs if count_exact else pairs.where("mismatches > 0")
     sums = used.groupBy("guide_id").agg(F.sum(hit).alias("hits"))
     return guides.join(sums, "guide_id", "left").select("guide_id", (10000.0 / (100.0 + 100.0 * F.coalesce("hits", F.lit(0.0)))).alias("cfd_score"))

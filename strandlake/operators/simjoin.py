@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.dna import hamming
+from strandlake.functions.dna import SITE, hamming
 from strandlake.operators.catalogue import PAIRS_OF_SIX, Mask, sliced
+from strandlake.operators.index import Index, meetings
 
 
 def first_slice(a: Column, b: Column, masks: Sequence[Mask]) -> Column:
@@ -24,24 +25,27 @@ def first_slice(a: Column, b: Column, masks: Sequence[Mask]) -> Column:
     return out
 
 
-def candidates(guides: DataFrame, sites: DataFrame, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:
-    """Every meeting of a guide (guide_id, guide_sig) and a site (global_id, signature, occurrences) in a
-    bucket. sites: an index of these masks (slice_id, bucket_id), read as it is, or a catalogue, sliced here. An
-    equi-join on slice and bucket: Spark picks broadcast by size, and splits hot buckets."""
-    index = sites if "bucket_id" in sites.columns else sliced(sites, masks)
-    return sliced(guides, masks, "guide_sig").join(index, ["slice_id", "bucket_id"])
+def candidates(guides: DataFrame, sites: DataFrame | Index, masks: Sequence[Mask] = PAIRS_OF_SIX, distance: int = SITE, slices: Sequence[int] | None = None) -> DataFrame:
+    """Every meeting of a guide (guide_id, guide_sig) and a site (signature, occurrences) in a bucket. sites: a stored
+    index, of which only the parts that the guides need are read (sub-buckets further than the distance are left out), or
+    a catalogue, sliced here by the masks and joined on slice and bucket."""
+    if isinstance(sites, Index):
+        return meetings(sites, guides, distance, slices)
+    return sliced(guides, masks, "guide_sig").join(sliced(sites, masks), ["slice_id", "bucket_id"])
 
 
-def offtargets(guides: DataFrame, sites: DataFrame, distance: int = 4, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:
-    """guide_id, guide_sig, global_id, signature, occurrences, mismatches, each pair once."""
-    near = candidates(guides, sites, masks).withColumn("mismatches", hamming(F.col("guide_sig"), F.col("signature"))).where(F.col("mismatches") <= distance)
+def offtargets(guides: DataFrame, sites: DataFrame | Index, distance: int = 4, masks: Sequence[Mask] = PAIRS_OF_SIX, slices: Sequence[int] | None = None) -> DataFrame:
+    """guide_id, guide_sig, signature, occurrences, mismatches and the other columns of sites, each pair once. The masks
+    of a stored index are its own; slices: only pairs that first meet in these slices of it."""
+    masks = sites.masks if isinstance(sites, Index) else masks
+    near = candidates(guides, sites, masks, distance, slices).withColumn("mismatches", hamming(F.col("guide_sig"), F.col("signature"))).where(F.col("mismatches") <= distance)
     return near.where(F.col("slice_id") == first_slice(F.col("guide_sig"), F.col("signature"), masks)).drop("slice_id", "bucket_id")
 
 
-def offtargets_by_distinct(guides: DataFrame, sites: DataFrame, distance: int = 4, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:
+def offtargets_by_distinct(guides: DataFrame, sites: DataFrame | Index, distance: int = 4, masks: Sequence[Mask] = PAIRS_OF_SIX) -> DataFrame:
     """The same by removing repeats, for indexes whose masks are not known."""
-    near = candidates(guides, sites, masks).withColumn("mismatches", hamming(F.col("guide_sig"), F.col("signature"))).where(F.col("mismatches") <= distance)
-    return near.drop("slice_id", "bucket_id").dropDuplicates(["guide_id", "global_id"])
+    near = candidates(guides, sites, masks, distance).withColumn("mismatches", hamming(F.col("guide_sig"), F.col("signature"))).where(F.col("mismatches") <= distance)
+    return near.drop("slice_id", "bucket_id").dropDuplicates(["guide_id", "signature"])
 
 
 def needed_buckets(guides: DataFrame, masks: Sequence[Mask]) -> DataFrame:

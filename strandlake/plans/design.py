@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.dna import pack
 from strandlake.operators import ontarget, scan, scoring, simjoin
+from strandlake.operators.index import Index
 from strandlake.session import settle
 
 
@@ -26,7 +27,7 @@ def with_consensus(guides: DataFrame, folds: DataFrame, weights: Sequence[float]
     return joined.withColumn("consensus", flags).drop("shaped", "energy")
 
 
-def design_guides(jobs: DataFrame, sites: DataFrame, folds: DataFrame, weights: Sequence[float], bias: float, distance: int = 4) -> DataFrame:
+def design_guides(jobs: DataFrame, sites: DataFrame | Index, folds: DataFrame, weights: Sequence[float], bias: float, distance: int = 4) -> DataFrame:
     """job_id, target_id, sequence, start, end, strand, consensus, mit_score. sites: a catalogue or a stored index.
 
     Guides are settled once, as the join and the result both read them. The join sees each distinct guide once, however many jobs ask for it.

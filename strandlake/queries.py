@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from strandlake.derived import GENOME_SQL, genome, jobs, jobs_sql, read
 from strandlake.functions import dna
 from strandlake.operators import catalogue as cat
-from strandlake.operators import ontarget, scan, scoring, simjoin
+from strandlake.operators import index as idx
+from strandlake.operators import bounded, fold, merge, ontarget, scan, scoring, simjoin
 from strandlake.plans import design, ranges
-from strandlake.session import input_key, scratch_path, settle
+from strandlake.session import input_key, scratch_path, settle, shared_dir
 from strandlake.sources import fasta, requests
-from strandlake.streaming import commits
+from strandlake.streaming import attempts, commits, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 #: Stand-ins for a scoring model and a penalty table, which users bring themselves.
 SVM_WEIGHTS, SVM_BIAS = [((i * 37) % 11 - 5) / 10 for i in range(80)], 0.05
 CFD = {(p, x, y): 1 / (1 + p % 5) for p in range(20) for x in range(4) for y in range(4) if x != y}
+PAM_FACTORS = {"GG": 1.0, "AG": 0.25}
 
 # --- SQL pieces -----------------------------------------------------------------------------------
 
@@ -68,16 +70,16 @@ def bucket_sql(sig: str, mask: cat.Mask) -> str:
 
 
 CATALOGUE_SQL = f"""{GENOME_SQL}, {windows("genome", "doc_id", "gwin")},
-off AS (SELECT substr(w, 1, 20) AS seq20 FROM gwin WHERE regexp_full_match(w, '{scan.OFF_FORWARD}')
- UNION ALL SELECT {rc("substr(w, 1, 20)")} FROM gwin WHERE regexp_full_match(w, '{scan.OFF_REVERSE}')),
-counted AS (SELECT seq20, count(*) AS occurrences FROM off GROUP BY 1),
-cata AS (SELECT seq20, {signature_sql("seq20")} AS signature, occurrences FROM counted)"""
-INDEX_SQL = CATALOGUE_SQL + ",\nidx AS (" + " UNION ALL ".join(f"SELECT {k} AS slice_id, {bucket_sql('signature', m)} AS bucket_id, signature, occurrences FROM cata" for k, m in enumerate(cat.FIVE_BLOCKS)) + ")"
+off AS (SELECT substr(w, 1, 20) AS seq20, substr(w, 22, 1) = 'G' AS gg FROM gwin WHERE regexp_full_match(w, '{scan.OFF_FORWARD}')
+ UNION ALL SELECT {rc("substr(w, 1, 20)")}, substr(w, 2, 1) = 'C' FROM gwin WHERE regexp_full_match(w, '{scan.OFF_REVERSE}')),
+counted AS (SELECT seq20, count(*) AS occurrences, count(*) FILTER (gg) AS gg FROM off GROUP BY 1),
+cata AS (SELECT seq20, {signature_sql("seq20")} AS signature, occurrences, gg FROM counted)"""
+INDEX_SQL, PAIRS_INDEX_SQL = (CATALOGUE_SQL + ",\nidx AS (" + " UNION ALL ".join(f"SELECT {k} AS slice_id, {bucket_sql('signature', m)} AS bucket_id, signature, occurrences FROM cata" for k, m in enumerate(masks)) + ")" for masks in (cat.FIVE_BLOCKS, cat.PAIRS_OF_SIX))
 TARGETS_SQL = f"{sites_sql(jobs_sql(*SUPPLIERS))}, {GUIDES_SQL}, guides AS (SELECT DISTINCT {signature_sql('sequence')} AS guide_sig FROM guide)"
 #: All pairs within four mismatches, by comparing every guide with every site.
 PAIRS_SQL = f"""{TARGETS_SQL}, {CATALOGUE_SQL},
-x AS (SELECT guide_sig, signature, occurrences, xor(guide_sig, signature) AS x FROM guides, cata),
-pair AS (SELECT guide_sig, signature, occurrences, x, bit_count((x | (x >> 1)) & {dna.LOW_BITS})::INTEGER AS mismatches FROM x WHERE bit_count((x | (x >> 1)) & {dna.LOW_BITS}) <= 4)"""
+x AS (SELECT guide_sig, signature, occurrences, gg, xor(guide_sig, signature) AS x FROM guides, cata),
+pair AS (SELECT guide_sig, signature, occurrences, gg, x, bit_count((x | (x >> 1)) & {dna.LOW_BITS})::INTEGER AS mismatches FROM x WHERE bit_count((x | (x >> 1)) & {dna.LOW_BITS}) <= 4)"""
 FOLD_SQL = "instr('0123456789abcdef', substr(md5(sequence), 1, 1)) - 1"
 
 
@@ -85,10 +87,23 @@ def gc(spark: SparkSession, sf: str) -> DataFrame:
     return cat.catalogue(scan.offtarget_sites(genome(spark, sf)))
 
 
-def index(spark: SparkSession, sf: str, masks=cat.PAIRS_OF_SIX) -> DataFrame:
-    """The stored index of the genome: built by the first query that needs it, read by the others."""
-    key = input_key(read(spark, sf, "documents"), "genome")
-    return cat.stored_index(spark, key, lambda: gc(spark, sf), masks, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+def index(spark: SparkSession, sf: str, masks=cat.PAIRS_OF_SIX, name: str = "genome", parts: int | None = None) -> idx.Index:
+    """The stored index of the genome: its parts are built by the first query that needs them, and read by the others."""
+    key = input_key(read(spark, sf, "documents"), name)
+    return idx.open_index(spark, key, lambda: gc(spark, sf), masks, parts=parts)
+
+
+def whole_index(spark: SparkSession, sf: str, masks=cat.PAIRS_OF_SIX) -> idx.Index:
+    """The index with all its parts."""
+    found = index(spark, sf, masks)
+    idx.ensure(found)
+    return found
+
+
+def stored_ids(spark: SparkSession, sf: str) -> cat.Numbered:
+    """The genome's catalogue in sorted order, numbered: stored by the first query that needs it."""
+    key = input_key(read(spark, sf, "documents"), "numbered")
+    return cat.numbered(gc(spark, sf), f"{shared_dir(spark)}/strandlake/numbered-{key}")
 
 
 def unique(spark: SparkSession, sf: str, *source: str) -> DataFrame:
@@ -269,7 +284,51 @@ def empty_sources(spark, sf):
 @query("SELECT event_id, CASE WHEN value IS NULL THEN 'no_value' WHEN value < 1 THEN 'too_small' WHEN event_type = 'error' THEN 'error' END AS reason FROM events WHERE value IS NULL OR value < 1 OR event_type = 'error'")
 def quarantined_messages(spark, sf):
     rules = {"no_value": F.col("value").isNull(), "too_small": F.col("value") < 1, "error": F.col("event_type") == "error"}
-    return commits.screened(read(spark, sf, "events"), rules)[1].select("event_id", "reason")
+    return attempts.screened(read(spark, sf, "events"), rules)[1].select("event_id", "reason")
+
+
+def arriving(spark: SparkSession, rows: DataFrame, files: int = 6, per_batch: int = 2) -> tuple[DataFrame, str]:
+    """The rows as a stream of files, a few to a micro-batch, and a folder of its own for what comes of it."""
+    folder = scratch_path(spark, "stream")
+    rows.repartition(files).write.parquet(f"{folder}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{folder}/in"), folder
+
+
+def finished(stream: DataFrame, folder: str) -> DataFrame:
+    """What a stream has put out once its input is done."""
+    stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").format("parquet").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query("SELECT user_id, event_type, count(DISTINCT floor(value)::BIGINT) AS bodies, count(DISTINCT floor(value)::BIGINT) - 1 AS conflicts, string_agg(DISTINCT floor(value)::BIGINT::VARCHAR, ',' ORDER BY floor(value)::BIGINT::VARCHAR) AS sent FROM events WHERE value IS NOT NULL GROUP BY ALL")
+def streamed_messages(spark, sf):
+    """Events as messages in several micro-batches; each body of a key comes out once, all but the first as conflicts."""
+    rows = read(spark, sf, "events").where("value IS NOT NULL").select("user_id", "event_type", F.floor("value").cast("long").alias("value"))
+    stream, folder = arriving(spark, rows)
+    out = finished(state.distinct_messages(stream, ["user_id", "event_type"], ["value"]), folder)
+    sent = F.array_join(F.array_sort(F.collect_list(F.col("value").cast("string"))), ",")
+    return out.groupBy("user_id", "event_type").agg(F.count("*").alias("bodies"), F.count_if(F.col("kind") == state.CONFLICT).alias("conflicts"), sent.alias("sent"))
+
+
+@query("WITH m AS (SELECT l_orderkey AS batch_id, l_linenumber - 1 AS part, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS expected FROM lineitem) SELECT batch_id, 'ready' AS status, max(expected)::INTEGER AS expected FROM m GROUP BY 1 HAVING count(DISTINCT CASE WHEN part >= 0 AND part < expected THEN part END) = max(expected)")
+def streamed_barrier(spark, sf):
+    """Batches that are complete when their markers have come in micro-batches, in any order."""
+    lines = read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("batch_id"), (F.col("l_linenumber") - 1).alias("part"), "l_linenumber")
+    most = lines.groupBy("batch_id").agg(F.max("l_linenumber").alias("expected"))
+    stream, folder = arriving(spark, lines.join(most, "batch_id").select("batch_id", "part", "expected"))
+    return finished(state.barrier(stream), folder).select("batch_id", "status", "expected")
+
+
+@query("SELECT o_orderkey AS message_id, CASE WHEN o_totalprice < 1500 THEN 1 ELSE least(o_custkey % 5 + 1, 3) END::INTEGER AS attempt, CASE WHEN o_totalprice < 1500 OR o_custkey % 5 > 2 THEN 'dead' ELSE 'done' END AS status, CASE WHEN o_totalprice < 1500 THEN 'too_cheap' WHEN o_custkey % 5 > 2 THEN 'busy' END AS error FROM orders")
+def message_attempts(spark, sf):
+    """Orders as messages: cheap ones break a rule, others fail up to four times; the last outcome of each, after three runs an hour apart."""
+    rows = read(spark, sf, "orders").select(F.col("o_orderkey").alias("message_id"), "o_custkey", "o_totalprice")
+    ledger = attempts.Ledger(scratch_path(spark, "ledger"))
+    busy = lambda d: d.withColumn("error", F.when(F.col("o_custkey") % 5 >= F.col("attempt"), "busy"))
+    for run in range(3):
+        now = F.lit(f"2030-01-01 {run:02d}:00:00").cast("timestamp")
+        attempts.attempt(rows if run == 0 else rows.where("false"), ledger, busy, str(run), {"too_cheap": F.col("o_totalprice") < 1500}, now)
+    return ledger.outcomes(spark).where(F.col("status") != attempts.RETRY).select("message_id", "attempt", "status", "error")
 
 
 # --- on-target ---------------------------------------------------------------------------------------
@@ -313,6 +372,13 @@ def fold_shapes(spark, sf):
     return folded.select("job_id", "sequence", F.md5(ontarget.fold_input(s)).alias("input_md5"), shaped.alias("shaped"), ontarget.fold_verdict(shaped, ontarget.parse_fold(F.col("line"))["energy"]).alias("accepted"))
 
 
+@query()
+def guide_folds(spark, sf):
+    """Folds of least energy of the guides of the suppliers' jobs, with the verdict on them."""
+    done = fold.folds(unique(spark, sf, *SUPPLIERS))
+    return done.select("sequence", "structure", "energy", "shaped", ontarget.fold_verdict(F.col("shaped"), F.col("energy")).alias("accepted"))
+
+
 @query(f"{UNIQUE_SQL} SELECT job_id, sequence, round({SVM_SQL}, 6) AS score, round({SVM_SQL}, 6) >= 0 AS accepted FROM uniq")
 def sgrnascorer(spark, sf):
     score = F.round(ontarget.svm_score(F.col("sequence"), SVM_WEIGHTS, SVM_BIAS), 6)
@@ -323,27 +389,51 @@ def sgrnascorer(spark, sf):
 
 @query(f"WITH {CATALOGUE_SQL} SELECT seq20, signature, occurrences FROM cata")
 def offtarget_catalogue(spark, sf):
-    return gc(spark, sf)
+    return gc(spark, sf).select("seq20", "signature", "occurrences")
+
+
+@query(f"WITH {CATALOGUE_SQL} SELECT seq20, gg, occurrences - gg AS ag FROM cata")
+def catalogue_by_pam(spark, sf):
+    """A site's occurrences before GG and before AG."""
+    return gc(spark, sf).select("seq20", "gg", (F.col("occurrences") - F.col("gg")).alias("ag"))
+
+
+@query(f"WITH {CATALOGUE_SQL} SELECT seq20, signature, occurrences, gg FROM cata")
+def merged_catalogue(spark, sf):
+    """A stored catalogue of the English documents into which the others are merged; only the files that they touch are written anew."""
+    documents = read(spark, sf, "documents").select("doc_id", "lang")
+    sites = lambda keep: cat.catalogue(scan.offtarget_sites(genome(spark, sf).join(documents.where(keep), "doc_id", "left_semi")))
+    path = scratch_path(spark, "catalogue")
+    merge.store(sites("lang = 'en'"), path)
+    merge.merge_into(spark, path, sites("lang IS NULL OR lang <> 'en'"))
+    return merge.load(spark, path)
 
 
 @query(f"WITH {CATALOGUE_SQL} SELECT seq20, row_number() OVER (ORDER BY seq20) - 1 AS global_id FROM cata")
 def sort_offtargets(spark, sf):
-    return cat.with_global_ids(gc(spark, sf)).select("seq20", "global_id")
+    return stored_ids(spark, sf).ids().select("seq20", "global_id")
 
 
 @query(f"WITH {INDEX_SQL} SELECT slice_id, bucket_id, count(*) AS entries FROM idx GROUP BY ALL")
 def bucket_histogram(spark, sf):
-    return cat.bucket_histogram(cat.sliced(gc(spark, sf), cat.FIVE_BLOCKS))
+    return cat.bucket_histogram(whole_index(spark, sf, cat.FIVE_BLOCKS).manifest()).select("slice_id", "bucket_id", "entries")
+
+
+@query(f"WITH {PAIRS_INDEX_SQL} SELECT slice_id, bucket_id, count(*) AS entries, sum(occurrences)::BIGINT AS occurrences FROM idx GROUP BY ALL")
+def index_manifest(spark, sf):
+    """All parts of the index that the join reads, built where they are missing; entries and occurrences of each bucket."""
+    return cat.bucket_histogram(whole_index(spark, sf).manifest())
 
 
 @query(f"WITH {INDEX_SQL}, per AS (SELECT slice_id, bucket_id, count(*) AS n, sum(occurrences) AS o FROM idx GROUP BY ALL) SELECT slice_id, count(*) AS buckets, sum(n)::BIGINT AS entries, max(n)::BIGINT AS largest, sum(o)::BIGINT AS occurrences FROM per GROUP BY 1")
 def index_stats(spark, sf):
-    return cat.index_stats(cat.sliced(gc(spark, sf), cat.FIVE_BLOCKS))
+    return cat.index_stats(whole_index(spark, sf, cat.FIVE_BLOCKS).manifest())
 
 
 @query(f"WITH {INDEX_SQL}, per AS (SELECT slice_id, bucket_id, count(*) * 20 AS n FROM idx GROUP BY ALL) SELECT slice_id, max(n)::BIGINT AS largest, sum(n)::BIGINT AS total, max(n) <= 8589934592 AS fits FROM per GROUP BY 1")
 def bucket_footprint(spark, sf):
-    return ranges.footprint(cat.sliced(gc(spark, sf), cat.FIVE_BLOCKS), 20, 8 << 30)
+    found = whole_index(spark, sf, cat.FIVE_BLOCKS)
+    return ranges.footprint(idx.entries(found, range(len(found.masks) * found.parts)), 20, 8 << 30)
 
 
 @query(f"WITH {TARGETS_SQL} " + " UNION ".join(f"SELECT {k} AS slice_id, {bucket_sql('guide_sig', m)} AS bucket_id FROM guides" for k, m in enumerate(cat.FIVE_BLOCKS)))
@@ -351,35 +441,51 @@ def distinct_buckets(spark, sf):
     return simjoin.needed_buckets(distinct_guides(spark, sf), cat.FIVE_BLOCKS)
 
 
-NEED_SQL = f"{TARGETS_SQL}, {INDEX_SQL}, need AS (" + " UNION ".join(f"SELECT {k} AS slice_id, {bucket_sql('guide_sig', m)} AS bucket_id FROM guides" for k, m in enumerate(cat.FIVE_BLOCKS)) + "), have AS (SELECT slice_id, bucket_id FROM idx GROUP BY ALL HAVING count(*) >= 100)"
+#: Parts of a slice in the index of the next two queries.
+FEW = 64
+NATIONS = ("nation", "n_nationkey")
+NEED_SQL = f"{TARGETS_SQL}, {INDEX_SQL}, need AS (" + " UNION ".join(f"SELECT {k} AS slice_id, {bucket_sql('guide_sig', m)} AS bucket_id FROM guides" for k, m in enumerate(cat.FIVE_BLOCKS)) + f"""),
+njob AS (SELECT * FROM ({jobs_sql(*NATIONS).removeprefix("job AS ")})), {windows("njob", "job_id", "nwin")}, nsite AS (SELECT job_id, w AS sequence FROM nwin WHERE regexp_full_match(w, '{scan.FORWARD}') UNION ALL SELECT job_id, {rc("w")} FROM nwin WHERE regexp_full_match(w, '{scan.REVERSE}')),
+nguide AS (SELECT DISTINCT {signature_sql("sequence")} AS guide_sig FROM (SELECT job_id, sequence FROM nsite GROUP BY ALL HAVING count(*) = 1)),
+built AS (""" + " UNION ".join(f"SELECT {k} AS slice_id, {bucket_sql('guide_sig', m)} & {FEW - 1} AS part FROM nguide" for k, m in enumerate(cat.FIVE_BLOCKS)) + ")"
 
 
-def cached_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.bucket_histogram(cat.sliced(gc(spark, sf), cat.FIVE_BLOCKS)).where("entries >= 100").select("slice_id", "bucket_id")
+def part_built(spark: SparkSession, sf: str) -> idx.Index:
+    """An index of which only the parts are there that the jobs of the nations need."""
+    found = index(spark, sf, cat.FIVE_BLOCKS, "for nations", FEW)
+    nations = unique(spark, sf, *NATIONS).select(dna.pack(F.col("sequence")).alias("guide_sig")).distinct()
+    idx.ensure(found, idx.needed_parts(found, nations))
+    return found
 
 
-@query(f"WITH {NEED_SQL} SELECT * FROM need ANTI JOIN have USING (slice_id, bucket_id)")
+@query(f"WITH {NEED_SQL} SELECT slice_id, bucket_id FROM need WHERE NOT EXISTS (SELECT 1 FROM built b WHERE b.slice_id = need.slice_id AND b.part = need.bucket_id & {FEW - 1})")
 def missing_buckets(spark, sf):
-    return distinct_buckets(spark, sf).join(cached_buckets(spark, sf), ["slice_id", "bucket_id"], "left_anti")
+    """Buckets that the guides of the suppliers need and the manifest lacks."""
+    found = part_built(spark, sf)
+    need = found.cells(distinct_guides(spark, sf).select("guide_sig"), "guide_sig").select("part", "slice_id", "bucket_id").distinct()
+    return need.join(found.manifest().select("part").distinct(), "part", "left_anti").select("slice_id", "bucket_id")
 
 
-@query(f"WITH {NEED_SQL} SELECT * FROM have EXCEPT SELECT * FROM need")
+@query(f"WITH {NEED_SQL} SELECT DISTINCT slice_id, bucket_id FROM idx WHERE EXISTS (SELECT 1 FROM built b WHERE b.slice_id = idx.slice_id AND b.part = idx.bucket_id & {FEW - 1}) EXCEPT SELECT * FROM need")
 def new_buckets(spark, sf):
-    return cached_buckets(spark, sf).exceptAll(distinct_buckets(spark, sf))
+    """Buckets of the manifest that the guides of the suppliers do not need."""
+    have = cat.bucket_histogram(part_built(spark, sf).manifest()).select("slice_id", "bucket_id")
+    return have.exceptAll(distinct_buckets(spark, sf))
 
 
 @query(f"WITH {CATALOGUE_SQL}, g AS (SELECT seq20, occurrences, row_number() OVER (ORDER BY seq20) - 1 AS global_id FROM cata) SELECT seq20, global_id, occurrences FROM g WHERE global_id >= (SELECT max(global_id) // 4 FROM g) AND global_id < (SELECT max(global_id) // 2 FROM g)")
 def id_range(spark, sf):
-    g, _ = settle(cat.with_global_ids(gc(spark, sf)), "numbered")
-    last = g.agg(F.max("global_id")).first()[0] or 0
-    return cat.id_range(g, last // 4, last // 2).select("seq20", "global_id", "occurrences")
+    """The second quarter of the numbered catalogue, read from the stored table."""
+    stored = stored_ids(spark, sf)
+    last = max(0, stored.count() - 1)
+    return stored.between(last // 4, last // 2).ids().select("seq20", "global_id", "occurrences")
 
 
 IDS_SQL = f"{CATALOGUE_SQL}, ids AS (SELECT {bucket_sql('signature', cat.FIVE_BLOCKS[0])} AS bucket_id, row_number() OVER (ORDER BY seq20) - 1 AS global_id FROM cata)"
 
 
 def numbered(spark: SparkSession, sf: str) -> DataFrame:
-    return cat.with_global_ids(gc(spark, sf)).select(dna.bucket(F.col("signature"), cat.FIVE_BLOCKS[0]).alias("bucket_id"), "global_id", "signature", "occurrences")
+    return stored_ids(spark, sf).ids().select(dna.bucket(F.col("signature"), cat.FIVE_BLOCKS[0]).alias("bucket_id"), "global_id", "signature", "occurrences")
 
 
 @query(f"WITH {IDS_SQL} SELECT bucket_id, global_id, global_id - coalesce(lag(global_id) OVER (PARTITION BY bucket_id ORDER BY global_id), 0) AS delta FROM ids")
@@ -411,7 +517,7 @@ def hydrate(spark, sf):
 
 @query(f"WITH {TARGETS_SQL}, {INDEX_SQL}, m AS (" + " UNION ALL ".join(f"SELECT {k} AS slice_id, guide_sig, {bucket_sql('guide_sig', m)} AS bucket_id FROM guides" for k, m in enumerate(cat.FIVE_BLOCKS)) + ") SELECT slice_id, guide_sig, count(*) AS candidates, sum(occurrences)::BIGINT AS occurrences FROM m JOIN idx USING (slice_id, bucket_id) GROUP BY ALL")
 def issl_candidates(spark, sf):
-    met = simjoin.candidates(distinct_guides(spark, sf), index(spark, sf, cat.FIVE_BLOCKS), cat.FIVE_BLOCKS)
+    met = simjoin.candidates(distinct_guides(spark, sf), index(spark, sf, cat.FIVE_BLOCKS))
     return met.groupBy("slice_id", "guide_sig").agg(F.count("*").alias("candidates"), F.sum("occurrences").alias("occurrences"))
 
 
@@ -422,8 +528,7 @@ def offtarget_join(spark, sf):
 
 @query(f"WITH {PAIRS_SQL} SELECT guide_sig, signature FROM pair")
 def offtarget_dedupe(spark, sf):
-    sites = index(spark, sf, cat.FIVE_BLOCKS).withColumn("global_id", F.col("signature"))
-    return simjoin.offtargets_by_distinct(distinct_guides(spark, sf), sites, masks=cat.FIVE_BLOCKS).select("guide_sig", "signature")
+    return simjoin.offtargets_by_distinct(distinct_guides(spark, sf), index(spark, sf, cat.FIVE_BLOCKS)).select("guide_sig", "signature")
 
 
 FIRST_SQL = "CASE " + " ".join(f"WHEN (x >> {2 * p}) & 3 <> 0 THEN {p}" for p in range(20)) + " END"
@@ -431,7 +536,7 @@ LAST_SQL = "CASE " + " ".join(f"WHEN (x >> {2 * p}) & 3 <> 0 THEN {p}" for p in
 MIT_SQL = "(" + " * ".join(f"CASE WHEN (x >> {2 * p}) & 3 <> 0 THEN {1.0 - w!r}::DOUBLE ELSE 1.0::DOUBLE END" for p, w in enumerate(scoring.MIT_WEIGHTS) if w) + f" * CASE WHEN mismatches < 2 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE / ((19.0::DOUBLE - (({LAST_SQL}) - ({FIRST_SQL}))::DOUBLE / (mismatches - 1)) / 19.0::DOUBLE * 4 + 1) END / (mismatches * mismatches))"
 SCORE_SQL = f"WITH {PAIRS_SQL}, hit AS (SELECT guide_sig, {MIT_SQL} * occurrences AS h FROM pair WHERE mismatches > 0), mit AS (SELECT guide_sig, 10000.0::DOUBLE / (100 + 100 * coalesce(sum(h), 0)) AS mit_score FROM guides LEFT JOIN hit USING (guide_sig) GROUP BY 1)"
 CFD_SQL = "(" + " * ".join(f"CASE WHEN (x >> {2 * p}) & 3 <> 0 THEN {1 / (1 + p % 5)!r}::DOUBLE ELSE 1.0::DOUBLE END" for p in range(20)) + ")"
-BOTH_SQL = SCORE_SQL + f", cfd AS (SELECT guide_sig, 10000.0::DOUBLE / (100 + 100 * coalesce(sum(h), 0)) AS cfd_score FROM guides LEFT JOIN (SELECT guide_sig, {CFD_SQL} * occurrences AS h FROM pair) USING (guide_sig) GROUP BY 1)"
+BOTH_SQL = SCORE_SQL + f", cfd AS (SELECT guide_sig, 10000.0::DOUBLE / (100 + 100 * coalesce(sum(h), 0)) AS cfd_score FROM guides LEFT JOIN (SELECT guide_sig, {CFD_SQL} * (gg * {PAM_FACTORS['GG']}::DOUBLE + (occurrences - gg) * {PAM_FACTORS['AG']}::DOUBLE) AS h FROM pair) USING (guide_sig) GROUP BY 1)"
 
 
 @query(SCORE_SQL + " SELECT guide_sig, round(mit_score, 6) AS mit_score FROM mit")
@@ -441,10 +546,16 @@ def mit_score(spark, sf):
     return out.select(F.col("guide_id").alias("guide_sig"), F.round("mit_score", 6).alias("mit_score"))
 
 
+@query(SCORE_SQL + " SELECT guide_sig, round(mit_score, 6) AS mit_score FROM mit WHERE mit_score >= 75")
+def accepted_guides(spark, sf):
+    """Guides whose score reaches the threshold, joined in rounds that others leave early."""
+    return bounded.accepted(distinct_guides(spark, sf), index(spark, sf)).select("guide_sig", F.round("mit_score", 6).alias("mit_score"))
+
+
 @query(BOTH_SQL + " SELECT guide_sig, round(cfd_score, 6) AS cfd_score FROM cfd")
 def cfd_score(spark, sf):
     guides = distinct_guides(spark, sf)
-    out = scoring.cfd_scores(simjoin.offtargets(guides, index(spark, sf)), guides, CFD)
+    out = scoring.cfd_scores(simjoin.offtargets(guides, index(spark, sf)), guides, CFD, pam_factors=PAM_FACTORS)
     return out.select(F.col("guide_id").alias("guide_sig"), F.round("cfd_score", 6).alias("cfd_score"))
 
 
@@ -460,7 +571,7 @@ def score_methods(spark, sf):
     pairs = simjoin.offtargets(guides, index(spark, sf))
     hits = pairs.groupBy("guide_id").agg(
         F.sum(F.when(F.col("mismatches") > 0, scoring.mit_hit(F.col("guide_sig"), F.col("signature")) * F.col("occurrences"))).alias("m"),
-        F.sum(scoring.cfd_hit(F.col("guide_sig"), F.col("signature"), CFD) * F.col("occurrences")).alias("c"),
+        F.sum(scoring.cfd_hit(F.col("guide_sig"), F.col("signature"), CFD) * scoring.weighed(pairs, PAM_FACTORS)).alias("c"),
     )
     score = lambda c: F.round(10000.0 / (100.0 + 100.0 * F.coalesce(c, F.lit(0.0))), 6)
     s = guides.join(hits, "guide_id", "left").select("guide_sig", score("m").alias("m"), score("c").alias("c"))
@@ -500,6 +611,14 @@ def recommended(spark, sf):
     return rows.where(ontarget.recommended(F.col("consensus"), F.col("mit_score"))).select("job_id", "target_id", "sequence", "consensus", "mit_score")
 
 
+@query()
+def recommended_by_folds(spark, sf):
+    """The same with folds of least energy in place of the stand-ins."""
+    folds = fold.folds(unique(spark, sf, *SUPPLIERS)).select("sequence", "shaped", "energy")
+    rows = design.design_guides(jobs(spark, sf, *SUPPLIERS), index(spark, sf), folds, SVM_WEIGHTS, SVM_BIAS).withColumn("mit_score", F.round("mit_score", 6))
+    return rows.where(ontarget.recommended(F.col("consensus"), F.col("mit_score"))).select("job_id", "target_id", "sequence", "consensus", "mit_score")
+
+
 @query(RESULT_SQL + " SELECT job_id, count(*) AS num_guides, count(consensus) AS num_scored_ontarget, count(mit_score) AS num_scored_offtarget FROM result GROUP BY 1")
 def tasks_by_job(spark, sf):
     return design.progress(results(spark, sf))

@@ -6,6 +6,7 @@ import hashlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,6 +41,31 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def publish(spark: SparkSession, source: str, target: str) -> bool:
+    """Moves a finished folder to its place at one stroke; False if that place is taken, and nothing is changed.
+
+    Needs a file system whose rename is atomic and does not replace (HDFS, local)."""
+    jvm = spark._jvm
+    from_path, to_path = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    to_path.getFileSystem(conf).mkdirs(to_path.getParent())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(to_path.toUri(), conf).rename(from_path, to_path, options)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
+
+
 def input_key(df: DataFrame, *more: object) -> str:
     """Digest of the input files of df by name, size and time of change, and of more: names what is derived from them."""
     spark = df.sparkSession

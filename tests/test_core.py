@@ -155,22 +155,14 @@ def test_reverse_modes_and_overflow(spark):
     m = "CT" + "ACGTACGTACGTACGTACGT" + "C"
     rc = lambda x: x.translate(str.maketrans("ACGT", "TGCA"))[::-1]
     df = spark.createDataFrame([(m,)], "seq string")
-    assert [r[0] for r in scan.offtarget_sites(df, "-").collect()] == [rc(m[:20])]
-    assert [r[0] for r in scan.offtarget_sites(df, "-", "protospacer").collect()] == [rc(m)[:20]]
+    assert [tuple(r) for r in scan.offtarget_sites(df, "-").collect()] == [(rc(m[:20]), False)]
+    assert [tuple(r) for r in scan.offtarget_sites(df, "-", "protospacer").collect()] == [(rc(m)[:20], False)]
+    pams = spark.createDataFrame([("A" * 20 + "TGG",), ("A" * 20 + "CAG",), ("CCG" + "ACGT" * 5,), ("ACGT" * 5 + "AAC",)], "seq string")
+    assert sorted(r.gg for r in scan.offtarget_sites(pams).collect()) == [False, True, True]
     many = spark.createDataFrame([("A" + "C" * 19,)] * 300 + [("G" * 20,)], "seq20 string")
     assert {r.seq20: r.occurrences for r in cat.catalogue(many).collect()} == {"A" + "C" * 19: 300, "G" * 20: 1}
 
 
-def test_index_round_trip(spark, tmp_path):
-    sites = cat.catalogue(spark.createDataFrame([("ACGT" * 5,), ("GGCC" * 5,), ("ACGT" * 5,)], "seq20 string"))
-    cat.write_index(sites, f"file://{tmp_path}/index", cat.FIVE_BLOCKS)
-    back = cat.read_index(spark, f"file://{tmp_path}/index")
-    assert back.count() == 10
-    assert {(r.slice_id, r.entries) for r in cat.index_stats(back).collect()} == {(k, 2) for k in range(5)}
-    with pytest.raises(ValueError):
-        cat.write_index(sites, f"file://{tmp_path}/other", cat.FIVE_BLOCKS, 5)
-
-
 def test_fasta(spark, tmp_path):
     text = "acgt\n\n>one first\nacg\ntt\n\n>two\n>three\nGG\n"
     (tmp_path / "a.fa").write_text(text)
@@ -203,40 +195,6 @@ def test_fasta_pieces_of_files_in_many_splits(spark, tmp_path):
     assert rows == {(*key, at): r[at : at + 278] for key, r in want.items() for at in range(0, len(r), 256)}
 
 
-def test_index_is_built_once_and_joined_without_its_shuffle(spark, tmp_path):
-    g = random.Random(3)
-    seqs = ["".join(g.choice("ACGT") for _ in range(20)) for _ in range(3000)]
-    near = ["".join(g.choice("ACGT") if g.random() < 0.1 else c for c in s) for s in seqs[:300]]
-    sites = cat.catalogue(spark.createDataFrame([(s,) for s in seqs], "seq20 string"))
-    guides = spark.createDataFrame([(s,) for s in near], "s string").select(dna.pack(F.col("s")).alias("guide_sig")).distinct().withColumn("guide_id", F.col("guide_sig"))
-    built = []
-
-    def build():
-        built.append(1)
-        return sites
-
-    index = lambda: cat.stored_index(spark, "key of the test", build, cat.PAIRS_OF_SIX, base=f"file://{tmp_path}", buckets=4)
-    index()
-    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("strandlake_index_") and spark.table(t.name).count() == 15 * 3000)
-    spark.sql(f"DROP TABLE {name}")  # as in another session; the files stay
-    stored = index()
-    assert len(built) == 1
-    pairs = lambda df: {(r.guide_sig, r.signature, r.mismatches) for r in df.collect()}
-    want = pairs(simjoin.offtargets(guides, sites))
-    assert len(want) > 250
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        joined = simjoin.offtargets(guides, stored)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert pairs(joined) == want
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert "SortMergeJoin" in plan
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning(slice_id") == 1  # of the guides
-
-
 def test_one_long_record_is_the_work_of_many_tasks(spark):
     g = random.Random(4)
     seq = "".join(g.choice("ACGT") for _ in range(400_000))
