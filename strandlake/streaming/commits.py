@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strandlake.plans.ranges import digest
+from strandlake.session import exists, settle
+from strandlake.streaming.attempts import Handler, Ledger, attempt
+from strandlake.streaming.attempts import screened as screened
+
+#: Folders of a guard table.
+GUARD_SHARDS = 256
 
 
 def dedupe_messages(messages: DataFrame, keys: list[str], body: list[str]) -> DataFrame:
@@ -17,13 +23,19 @@ def dedupe_messages(messages: DataFrame, keys: list[str], body: list[str]) -> Da
     return sums
 
 
-def screened(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Sound rows, and the others with reason: the first rule (name: condition of a bad row) that holds."""
-    reason = F.lit(None).cast("string")
-    for name, bad in reversed(rules.items()):
-        reason = F.when(F.coalesce(bad, F.lit(False)), F.lit(name)).otherwise(reason)
-    marked = rows.withColumn("reason", reason)
-    return marked.where("reason IS NULL").drop("reason"), marked.where("reason IS NOT NULL")
+def batch_digest(rows: DataFrame, keys: tuple[str, str]) -> DataFrame:
+    """keys and digest of each batch's rows whatever their order: their number, and sums and exclusive ors of two hashes of
+    each, all added up before the shuffle."""
+    row = F.to_json(F.struct(*sorted(c for c in rows.columns if c not in keys)))
+    hashes = rows.select(*keys, F.xxhash64(row).alias("a"), F.xxhash64(F.lit("second"), row).alias("b"))
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)")).cast("string")
+    parts = [F.count("*").cast("string"), total("a"), total("b"), F.bit_xor("a").cast("string"), F.bit_xor("b").cast("string")]
+    return hashes.groupBy(*keys).agg(F.sha2(F.concat_ws(":", *parts), 256).alias("digest"))
+
+
+def shard(key: str) -> Column:
+    """Folder of the guard table that a job's batches are in."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(GUARD_SHARDS)).cast("int")
 
 
 def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, str] = ("job_id", "batch_id"), quarantine: str | None = None) -> None:
@@ -31,19 +43,14 @@ def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, s
     quarantine folder, batches of another digest go there with a reason, and the sound ones are committed.
 
     The data partition is overwritten first and the guard row written last, so a batch that broke off in
-    between is simply written again.
+    between is simply written again. Guard rows lie in GUARD_SHARDS folders by job; only those of the jobs at hand are read.
     """
     spark = rows.sparkSession
-    value_columns = sorted(c for c in rows.columns if c not in keys)
-    row_digest = F.sha2(F.to_json(F.struct(*value_columns)), 256)
-    sums = rows.groupBy(*keys).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(row_digest)), ","), 256).alias("digest"))
-    try:
-        guard = spark.read.parquet(guard_path).select(*keys, F.col("digest").alias("committed"))
-    except Exception as missing:  # the first batch
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        guard = None
-    if guard is not None:
+    sums, _ = settle(batch_digest(rows, keys).withColumn("shard", shard(keys[0])), "digests")
+    shards = [r.shard for r in sums.select("shard").distinct().collect()]  # GUARD_SHARDS numbers at most
+    there = [f"{guard_path}/shard={k}" for k in shards if exists(spark, f"{guard_path}/shard={k}")]
+    if there:
+        guard = spark.read.option("basePath", guard_path).parquet(*there).select(*keys, F.col("digest").alias("committed"))
         sums = sums.join(guard, list(keys), "left")
         clashes = sums.where("committed IS NOT NULL AND committed <> digest").select(*keys)
         clash = clashes.head()
@@ -51,20 +58,27 @@ def commit_batch(rows: DataFrame, path: str, guard_path: str, keys: tuple[str, s
             rows.join(clashes, list(keys), "left_semi").withColumn("reason", F.lit("other_contents")).write.mode("append").parquet(quarantine)
         elif clash:
             raise ValueError(f"batch {tuple(clash)} was committed with other contents")
-        sums = sums.where("committed IS NULL").drop("committed")
-    fresh = sums.persist()
-    try:
-        if not fresh.isEmpty():
-            data = rows.join(fresh.select(*keys), list(keys), "left_semi")
-            data.write.partitionBy(*keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-            fresh.write.mode("append").parquet(guard_path)
-    finally:
-        fresh.unpersist()
-
-
-def stream_commits(stream: DataFrame, path: str, guard_path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d, quarantine: str | None = None) -> StreamingQuery:
-    """Runs transform on every micro-batch and commits it; ends when the input at hand is done."""
-    return stream.writeStream.foreachBatch(lambda batch, _: commit_batch(transform(batch), path, guard_path, quarantine=quarantine)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        sums, _ = settle(sums.where("committed IS NULL").drop("committed"), "digests")  # before the guard is written to
+    if not sums.isEmpty():
+        data = rows.join(sums.select(*keys), list(keys), "left_semi")
+        data.write.partitionBy(*keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+        sums.write.partitionBy("shard").mode("append").parquet(guard_path)
+
+
+def stream_commits(
+    stream: DataFrame, path: str, guard_path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d, quarantine: str | None = None,
+    ledger: Ledger | None = None, handler: Handler | None = None, rules: dict[str, Column] | None = None,
+) -> StreamingQuery:
+    """Runs transform on every micro-batch and commits it; ends when the input at hand is done.
+
+    With a ledger, messages first go through its attempts: rows that break a rule or fail too often become dead letters, others come
+    again when they are due, and what is done goes on to transform. With a quarantine folder no batch stops the stream."""
+
+    def one(batch: DataFrame, epoch: int) -> None:
+        done = attempt(batch, ledger, handler or (lambda d: d.withColumn("error", F.lit(None).cast("string"))), str(epoch), rules) if ledger else batch
+        commit_batch(transform(done), path, guard_path, quarantine=quarantine)
+
+    return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_jobs(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFrame:
