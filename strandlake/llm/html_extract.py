@@ -6,14 +6,19 @@ its own text (length, share of link text, punctuation, marks of boilerplate). Th
 text and boilerplate; Viterbi gives the best sequence of the page, and the main blocks, joined by one space,
 are its text.
 
-Besides, each block knows its container (the innermost div, section, cell and the like) and how much of the page's
-text stands in it, so that an article without telling tags or names is found by its weight.
+Besides, each block knows its container (the innermost div, section, cell and the like), how much of the page's
+text stands in it, and whether it lies in the cores of the page: the deepest containers that hold, with all that is
+nested in them, half and four fifths of its text outside links. So an article without telling tags or names is found
+by its weight, however its paragraphs are nested.
 
 The field is trained on labelled pages of two kinds. training_pages() lays out TRAINING_PAGES with a fixed seed:
 articles of several markups among menus, headers, footers, sidebars, notices, adverts, forms and reader comments,
-with long boilerplate and short paragraphs, most of them under names that say nothing. labelled_pages() takes at most
-LABELLED_PAGES of the given pages that mark their main text by one `<article>`, by least hash, and puts each in as it
-is and once more with article and main renamed to div and without class, id and role.
+with long boilerplate and short paragraphs, nested in plain divs or broken by br alone in part, many under names that
+say nothing. labelled_pages() takes at most LABELLED_PAGES of the given pages that mark their main text by one `<article>`
+and have LABELLED_CHARS characters at most, by least hash, and puts each in as it is and once more with article and main
+renamed to div and without class, id and role, as long as all together have LABELLED_BLOCKS blocks at most. Parts of an
+article whose tag or names mark them as a menu, side, notice, advert, form, footer or comment are no main text. The fit's
+memory follows the number of blocks; pages are cut into chains of CHAIN blocks for it.
 
 Defined results: a null or empty page, and one without main text, give "". Scripts, styles, templates,
 comments and form controls are no text. Repeated rows are each extracted. An empty table gives an empty
@@ -26,6 +31,7 @@ from __future__ import annotations
 import html as html_chars
 import random
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,7 +43,8 @@ from pyspark.sql import functions as F
 from strandlake.llm.text import table
 from strandlake.session import spread
 
-TRAINING_PAGES, LABELLED_PAGES = 400, 200
+TRAINING_PAGES, LABELLED_PAGES = 1000, 200
+LABELLED_CHARS, LABELLED_BLOCKS, CHAIN = 1 << 18, 40_000, 256
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -75,6 +82,7 @@ class Block:
     links: int  # characters of link text
     home: int = 0  # number of its container
     mass: float = 1.0  # text of its container against the container that has most
+    core: str = ""  # where it lies to the deepest containers of half and of four fifths of the page's text
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -101,7 +109,7 @@ def leaf_blocks(page: str) -> list[Block]:
             link_open &= tag != "a"
         del stack[upto:]
 
-    at, n, homes = 0, len(page), 0
+    at, n, parents = 0, len(page), [0]  # parents: the container around each container; 0 is the page
     while at < n:
         m = TOKEN.search(page, at)
         if stack and stack[-1][0] == "head" and page[at : m.start() if m else n].strip():
@@ -154,18 +162,42 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag in RAW_TEXT:
             end = RAW_TEXT[tag].search(page, at)
             at = end.start() if end else n
-        homes += tag in CONTAINERS
-        stack.append((tag, entry, homes if tag in CONTAINERS else stack[-1][2] if stack else 0))
+        home = stack[-1][2] if stack else 0
+        if tag in CONTAINERS:
+            parents.append(home)
+            home = len(parents) - 1
+        stack.append((tag, entry, home))
         skip += tag in RAW or entry == HIDE
         link_open |= tag == "a"
     flush()
-    weight: dict[int, int] = {}
+    weigh(blocks, parents)
+    return blocks
+
+
+def weigh(blocks: list[Block], parents: list[int]) -> None:
+    """Sets mass and core of the blocks; parents are numbered before what they contain."""
+    own = [0] * len(parents)
     for b in blocks:
-        weight[b.home] = weight.get(b.home, 0) + len(b.text) - b.links
-    most = max(weight.values(), default=0)
+        own[b.home] += len(b.text) - b.links
+    most = max(own)
+    total, heaviest = own[:], [0] * len(parents)
+    for c in range(len(parents) - 1, 0, -1):
+        up = parents[c]
+        total[up] += total[c]
+        if not heaviest[up] or total[c] >= total[heaviest[up]]:
+            heaviest[up] = c
+    cores = []
+    for share in (0.5, 0.8):
+        core = 0
+        while heaviest[core] and total[heaviest[core]] >= share * max(total[0], 1):
+            core = heaviest[core]
+        inside = [False] * len(parents)
+        for c in range(core, len(parents)):
+            inside[c] = c == core or (c > core and inside[parents[c]])
+        cores.append((core, inside))
     for b in blocks:
-        b.mass = weight[b.home] / most if most else 1.0
-    return blocks
+        b.mass = own[b.home] / most if most else 1.0
+        b.core = "".join("o" if b.home == core else "i" if inside[b.home] else "x" for core, inside in cores)
 
 
 HIDE = "(hidden)"
@@ -217,7 +249,8 @@ def path_features(path: tuple[str, ...]) -> list[str]:
 def text_features(block: Block) -> list[str]:
     text = block.text
     n = len(text)
-    out = ["bias", f"chars:{min(n.bit_length(), 10)}", f"links:{min(4, 4 * block.links // n)}", f"mass:{int(4 * block.mass)}"]
+    out = ["bias", f"chars:{min(n.bit_length(), 10)}", f"links:{min(4, 4 * block.links // n)}", f"mass:{int(4 * block.mass)}", f"core:{block.core}"]
+    out += [f"core:{block.core}:{min(n.bit_length(), 10) // 2}:{min(2, 2 * block.links // n)}"]
     if text[-1] in ".!?":
         out.append("sentence")
     out += [f"trait:{k}" for k in sorted({m.lastindex for m in TRAITS.finditer(text)})]
@@ -268,42 +301,45 @@ class Field:
 
 
 def train(pages: list[tuple[list[Block], list[bool]]], rounds: int = 150, rate: float = 0.3, decay: float = 1e-3) -> Field:
-    """Maximum conditional likelihood by AdaGrad; all pages go through forward-backward together."""
-    pages = [(b, y) for b, y in pages if b]
+    """Maximum conditional likelihood by AdaGrad. Chains of CHAIN blocks at most go through forward-backward together,
+    longest first and place by place, so that nothing is padded: the k-th blocks of all chains that have one lie together."""
+    chains = [(b[at : at + CHAIN], y[at : at + CHAIN]) for b, y in pages for at in range(0, len(b), CHAIN)]
+    chains.sort(key=lambda c: -len(c[0]))
+    alive = np.array([sum(len(b) > t for b, _ in chains) for t in range(len(chains[0][0]))])
+    start = np.concatenate([[0], np.cumsum(alive)])
     names: dict[str, int] = {}
-    rows, cols, labels = [], [], []
-    longest = max(len(b) for b, _ in pages)
-    y = np.zeros((len(pages), longest), int)
-    live = np.zeros((len(pages), longest), bool)
-    for p, (blocks, label) in enumerate(pages):
+    rows, cols = array("q"), array("q")
+    y = np.zeros(start[-1], int)
+    for c, (blocks, label) in enumerate(chains):
         for t, block in enumerate(blocks):
+            y[start[t] + c] = label[t]
             for f in path_features(block.path) + text_features(block):
-                rows.append(p * longest + t)
+                rows.append(start[t] + c)
                 cols.append(names.setdefault(f, len(names)))
-            y[p, t], live[p, t] = label[t], True
-    rows, cols = np.array(rows), np.array(cols)
+    rows, cols = np.frombuffer(rows, np.int64), np.frombuffer(cols, np.int64)
     w, move = np.zeros(len(names)), np.zeros((2, 2))
     seen_w, seen_move = np.full(len(names), 1e-6), np.full((2, 2), 1e-6)
-    both = live[:, 1:] & live[:, :-1]
+    here = np.arange(alive[0], start[-1])  # blocks that have one before them in their chain, and those
+    before = here - np.repeat(alive[:-1], alive[1:])
+    chain = np.concatenate([np.arange(k) for k in alive])
     counted = np.zeros((2, 2))
-    np.add.at(counted, (y[:, :-1][both], y[:, 1:][both]), 1)
+    np.add.at(counted, (y[before], y[here]), 1)
+    ends = np.array([start[len(b) - 1] + c for c, (b, _) in enumerate(chains)])
     for _ in range(rounds):
-        s = np.zeros((len(pages), longest, 2))
-        s[..., 1] = np.bincount(rows, w[cols], minlength=s.shape[0] * longest).reshape(len(pages), longest)
-        a, b = np.zeros_like(s), np.zeros_like(s)
-        a[:, 0] = s[:, 0]
-        for t in range(1, longest):
-            step = np.logaddexp(a[:, t - 1, 0, None] + move[0], a[:, t - 1, 1, None] + move[1]) + s[:, t]
-            a[:, t] = np.where(live[:, t, None], step, a[:, t - 1])
-        z = np.logaddexp(a[:, -1, 0], a[:, -1, 1])
-        for t in range(longest - 2, -1, -1):
-            after = s[:, t + 1] + b[:, t + 1]
-            step = np.logaddexp(move[:, 0] + after[:, 0, None], move[:, 1] + after[:, 1, None])
-            b[:, t] = np.where(live[:, t + 1, None], step, 0.0)
-        p = np.exp(np.minimum(a[..., 1] + b[..., 1] - z[:, None], 0.0)) * live
-        gradient = np.bincount(cols, (y * live - p).ravel()[rows], minlength=len(names)) - decay * len(pages) * w
-        pair = np.exp(np.minimum(a[:, :-1, :, None] + move + (s + b)[:, 1:, None, :] - z[:, None, None, None], 0.0)) * both[..., None, None]
-        gradient_move = counted - pair.sum((0, 1)) - decay * len(pages) * move
+        s = np.zeros((len(y), 2))
+        s[:, 1] = np.bincount(rows, w[cols], minlength=len(y))
+        a, b = s.copy(), np.zeros_like(s)
+        for t in range(1, len(alive)):
+            old = a[start[t - 1] : start[t - 1] + alive[t]]
+            a[start[t] : start[t + 1]] += np.logaddexp(old[:, :1] + move[0], old[:, 1:] + move[1])
+        for t in range(len(alive) - 1, 0, -1):
+            after = s[start[t] : start[t + 1]] + b[start[t] : start[t + 1]]
+            b[start[t - 1] : start[t - 1] + alive[t]] = np.logaddexp(after[:, :1] + move[:, 0], after[:, 1:] + move[:, 1])
+        z = np.logaddexp(a[ends, 0], a[ends, 1])[chain]
+        p = np.exp(np.minimum(a[:, 1] + b[:, 1] - z, 0.0))
+        gradient = np.bincount(cols, (y - p)[rows], minlength=len(names)) - decay * len(pages) * w
+        pair = np.exp(np.minimum(a[before][:, :, None] + move + (s + b)[here][:, None, :] - z[here, None, None], 0.0))
+        gradient_move = counted - pair.sum(0) - decay * len(pages) * move
         seen_w += gradient**2
         seen_move += gradient_move**2
         w += rate * gradient / np.sqrt(seen_w)
@@ -315,28 +351,35 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11, telling: float = 0.7
     """Labelled pages; telling: share of names that say what part they are. Text of the main part begins each block with a mark that is taken off again."""
     r = random.Random(seed)
     mark = "⁣"
+    stock = ["".join(r.choices("aeiourstnlmdch", k=r.randint(2, 9))) for _ in range(1000)]
 
     def words(least: int, most: int) -> str:
-        out = ["".join(r.choice("aeiourstnlmdch") for _ in range(r.randint(2, 9))) for _ in range(r.randint(least, most))]
-        return (" ".join(out)).capitalize() + r.choice((".", ".", ".", "!", "?", ""))
+        return " ".join(r.choices(stock, k=r.randint(least, most))).capitalize() + r.choice((".", ".", ".", "!", "?", ""))
 
-    def name(part: str) -> str:
+    def name(part: str, tells: float = telling) -> str:
         k = r.choice(("class", "class", "id"))
-        if r.random() > telling:
+        if r.random() > tells:
             return r.choice(("", f' {k}="{r.choice(("c", "css-", "el_", "m", "sc-", "row-", "b"))}{r.randint(1, 99)}"', f' {k}="{r.choice(("wrap", "overflow-hidden", "box left", "clearfix", "panel", "cell", "unit"))}"'))
         return f' {k}="{r.choice(("", "site-", "page_", "x-"))}{r.choice(PARTS[part])}{r.choice(("", "-box", " wide", "_1"))}"'
 
-    def menu() -> str:
+    def nested(x: str, most: int = 3) -> str:
+        for _ in range(r.choice((0, 0, r.randint(1, most)))):
+            tag = r.choice(("div", "div", "div", "section"))
+            x = f"<{tag}{name('main', 0.0)}>{x}</{tag}>"
+        return x
+
+    def menu(tells: float = telling) -> str:
         items = "".join(f'<li><a href="#">{words(1, 3)}</a></li>' for _ in range(r.randint(2, 9)))
-        return r.choice((f"<nav><ul>{items}</ul></nav>", f"<div{name('menu')}><ul>{items}</ul></div>", f"<ul{name('menu')}>{items}</ul>"))
+        bare_items = "".join(r.choice(('<a href="#">%s</a> ', '<a href="#">%s</a> ', '<div><a href="#">%s</a></div>', '<div><a href="#">%s</a></div>', "<div>%s</div>")) % words(1, 3) for _ in range(r.randint(1, 9)))
+        return r.choice((f"<nav><ul>{items}</ul></nav>", f"<div{name('menu', tells)}><ul>{items}</ul></div>", f"<ul{name('menu', tells)}>{items}</ul>", f"<div{name('menu', tells)}>{bare_items}</div>"))
 
     def prose(least: int, most: int, tag: str = "p") -> str:
         return "".join(f"<{tag}>{words(3, r.choice((12, 40, 120)))}" + r.choice((f"</{tag}>", f"</{tag}>", "")) for _ in range(r.randint(least, most)))
 
-    def boiler() -> str:
+    def boiler(tells: float = telling) -> str:
         kind = r.choice(("menu", "header", "footer", "side", "notice", "advert", "form", "comment"))
         if kind == "menu":
-            return menu()
+            return menu(tells)
         inner = prose(1, 4) if r.random() < 0.5 else words(2, 30) + r.choice(("", f"<h3>{words(1, 4)}</h3>{prose(1, 3)}"))
         tag = {"header": "header", "footer": "footer", "side": "aside", "form": "form"}.get(kind)
         if kind == "footer" and r.random() < 0.5:
@@ -348,14 +391,25 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11, telling: float = 0.7
         if tag and r.random() < 0.5:
             return f"<{tag}>{inner}</{tag}>"
         tag = r.choice(("div", "div", "section", tag or "div"))
-        return f"<{tag}{name(kind)}>{inner}</{tag}>"
+        return f"<{tag}{name(kind, tells)}>{nested(inner)}</{tag}>"
+
+    def aside() -> str:
+        """A part of an article that is none of its text, as its names say."""
+        kind = r.choice(("side", "notice", "advert", "advert", "form", "comment", "menu", "footer"))
+        tag = r.choice(("div", "div", "section", "p"))
+        inner = words(2, r.choice((8, 30))) if tag == "p" or r.random() < 0.4 else prose(1, 3)
+        return f"<{tag}{name(kind, 1.0)}>{inner}</{tag}>"
 
     def main() -> str:
         out = [f"<h1>{mark}{words(3, 9)}</h1>"] if r.random() < 0.8 else []
+        style = r.choice(("p", "p", "p", "div", "nested", "br"))  # how paragraphs are set
         for _ in range(r.randint(1, 10)):
             kind = r.random()
             text = mark + words(1, r.choice((8, 30, 150)))
-            if kind < 0.75:
+            if kind < 0.75 and style != "p":
+                text = mark + words(4, r.choice((15, 30, 150)))
+                out.append({"div": f"<div>{text}</div>", "nested": f"<div><div>{text}</div></div>", "br": f"{text}{r.choice(('<br>', '<br><br>', '<br/><br/>'))}{mark}{words(3, 40)}"}[style])
+            elif kind < 0.75:
                 out.append(f"<p>{r.choice(('', '<b>', '<a href=#>x</a> '))}{text}" + r.choice(("</p>", "</p>", "<br>")))
             elif kind < 0.83:
                 out.append(f"<h2>{text}</h2>")
@@ -367,23 +421,25 @@ def training_pages(n: int = TRAINING_PAGES, seed: int = 11, telling: float = 0.7
             elif kind < 0.95:
                 out.append(f"<blockquote>{text}</blockquote>")
             else:
-                out.append(boiler())
-        body = "".join(out)
+                out.append(aside())
         if r.random() < 0.3:
-            body += r.choice((boiler(), ""))
+            out.insert(r.randint(0, len(out)), aside())
+        body = nested("".join(out))
+        if r.random() < 0.3:
+            body += r.choice((boiler(1.0), ""))
         tag = r.choice(("article", "article", "main", "div", "div", "section"))
         names = name("main") if tag in ("div", "section") or r.random() < 0.3 else ""
         return f"<{tag}{names}>{body}</{tag}>"
 
     for _ in range(n):
-        before, after = ("".join(boiler() for _ in range(r.randint(0, 4))) for _ in range(2))
-        core = main() if r.random() < 0.95 else ""
+        before, after = ("".join(nested(boiler(), 2) for _ in range(r.randint(0, 4))) for _ in range(2))
+        core = nested(main()) if r.random() < 0.95 else ""
         if r.random() < 0.3:
             core = f"<main>{core}{boiler() if r.random() < 0.5 else ''}</main>"
         if r.random() < 0.15:  # laid out by a table
             before, core, after = (f"<td>{x}</td>" for x in (before, core, after))
             before, after = f"<table><tr>{before}", f"{after}</tr></table>"
-        blocks = leaf_blocks(f"<html><head><title>{words(2, 6)}</title></head><body>{before}{core}{after}</body></html>")
+        blocks = leaf_blocks(f"<html><head><title>{words(2, 6)}</title></head><body>{nested(before + core + after, 2)}</body></html>")
         labels = [mark in b.text for b in blocks]
         for b in blocks:
             b.text = b.text.replace(mark, "") or "."
@@ -409,15 +465,27 @@ def bare(page: str) -> str:
 
 
 def in_article(block: Block) -> bool:
-    """Whether the block stands in an article and in no part of it that is none of its text."""
+    """Whether the block stands in an article and in no part of it that is none of its text, by tag or by name."""
     tags = [e.split(" ")[0] for e in block.path]
-    return "article" in tags and not {"nav", "aside", "footer", "form"} & set(tags[tags.index("article") :])
+    if "article" not in tags:
+        return False
+    at = tags.index("article")
+    names = {PART_OF.get(w) for e in block.path[at + 1 :] for w in e.split(" ")[1:]}
+    return not {"nav", "aside", "footer", "form"} & set(tags[at:]) and not names & NOT_MAIN
+
 
+NOT_MAIN = frozenset(PARTS) - {"main", "header"}
 
-def labelled_pages(pages: list[str]) -> Iterator[tuple[list[Block], list[bool]]]:
-    """Labelled blocks of pages that have one article, as they are and bare."""
+
+def labelled_pages(pages: list[str], most: int = LABELLED_BLOCKS) -> Iterator[tuple[list[Block], list[bool]]]:
+    """Labelled blocks of pages that have one article, as they are and bare; pages by which there would be more than
+    most blocks are left out."""
+    used = 0
     for page in pages:
         blocks = leaf_blocks(page)
+        if used + 2 * len(blocks) > most:
+            continue
+        used += 2 * len(blocks)
         labels = [in_article(b) for b in blocks]
         yield blocks, labels
         plain = leaf_blocks(bare(page))
@@ -426,9 +494,9 @@ def labelled_pages(pages: list[str]) -> Iterator[tuple[list[Block], list[bool]]]
 
 
 def fitted_to(pages: DataFrame, html_col: str = "html") -> Field:
-    """The field, trained on TRAINING_PAGES laid out and on LABELLED_PAGES at most of the given pages."""
+    """The field, trained on TRAINING_PAGES laid out and on at most LABELLED_PAGES of the given pages."""
     h = F.col(html_col)
-    one = F.regexp_count(h, F.lit("(?i)<article\\b")) == 1
+    one = (F.regexp_count(h, F.lit("(?i)<article\\b")) == 1) & (F.length(h) <= LABELLED_CHARS)
     marked = pages.where(one).select(h.alias("html"), F.xxhash64(h).alias("hash"))
     # hashes alone are sorted, and equal pages count once, so LABELLED_PAGES pages reach the driver at most
     last = marked.select("hash").distinct().orderBy("hash").limit(LABELLED_PAGES).agg(F.max("hash")).first()[0]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, secret_scan, source_mix, token_files
 from strandlake.llm.components import components
+from strandlake.llm.text import table
 from strandlake.session import scratch_path, settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -590,6 +591,24 @@ HTML_CASES = {
 }
 
 
+ONE = "The council met on Tuesday to talk about the new bridge over the river and its cost."
+TWO = "It was agreed that work would begin in spring, once the plans had been read by all."
+END = "A last vote is to be held in May, after which nothing can be changed any more."
+#: Articles in nested and plain divs, broken by br, and with adverts and comments inside.
+HTML_LAYOUTS = {
+    f"<div><div><a href=#>Home</a> <a href=#>News</a></div><div><div><div>{ONE}</div></div><div><div>{TWO}</div></div></div></div>": f"{ONE} {TWO}",
+    f"<div><h1>A bridge</h1><div>{ONE}</div><div>{TWO}</div></div>": f"A bridge {ONE} {TWO}",
+    f"<div><h1>A bridge</h1></div><div>{ONE}</div><div>{TWO}</div>": f"A bridge {ONE} {TWO}",
+    f"<div><a href=#>Home</a></div><div>{ONE}<br><br>{TWO}<br><br>{END}</div><div>© 2024</div>": f"{ONE} {TWO} {END}",
+    f"<div>{ONE}<br><br>{TWO}</div>": f"{ONE} {TWO}",
+    f"<table><tr><td><a href=#>x</a><br><a href=#>y</a></td><td>{ONE}<br><br>{TWO}</td></tr></table>": f"{ONE} {TWO}",
+    f'<article><h1>A bridge</h1><div class="promo"><p>Buy one now!</p></div><p>{ONE}</p><p>{TWO}</p></article>': f"A bridge {ONE} {TWO}",
+    f'<article><p>{ONE}</p><div class="ad-box">Cheap shoes here.</div><p>{TWO}</p></article>': f"{ONE} {TWO}",
+    f'<article><h1>A bridge</h1><p>{ONE}</p><p>{TWO}</p><div class="comments"><p>Nice one, I liked it.</p><p>Me too.</p></div></article>': f"A bridge {ONE} {TWO}",
+    f"<div id=c1><div class=a2><ul><li><a href=#>x</a></li><li><a href=#>y</a></li></ul></div><div class=b3><div class=k1><h2>Title here</h2><div class=k2>{ONE}</div><div class=k2>{TWO}</div><div class=k2>{END}</div></div></div><div class=z>Copyright 2024 All rights reserved</div></div>": f"Title here {ONE} {TWO} {END}",
+}
+
+
 def given_pages(spark):
     return [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
 
@@ -604,6 +623,58 @@ def test_html_keeps_the_article(spark):
     assert model.main_text(f"<nav><a href=#>x</a></nav><article>{long}</article>").count("Paragraph") == 20_000
 
 
+def test_html_layouts(spark):
+    """The model of the query over sf0.1, and its texts of all given pages against their article element."""
+    pages = table(spark, "/root/testdata/sf0.1", "pages")
+    model = html_extract.fitted_to(pages)
+    for page, text in HTML_LAYOUTS.items():
+        assert model.main_text(f"<html><body>{page}</body></html>") == text, page
+    for page in given_pages(spark):
+        assert model.main_text(page) == " ".join(b.text for b in html_extract.leaf_blocks(page) if any(e.split(" ")[0] == "article" for e in b.path))
+    empty = html_extract.extract(pages.where("false"))
+    assert empty.columns == ["page_id", "url", "text"] and empty.count() == 0
+
+
+def test_html_fit_is_bounded_and_cut_into_chains(monkeypatch):
+    """A page of 200,000 blocks is not fitted to; chains cut short give nearly the weights of whole pages."""
+    small, long = "<article><p>One is here.</p></article><p>x</p>", "<article>" + "<p>a</p>" * 200_000 + "</article>"
+    got = list(html_extract.labelled_pages([long, small, small]))
+    assert [y for _, y in got] == [[True, False]] * 4
+    blocks = html_extract.leaf_blocks(long)
+    field = html_extract.train([*html_extract.training_pages(20), (blocks, [True] * len(blocks))], rounds=2)
+    assert all(field.decode(blocks))
+    pages = list(html_extract.training_pages(60))
+    whole = html_extract.train(pages)
+    monkeypatch.setattr(html_extract, "CHAIN", 7)
+    cut = html_extract.train(pages)
+    same = [a == b for p, _ in pages for a, b in zip(whole.decode(p), cut.decode(p), strict=True)]
+    assert sum(same) / len(same) > 0.97
+
+
+def test_html_likelihood_by_enumeration():
+    """The fitted field has a higher likelihood than fields near it, summed over all sequences of short pages."""
+    from itertools import product
+
+    pages = [(b[:7], y[:7]) for b, y in html_extract.training_pages(12)]
+    pages = [(b, y) for b, y in pages if b]
+    field = html_extract.train(pages, rounds=1500, decay=0.05)
+
+    def likelihood(weights, move):
+        f, out = html_extract.Field(weights, move), 0.0
+        for blocks, y in pages:
+            s = [f.score(b) for b in blocks]
+            total = lambda seq: sum(a * k for a, k in zip(s, seq)) + sum(move[a][b] for a, b in zip(seq, seq[1:]))  # noqa: B023, B905, E731
+            every = [total(seq) for seq in product((0, 1), repeat=len(blocks))]
+            out += total([int(k) for k in y]) - np.logaddexp.reduce(every)
+        return out - 0.05 * len(pages) * (sum(v * v for v in weights.values()) + sum(v * v for row in move for v in row)) / 2
+
+    best = likelihood(field.weights, field.move)
+    r = random.Random(3)
+    for _ in range(10):
+        near = {k: v + r.gauss(0, 0.02) for k, v in field.weights.items()}
+        assert likelihood(near, [[v + r.gauss(0, 0.02) for v in row] for row in field.move]) < best
+
+
 def test_html_given_pages_without_their_names(spark):
     """Fitted on 100 of the given pages, measured on the others, whose article and main are div and classes gone."""
     pages = given_pages(spark)
@@ -650,7 +721,7 @@ def test_html_blocks_by_another_parser(spark):
 
 def test_html_held_out():
     model = html_extract.fitted()
-    for telling, whole, share in ((1.0, 0.93, 0.98), (0.5, 0.7, 0.9)):
+    for telling, whole, share in ((1.0, 0.88, 0.985), (0.5, 0.7, 0.95)):
         pages = list(html_extract.training_pages(200, seed=99, telling=telling))
         got = [model.decode(blocks) for blocks, _ in pages]
         assert sum(g == labels for g, (_, labels) in zip(got, pages, strict=True)) / len(pages) > whole
