@@ -13,9 +13,11 @@ Steps:
 3. The rest: in buckets that still hold several components, members outside the leader's component meet the
    others in blocks. Pairs whose long signature rules out the threshold (4.5 standard deviations below) stop
    there; the others are verified on full sets and components are found again. Of the links between one
-   document and one component a single one comes out. A bucket of more than LARGE members is dealt anew by SUB_BANDS
+   document and one component a single one comes out. A bucket of more than `large` members is dealt anew by SUB_BANDS
    bands of SUB_ROWS further coordinates before that, so that unlike members of a hot bucket do not all meet; a pair
-   at the threshold is missed by all of these with probability 1e-5. No pair is dropped by a cap.
+   at the threshold is missed by all of these with probability 3e-8, no more than by the bands of step 1. With large=None
+   no bucket is dealt anew: all members outside the leader's component meet all others, which is exact and quadratic
+   in them. No pair is dropped by a cap.
 
 Defined results: documents without words are their own component. A null id is not linked: component_id is null,
 kept is true. Rows that share an id are one document: all their texts are in one component. An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -43,7 +45,7 @@ BANDS, ROWS = 32, 4
 LONG, LEAST = 512, 0.72
 BLOCK = 512
 #: Members of a bucket that is dealt anew, and bands for it (of bytes of the long signature beyond the first bands).
-LARGE, SUB_BANDS, SUB_ROWS = 2048, 16, 3
+LARGE, SUB_BANDS, SUB_ROWS = 2048, 24, 3
 
 
 def circulant(s: np.ndarray, n: int) -> np.ndarray:
@@ -177,21 +179,21 @@ def link(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def dealt_anew(members: DataFrame) -> DataFrame:
-    """members with the buckets of more than LARGE members cut by further coordinates."""
+def dealt_anew(members: DataFrame, most: int) -> DataFrame:
+    """members with the buckets of more than most members cut by further coordinates."""
     counts = members.groupBy("key").agg(F.count("*").alias("__n"))
     counted = members.join(counts, "key")
     part = F.sequence(F.lit(0), F.lit(SUB_BANDS - 1))
-    large = counted.where(F.col("__n") > LARGE).withColumn("__q", F.explode(part))
+    large = counted.where(F.col("__n") > most).withColumn("__q", F.explode(part))
     at = LONG - SUB_BANDS * SUB_ROWS + 1 + F.col("__q") * SUB_ROWS
     large = large.withColumn("key", F.xxhash64("key", "__q", F.substring("sig", at, F.lit(SUB_ROWS))))
-    return counted.where(F.col("__n") <= LARGE).drop("__n").unionByName(large.drop("__n", "__q"))
+    return counted.where(F.col("__n") <= most).drop("__n").unionByName(large.drop("__n", "__q"))
 
 
-def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, large: int | None = LARGE) -> DataFrame:
     """Links between components that share a bucket. Signatures go first and mark the rows of a bucket that
     have a likely partner; full sets follow for those alone."""
-    members, path = settle(dealt_anew(members), "rest")
+    members, path = settle(members if large is None else dealt_anew(members, large), "rest")
     columns = ["id", "component", "band", "bands", "sig"]
     out, every = blocked(members, columns)
     marked, _ = settle(out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(mark, "key long, id long").distinct(), "marked")
@@ -200,8 +202,9 @@ def across(members: DataFrame, sets: DataFrame) -> DataFrame:
     return out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per input row."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int | None = LARGE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per input row. large: members of a bucket from which it is dealt
+    anew (a pair is lost with probability 3e-8), or None for all buckets whole."""
     spark, paths = docs.sparkSession, []
 
     def written(df: DataFrame, name: str) -> DataFrame:
@@ -240,7 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = member.join(lead_of, "lead", "left").withColumn("main", F.coalesce("main", "lead"))
     mixed = member.where("component <> main").select("band", "key").distinct()
     rest = member.join(mixed, ["band", "key"], "left_semi").join(reps, "id").select("key", "band", "id", "component", "main", "bands", "sig")
-    more = written(across(rest, sets), "more")
+    more = written(across(rest, sets, large), "more")
     if not more.isEmpty():
         found = components(links.unionByName(more))
 
@@ -256,3 +259,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Exact for any table whose ids are not null and differ: prefixes of the sets, rarest shingles first, find the candidates.
+OP3_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS MATERIALIZED (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s
+    FROM split
+), classes AS MATERIALIZED (
+    SELECT min(doc_id) AS id, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), shingles AS MATERIALIZED (
+    SELECT id, n, unnest(s) AS x FROM classes
+), ranked AS (
+    SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY df, x) AS k
+    FROM shingles JOIN (SELECT x, count(*) AS df FROM shingles GROUP BY x) USING (x)
+), prefixes AS MATERIALIZED (
+    SELECT id, n, x FROM ranked WHERE k <= n - (80 * n + 99) // 100 + 1
+), candidates AS (
+    SELECT DISTINCT p.id AS a, q.id AS b FROM prefixes p JOIN prefixes q ON p.x = q.x AND p.id < q.id AND 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+), met AS (
+    SELECT a, b, p.n AS na, q.n AS nb, len(list_intersect(p.s, q.s)) AS shared
+    FROM candidates JOIN classes p ON p.id = a JOIN classes q ON q.id = b
+), links AS MATERIALIZED (
+    SELECT a, b FROM met WHERE 100 * shared >= 80 * (na + nb - shared)
+), ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(id, other) AS (
+    SELECT id, id FROM classes
+    UNION
+    SELECT r.id, w.b FROM reach r JOIN ways w ON w.a = r.other
+), components AS (
+    SELECT id, min(other) AS component_id FROM reach GROUP BY id
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(m.component_id, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN components m ON m.id = c.id
+"""

@@ -23,7 +23,9 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.OP1_SQL,
+    "op3_minhash_dedup": minhash_dedup.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op10_chat_format": chat_format.OP10_SQL,
     "op12_phrase_collocations": collocations.OP12_SQL,
     "op13_url_filter": url_filter.OP13_SQL,
     "quality_ablation": quality_rules.ABLATION_SQL,

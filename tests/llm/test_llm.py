@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, secret_scan, source_mix, token_files
+from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, queries, secret_scan, source_mix, token_files
 from strandlake.llm.components import components
 from strandlake.llm.text import table
 from strandlake.session import scratch_path, settle
@@ -153,10 +153,10 @@ def test_minhash_shared_and_null_ids(spark):
     assert {(x.doc_id, x.component_id) for x in only} == {(3, 3), (9, 3)}
 
 
-def test_minhash_large_bucket_of_unlike_members(spark, monkeypatch):
-    """Many documents share a third of their shingles and so some buckets; pairs among them are found, and the
-    buckets are dealt anew."""
-    monkeypatch.setattr(minhash_dedup, "LARGE", 8)
+@pytest.mark.parametrize("large", [8, None])
+def test_minhash_large_bucket_of_unlike_members(spark, large):
+    """Many documents share a third of their shingles and so some buckets; pairs among them are found, where the
+    buckets are dealt anew and where all their members meet."""
     g = random.Random(21)
     common = [f"c{k}" for k in range(140)]
     rows = []
@@ -169,10 +169,27 @@ def test_minhash_large_bucket_of_unlike_members(spark, monkeypatch):
     want = {}
     for i, _ in rows:
         want[i] = i // 3 * 3
-    got = {x.doc_id: x.component_id for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {x.doc_id: x.component_id for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), large=large).collect()}
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["op3_minhash_dedup", "op10_chat_format"])
+def test_against_sql(spark, name):
+    import duckdb
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    want = con.execute(queries.ORACLE_SQL[name])
+    columns = sorted(d[0] for d in want.description)
+    want = want.df()[columns]
+    got = queries.QUERIES[name](spark, folder)
+    assert sorted(got.columns) == columns
+    key = repr
+    assert sorted(map(tuple, got.select(*columns).collect()), key=key) == sorted(want.itertuples(index=False, name=None), key=key)
+
+
 def test_circulant_estimates_similarity():
     rng = np.random.default_rng(1)
     x = rng.integers(0, 2**64, 1000, dtype=np.uint64)
