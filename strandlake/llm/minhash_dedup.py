@@ -15,8 +15,7 @@ Steps:
    there; the others are verified on full sets and components are found again. Of the links between one
    document and one component a single one comes out. A bucket of more than `large` members is dealt anew by SUB_BANDS
    bands of SUB_ROWS further coordinates before that, so that unlike members of a hot bucket do not all meet; a pair
-   at the threshold is missed by all of these with probability 3e-8, no more than by the bands of step 1. With large=None
-   no bucket is dealt anew: all members outside the leader's component meet all others, which is exact and quadratic
+   at the threshold is missed by all of these with probability 1e-5. With large=None no bucket is dealt anew: all members outside the leader's component meet all others, which is exact and quadratic
    in them. No pair is dropped by a cap.
 
 Defined results: documents without words are their own component. A null id is not linked: component_id is null,
@@ -45,7 +44,7 @@ BANDS, ROWS = 32, 4
 LONG, LEAST = 512, 0.72
 BLOCK = 512
 #: Members of a bucket that is dealt anew, and bands for it (of bytes of the long signature beyond the first bands).
-LARGE, SUB_BANDS, SUB_ROWS = 2048, 24, 3
+LARGE, SUB_BANDS, SUB_ROWS = 2048, 16, 3
 
 
 def circulant(s: np.ndarray, n: int) -> np.ndarray:
@@ -204,7 +203,7 @@ def across(members: DataFrame, sets: DataFrame, large: int | None = LARGE) -> Da
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int | None = LARGE) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row. large: members of a bucket from which it is dealt
-    anew (a pair is lost with probability 3e-8), or None for all buckets whole."""
+    anew (a pair is lost with probability 1e-5), or None for all buckets whole."""
     spark, paths = docs.sparkSession, []
 
     def written(df: DataFrame, name: str) -> DataFrame:
