@@ -15,8 +15,9 @@ Steps:
    there; the others are verified on full sets and components are found again. Of the links between one
    document and one component a single one comes out. A bucket of more than `large` members is dealt anew by SUB_BANDS
    bands of SUB_ROWS further coordinates before that, so that unlike members of a hot bucket do not all meet; a pair
-   at the threshold is missed by all of these with probability 1e-5. With large=None no bucket is dealt anew: all members outside the leader's component meet all others, which is exact and quadratic
-   in them. No pair is dropped by a cap.
+   at the threshold is missed by all of these with probability 1e-5. With large=None no bucket is dealt anew: all
+   members outside the leader's component meet all others, which is exact and quadratic in them. No pair is dropped
+   by a cap.
 
 Defined results: documents without words are their own component. A null id is not linked: component_id is null,
 kept is true. Rows that share an id are one document: all their texts are in one component. An empty table gives an empty result. Other columns are ignored, whatever their names.
