@@ -19,12 +19,14 @@ Steps:
    laid over each other at their minima, and their intersections, over all keys that the two texts share, bound the
    stretches of shingles that travel to the verification. There is one row for a pair of texts.
 4. The rest: places where the leader of their key has no passage near them. Each meets all holders of its key, in blocks; the
-   shingles around the places are laid over each other, and the holder that agrees best is verified. Every place
-   that has a partner over a key is compared with it; where several agree, one link is kept.
+   shingles around the places are laid over each other, and the first holder that agrees is verified. Then classes are
+   found, and places with further holders that agree meet again those that have no class in common with them, until
+   every holder that agrees is in a class of the place or has been verified with it. No partner is left out.
 5. Passages that overlap in a text are one region; linked regions are one class.
 
 Result: a row for each passage found, from either side, with its class; a row for each further copy of a whole text.
-Copies and near copies stay linear: each place is linked to its leader or to the partner that agrees best.
+Copies and near copies stay linear: each place is linked to its leader or to one partner of a class; all texts that
+agree with it over a key are verified with it or in one class with it.
 
 Defined results: null and empty texts, texts under 50 words and rows with a null id have no passages. Rows that
 share an id and a text count once; with other texts they are texts of their own. A passage that repeats inside one
@@ -451,29 +453,21 @@ def still_open(state: DataFrame) -> DataFrame:
 LENGTHS = {n: int(np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9)) for n in range(SPAN, 2 * SPAN + 1, SPAN // 4)}
 
 
-def best_partners(out: np.ndarray, every: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of out (shingles around a place) the row of every that agrees best, -1 where no stretch of LENGTHS
-    agrees enough, and by how many shingles more than needed. Shifts by one word after an edit count. same: whether both rows are one text."""
-    best, margin = np.full(len(out), -1), np.zeros(len(out), np.int64)
-    held = np.zeros((len(every), every.shape[1] + 1), np.int16)
-    for k, row in enumerate(out):
-        eq = every == row
-        eq[:, 1:] |= every[:, 1:] == row[:-1]
-        eq[:, :-1] |= every[:, :-1] == row[1:]
-        eq[same[k]] = False
-        near = np.flatnonzero(eq.sum(axis=1, dtype=np.int16) >= NEED)
-        if len(near):
-            sums = held[: len(near)]
-            np.cumsum(eq[near], axis=1, out=sums[:, 1:])
-            over = np.max([(sums[:, n:] - sums[:, :-n]).max(axis=1) - need for n, need in LENGTHS.items()], axis=0)
-            if over.max() >= 0:
-                best[k], margin[k] = near[over.argmax()], over.max()
-    return best, margin
-
-
-def rest_pairs(texts: DataFrame, windows: DataFrame, shingled: DataFrame, state: DataFrame) -> DataFrame:
-    """Pairs for places that are still open: each meets all holders of its key, in blocks, and takes the one that agrees
-    best around the place. Columns as of star()."""
+def agreeing(row: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """Rows of every (shingles around a place) with a stretch of LENGTHS that agrees enough with row. Shifts by one word after an edit count."""
+    eq = every == row
+    eq[:, 1:] |= every[:, 1:] == row[:-1]
+    eq[:, :-1] |= every[:, :-1] == row[1:]
+    near = np.flatnonzero(eq.sum(axis=1, dtype=np.int16) >= NEED)
+    if not len(near):
+        return near
+    sums = np.zeros((len(near), every.shape[1] + 1), np.int16)
+    np.cumsum(eq[near], axis=1, out=sums[:, 1:])
+    return near[np.max([(sums[:, n:] - sums[:, :-n]).max(axis=1) - need for n, need in LENGTHS.items()], axis=0) >= 0]
+
+
+def open_holders(windows: DataFrame, shingled: DataFrame, state: DataFrame) -> DataFrame:
+    """key, t, c, todo, pad, x: all holders of the keys that have a place which is still open (todo), with the shingles around."""
     places, _ = settle(still_open(state).withColumn("todo", F.lit(True)), "open")
     holders = windows.select("key", "t", "c")
     keys = holders.join(places, ["t", "c"], "left_semi").select("key").distinct()
@@ -481,70 +475,136 @@ def rest_pairs(texts: DataFrame, windows: DataFrame, shingled: DataFrame, state:
     begin = F.greatest(F.col("c") - SPAN - F.col("off"), F.lit(0))
     around = rows.join(shingled, "t").withColumn("pad", begin + F.col("off") - F.col("c") + SPAN).withColumn("x", F.slice("x", begin + 1, 2 * SPAN + 1 - F.col("pad")))
     around, _ = settle(around.select("key", "t", "c", "todo", "pad", "x"), "around")
-    counts = around.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if("todo") / BLOCK).cast("int").alias("n_out"), F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo < hi")
+    return around
+
+
+HOLDER = ["t", "c", "pad", "x", "classes", "tried"]
+
+
+def partners(around: DataFrame, most: int) -> DataFrame:
+    """key, b, cb, n, first: of every place with todo, how many holders of its key agree with it, and the first `most` of them in
+    the order of texts (a, ca), among those that share none of its classes and have not been tried with it. Holders meet in blocks."""
+    counts = around.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if("todo") / BLOCK).cast("int").alias("n_out"), F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo < hi AND n_out > 0")
     met = around.join(counts.drop("lo", "hi"), "key")
     block = lambda n: F.pmod(F.xxhash64("t"), F.col(n)).cast("int")
     out = met.where("todo").withColumn("i", block("n_out")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1))).withColumn("side", F.lit(0))
     every = met.withColumn("j", block("n_all")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_out") - 1))).withColumn("side", F.lit(1))
     group = ["key", "i", "j"]
-    both = out.select(*group, "side", "t", "c", "pad", "x").unionByName(every.select(*group, "side", "t", "c", "pad", "x")).repartition(*group).sortWithinPartitions(*group, "side")
+    both = out.select(*group, "side", *HOLDER).unionByName(every.select(*group, "side", *HOLDER)).repartition(*group).sortWithinPartitions(*group, "side", "t")
+    firsts = pa.list_(pa.struct([("a", pa.int64()), ("ca", pa.int32())]))
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
-        def pairs() -> pa.RecordBatch:
+        def met() -> pa.RecordBatch:
             n = sum(r[1] == 0 for r in held)
-            m = np.zeros((len(held), 2 * SPAN + 1), np.int64)
-            m[:n], m[n:] = -1, -2  # what lies outside a text agrees with nothing
+            m = np.zeros((len(held), 2 * SPAN + 1), np.uint32)
+            m[n:] = 1  # what lies outside a text agrees with nothing
             for row, r in zip(m, held, strict=True):
                 row[r[4] : r[4] + len(r[5])] = r[5].view(np.uint32)
             t, c = (np.array([r[k] for r in held], np.int64) for k in (2, 3))
-            best, margin = best_partners(m[:n], m[n:], t[:n, None] == t[None, n:])
-            at = np.flatnonzero(best >= 0)
-            return pa.RecordBatch.from_arrays([pa.array(t[n:][best[at]]), pa.array(t[at]), pa.array(c[n:][best[at]].astype(np.int32)), pa.array(c[at].astype(np.int32)), pa.array(margin[at])], names=["a", "b", "ca", "cb", "margin"])
+            every, classes = m[n:], np.concatenate([r[6] for r in held[n:]])
+            owner = np.repeat(np.arange(len(every)), [len(r[6]) for r in held[n:]])
+            rows = []
+            for k, r in enumerate(held[:n]):
+                new = t[n:] != t[k]
+                if len(r[6]):
+                    new[owner[np.isin(classes, r[6])]] = False
+                if len(r[7]):
+                    new[np.isin(t[n:], r[7])] = False
+                some = np.flatnonzero(new)
+                at = some[agreeing(m[k], every[some])] if 2 * len(some) < len(every) else (near := agreeing(m[k], every))[new[near]]
+                if len(at):  # the rows of a block stand in the order of texts
+                    rows.append((r[0][0], t[k], c[k], len(at), [{"a": int(t[n + v]), "ca": int(c[n + v])} for v in at[:most].tolist()]))
+            key, b, cb, found, first = zip(*rows, strict=True) if rows else ((),) * 5
+            columns = [pa.array(key, pa.int64()), pa.array(b, pa.int64()), pa.array(cb, pa.int32()), pa.array(found, pa.int64()), pa.array(first, firsts)]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "b", "cb", "n", "first"])
 
         for batch in arrow:
             cells = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            for key, i, j, side, t, c, pad, x in zip(*cells, lists(batch.column(7)), strict=True):
+            for key, i, j, side, t, c, pad, x, classes, tried in zip(*cells, *(lists(batch.column(k)) for k in (7, 8, 9)), strict=True):
                 if held and held[0][0] != (key, i, j):
                     if held[0][1] == 0 and held[-1][1] == 1:
-                        yield pairs()
+                        yield met()
                     held = []
-                held.append(((key, i, j), side, t, c, pad, x.copy()))
+                held.append(((key, i, j), side, t, c, pad, x.copy(), classes.copy(), tried.copy()))
         if held and held[0][1] == 0 and held[-1][1] == 1:
-            yield pairs()
+            yield met()
+
+    return both.mapInArrow(run, "key long, b long, cb int, n long, first array<struct<a:long,ca:int>>")
+
 
-    found = both.mapInArrow(run, "a long, b long, ca int, cb int, margin long")
-    # one partner for the places of half a passage
-    found = found.groupBy("b", F.expr(f"cb div {SPAN // 2}")).agg(F.max(F.struct("margin", "a", "ca", "cb")).alias("f")).select("b", "f.a", "f.ca", "f.cb")
-    return found.groupBy("a", "b").agg(F.min("ca").alias("la"), F.max("ca").alias("ra"), F.min("cb").alias("lb"), F.max("cb").alias("rb"), F.collect_set("cb").alias("ws"))
+def chosen(met: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs with columns as of star(): the first `most` partners of the places of half a passage; and key, t, c of the
+    places that have further ones."""
+    half = F.expr(f"cb div {SPAN // 2}").alias("half")
+    each = met.select("key", "b", half, "cb", F.explode("first").alias("f")).select("key", "b", "half", "cb", "f.a", "f.ca")
+    if most == 1:
+        first = each.groupBy("b", "half").agg(F.min("a").alias("a"))
+    else:
+        first = each.groupBy("b", "half").agg(F.slice(F.array_sort(F.collect_set("a")), 1, most).alias("a")).withColumn("a", F.explode("a"))
+    taken, _ = settle(each.join(first, ["b", "half", "a"]), "taken")
+    pairs = taken.groupBy("a", "b").agg(F.min("ca").alias("la"), F.max("ca").alias("ra"), F.min("cb").alias("lb"), F.max("cb").alias("rb"), F.collect_set("cb").alias("ws"))
+    n = met.groupBy("key", "b", "cb").agg(F.sum("n").alias("n"))
+    done = taken.groupBy("key", "b", "cb").agg(F.count("*").alias("done"))
+    left = n.join(done, ["key", "b", "cb"], "left").where("done IS NULL OR n > done").select("key", F.col("b").alias("t"), F.col("cb").alias("c"))
+    return pairs, left
+
+
+def places_classes(holders: DataFrame, regions: DataFrame) -> DataFrame:
+    """t, c, classes: classes of the regions that a place lies in or near, as `open` has it."""
+    at = holders.select("t", "c").distinct().join(regions, "t").where(f"c >= i - {SPAN} AND c <= j + {SPAN}")
+    return at.groupBy("t", "c").agg(F.collect_set("class").alias("classes"))
+
+
+def of_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a", "b", F.explode("found").alias("f")).select("a", "f.i", "f.j", "b", "f.i2", "f.j2", "f.similarity")
 
 
 def pair_passages(texts: DataFrame) -> DataFrame:
-    """a, i, j, b, i2, j2 (first and last shingle in either text) and similarity of the passages that texts share."""
+    """a, i, j, b, i2, j2 (first and last shingle in either text), similarity and class of the passages that texts share."""
     windows = texts.where("keys IS NOT NULL").select("t", F.explode(F.arrays_zip("keys", "c", "l", "r")).alias("k")).select("t", F.col("k.keys").alias("key"), "k.c", "k.l", "k.r")
     shingled = texts.where("x IS NOT NULL").select("t", "off", "x").dropDuplicates(["t"])
     pairs, _ = settle(star(windows), "pairs")
     state, _ = settle(verified(pairs, shingled), "verified")
-    rest, _ = settle(rest_pairs(texts, windows, shingled, state), "rest")
-    found = state.unionByName(verified(rest, shingled)).select("a", "b", F.explode("found").alias("f")).select("a", "f.i", "f.j", "b", "f.i2", "f.j2", "f.similarity")
     own = texts.select("t", F.explode("own").alias("f")).select(F.col("t").alias("a"), "f.i", "f.j", F.col("t").alias("b"), "f.i2", "f.j2", "f.similarity")
-    out, _ = settle(found.unionByName(own).dropDuplicates(["a", "i", "j", "b", "i2", "j2"]), "found")
-    return out
-
-
-def with_classes(found: DataFrame) -> DataFrame:
-    """found with class: passages of a text that overlap are one region, and linked regions one class."""
+    found = of_pairs(state).unionByName(own)
+    around = open_holders(windows, shingled, state)
+    none = F.expr("CAST(array() AS array<long>)")
+    holders, tried, most = around.withColumn("classes", none).withColumn("tried", none), None, 1
+    while True:
+        met, _ = settle(partners(holders, most), "met")
+        pairs, left = chosen(met, most)
+        pairs, _ = settle(pairs, "rest")
+        more, _ = settle(verified(pairs, shingled), "verified")
+        left, _ = settle(left, "left")
+        found, _ = settle(found.unionByName(of_pairs(more)).dropDuplicates(["a", "i", "j", "b", "i2", "j2"]), "found")
+        linked, regions = with_classes(found)
+        if left.isEmpty():
+            return linked
+        new = pairs.select(F.explode("ws").alias("c"), F.col("b").alias("t"), "a")
+        tried = new if tried is None else tried.unionByName(new)
+        holders = around.drop("todo").join(left.select("key").distinct(), "key", "left_semi").join(left.withColumn("todo", F.lit(True)), ["key", "t", "c"], "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
+        holders = holders.join(places_classes(holders, regions), ["t", "c"], "left").join(tried.groupBy("t", "c").agg(F.collect_set("a").alias("tried")), ["t", "c"], "left")
+        holders, _ = settle(holders.withColumn("classes", F.coalesce("classes", none)).withColumn("tried", F.coalesce("tried", none)), "holders")
+        most *= 4
+
+
+def with_classes(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """found with class: passages of a text that overlap are one region, and linked regions one class; and the regions (t, i, j,
+    class)."""
     sides = found.select(F.col("a").alias("t"), "i", "j").unionByName(found.select(F.col("b").alias("t"), F.col("i2").alias("i"), F.col("j2").alias("j")))
     sides = sides.groupBy("t", "i").agg(F.max("j").alias("j"))  # as many rows for a text as it has places, at most
     before = Window.partitionBy("t").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
     begins = sides.withColumn("begins", F.coalesce(F.col("i") > F.max("j").over(before), F.lit(True)))
     start = F.max(F.when(F.col("begins"), F.col("i"))).over(Window.partitionBy("t").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    regions, _ = settle(begins.select("t", "i", F.xxhash64("t", start).alias("region")), "regions")
-    one, two = regions.toDF("a", "i", "one"), regions.toDF("b", "i2", "two")
+    regions, _ = settle(begins.select("t", "i", "j", F.xxhash64("t", start).alias("region")), "regions")
+    one, two = regions.drop("j").toDF("a", "i", "one"), regions.drop("j").toDF("b", "i2", "two")
     linked, _ = settle(found.join(one, ["a", "i"]).join(two, ["b", "i2"]), "linked")
     classes = components(linked.select(F.col("one").alias("a"), F.col("two").alias("b")))
-    return linked.join(classes.toDF("one", "class"), "one", "left").withColumn("class", F.coalesce("class", "one")).drop("one", "two")
+    named = lambda df, region: df.join(classes.toDF(region, "class"), region, "left").withColumn("class", F.coalesce("class", region))
+    whole = named(regions.groupBy("t", "region").agg(F.min("i").alias("i"), F.max("j").alias("j")), "region")
+    return named(linked, "one").drop("one", "two"), whole.drop("region")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -555,7 +615,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     repeated, path = settle(counted, "keys")
     texts, _ = settle(repeated_texts(src, bit_map(repeated, repeated.count())), "texts")
     discard(docs.sparkSession, path)
-    found = with_classes(pair_passages(texts))
+    found = pair_passages(texts)
 
     ids = texts.select("doc_id", "t", "n_words").distinct()
     reps, _ = settle(ids.groupBy("t").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words")), "reps")

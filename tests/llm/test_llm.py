@@ -851,3 +851,20 @@ def test_passages_of_compilations_are_linked(spark):
     for x in found:
         classes[x.doc_id].add(x.class_id)
     assert [p for p in wanted if p not in direct and not classes[p[0]] & classes[p[1]]] == []
+
+
+def test_passages_of_places_with_better_partners_are_linked(spark):
+    """Two documents share a passage, and each shares a longer one with another: all four are in one class, though short texts lead the keys."""
+    g = random.Random(31)
+    words_ = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(5):
+        x, p, y = words_(20), words_(52), words_(20)
+        rows += [(1000 * k + n, [*words_(30), *w, *words_(30)]) for n, w in enumerate((x + p, x + p, p + y, p + y))]
+        rows += [(1000 * k + 10 + n, [*words_(30), *p[at : at + 30], *words_(30)]) for n, at in enumerate([0, 6, 12, 18, 22] * 40)]
+    found = passage_dedup.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(3)).collect()
+    classes = defaultdict(set)
+    for x in found:
+        classes[x.doc_id].add(x.class_id)
+    assert {x.doc_id % 1000 for x in found} == {0, 1, 2, 3}
+    assert [k for k in range(5) if not set.intersection(*(classes[1000 * k + n] for n in range(4)))] == []
