@@ -13,11 +13,10 @@ Steps:
 3. The rest: in buckets that still hold several components, members outside the leader's component meet the
    others in blocks. Pairs whose long signature rules out the threshold (4.5 standard deviations below) stop
    there; the others are verified on full sets and components are found again. Of the links between one
-   document and one component a single one comes out. A bucket of more than `large` members is dealt anew by SUB_BANDS
-   bands of SUB_ROWS further coordinates before that, so that unlike members of a hot bucket do not all meet; a pair
-   at the threshold is missed by all of these with probability 1e-5. With large=None no bucket is dealt anew: all
-   members outside the leader's component meet all others, which is exact and quadratic in them. No pair is dropped
-   by a cap.
+   document and one component a single one comes out. All members outside the leader's component meet all
+   others, whatever the size of the bucket; this is quadratic in them. No pair is dropped by a cap. With `large` given, a
+   bucket of more members is dealt anew by SUB_BANDS bands of SUB_ROWS further coordinates before that, so that unlike
+   members of a hot bucket do not all meet; a pair at the threshold is missed by all of these with probability 1e-5.
 
 Defined results: documents without words are their own component. A null id is not linked: component_id is null,
 kept is true. Rows that share an id are one document: all their texts are in one component. An empty table gives an empty result. Other columns are ignored, whatever their names.
@@ -44,8 +43,8 @@ BANDS, ROWS = 32, 4
 #: Coordinates of the long signature, one byte of each is kept; least estimate that goes on to verification.
 LONG, LEAST = 512, 0.72
 BLOCK = 512
-#: Members of a bucket that is dealt anew, and bands for it (of bytes of the long signature beyond the first bands).
-LARGE, SUB_BANDS, SUB_ROWS = 2048, 16, 3
+#: Bands for a bucket that is dealt anew (of bytes of the long signature beyond the first bands).
+SUB_BANDS, SUB_ROWS = 16, 3
 
 
 def circulant(s: np.ndarray, n: int) -> np.ndarray:
@@ -190,7 +189,7 @@ def dealt_anew(members: DataFrame, most: int) -> DataFrame:
     return counted.where(F.col("__n") <= most).drop("__n").unionByName(large.drop("__n", "__q"))
 
 
-def across(members: DataFrame, sets: DataFrame, large: int | None = LARGE) -> DataFrame:
+def across(members: DataFrame, sets: DataFrame, large: int | None = None) -> DataFrame:
     """Links between components that share a bucket. Signatures go first and mark the rows of a bucket that
     have a likely partner; full sets follow for those alone."""
     members, path = settle(members if large is None else dealt_anew(members, large), "rest")
@@ -202,9 +201,9 @@ def across(members: DataFrame, sets: DataFrame, large: int | None = LARGE) -> Da
     return out.groupBy("key", "i", "j").cogroup(every.groupBy("key", "i", "j")).applyInPandas(link, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int | None = LARGE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per input row. large: members of a bucket from which it is dealt
-    anew (a pair is lost with probability 1e-5), or None for all buckets whole."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", large: int | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per input row. large: None for all buckets whole, or members of a
+    bucket beyond which it is dealt anew (a pair is lost with probability 1e-5)."""
     spark, paths = docs.sparkSession, []
 
     def written(df: DataFrame, name: str) -> DataFrame:

@@ -868,3 +868,15 @@ def test_passages_of_places_with_better_partners_are_linked(spark):
         classes[x.doc_id].add(x.class_id)
     assert {x.doc_id % 1000 for x in found} == {0, 1, 2, 3}
     assert [k for k in range(5) if not set.intersection(*(classes[1000 * k + n] for n in range(4)))] == []
+
+
+def test_minhash_deals_no_bucket_anew_by_its_size(spark, monkeypatch):
+    """The query and the pipeline take the exact way, whatever the size of a bucket."""
+    def dealt(members, most):
+        raise AssertionError(most)
+
+    monkeypatch.setattr(minhash_dedup, "dealt_anew", dealt)
+    common = [f"c{k}" for k in range(140)]
+    rows = [(k, " ".join([*common, *(f"u{k}x{j}" for j in range(60))])) for k in range(300)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(x.kept for x in got)
