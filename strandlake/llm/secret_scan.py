@@ -10,13 +10,14 @@ random.
 
 A second p-value asks how likely ordinary text of that length, written as an identifier, would look so random: by its
 chi-squared, which grows with the length, and by its runs of one class of characters (lower, upper, digit, sign), so
-the test gains power with the length. What is ordinary is fitted to the data: every document gives a few of its words,
-joined as identifiers are (camel case, with _, lower or upper case) with a number behind; from all of these come, for
+the test gains power with the length. What is ordinary stands in PRIOR, found from identifiers of 160 English words: for
 each encoding, the excess of chi-squared, the rate of class changes and its spread, and the median and 99.5th percentile
-of both z-scores together, which fix the p-value. An encoding with less than LEAST_ORDINARY of them takes the values in
-PRIOR, found in the same way from identifiers of 160 English words. The p-values go through Benjamini-Hochberg at 1 %
-within strata of encoding and length, from a histogram of all candidates, with the number of ordinary strings estimated
-from the p-values over one half where these are fitted.
+of both z-scores together, which fix the p-value. The null is the same whatever the size of the input. With fit=True (the
+caller's choice) it is fitted to the data: every document gives a few of its words, joined as identifiers are (camel case, with
+_, lower or upper case) with a number behind, and the values of PRIOR count as PRIOR_STRINGS further strings, so no number
+of strings switches from one null to the other. The p-values go through Benjamini-Hochberg at 1 % within strata of
+encoding and length, from a histogram of all candidates; with fit, the number of ordinary strings is estimated from the
+p-values over one half, as far as these are fitted.
 
 Offsets are code points, ends exclusive. Everything is column expressions; the text is read once.
 
@@ -63,7 +64,7 @@ PRIOR = {
     "base64": (2.1, 0.29, 0.42, 0.0, 3.8),
     "base64url": (2.1, 0.29, 0.42, 0.0, 3.8),
 }
-LEAST_ORDINARY, LEAST_VARIANCE = 200, 0.15
+PRIOR_STRINGS, LEAST_VARIANCE = 200, 0.15
 REJECT, FDR = 0.001, 0.01
 #: Bins of -log10 p, twenty to a decade; the last takes all smaller p.
 BINS = 400
@@ -177,19 +178,22 @@ def null_map(values: dict[str, tuple[float, ...]]) -> Column:
     return F.create_map(*[F.lit(v) if isinstance(v, str) else F.struct(*(F.lit(float(x)).alias(f) for x, f in zip(v, FIELDS, strict=True))) for e in ENCODINGS for v in (e, values[e])])
 
 
-def fitted_null(tokens: DataFrame) -> dict[str, tuple[float, ...]]:
-    """The values of PRIOR, fitted to tested ordinary strings (column o) by two aggregations: a row for each encoding."""
+def fitted_null(tokens: DataFrame) -> tuple[dict[str, tuple[float, ...]], dict[str, float]]:
+    """The values of PRIOR, fitted to tested ordinary strings (column o) by two aggregations, a row for each encoding; and the weight
+    that the strings have beside the prior."""
     o = tokens.where("o IS NOT NULL AND o.n >= 20").select("o.*")
     steps = F.col("n") - 1
     first = o.groupBy("encoding").agg(F.count("*").alias("n"), F.avg((F.col("chi") - F.col("df")) / F.col("n")).alias("excess"), (F.sum("turns") / F.sum(steps)).alias("rate"), F.sum(F.col("turns") * F.col("turns") / steps).alias("a"), F.sum("turns").alias("b"), F.sum(steps).alias("c"))
-    values = dict(PRIOR)
-    for r in first.where(F.col("n") >= LEAST_ORDINARY).collect():
+    values, weights = dict(PRIOR), dict.fromkeys(PRIOR, 0.0)
+    mixed = lambda w, own, prior: tuple(w * x + (1 - w) * y for x, y in zip(own, prior, strict=True))
+    for r in first.collect():
+        w = weights[r.encoding] = r.n / (r.n + PRIOR_STRINGS)
         variance = (r.a - 2 * r.rate * r.b + r.rate**2 * r.c) / r.n  # mean of (turns - steps * rate) ** 2 / steps
-        values[r.encoding] = (r.excess, r.rate, max(variance, LEAST_VARIANCE), 0.0, 3.8)
+        values[r.encoding] = (*mixed(w, (r.excess, r.rate, max(variance, LEAST_VARIANCE)), PRIOR[r.encoding][:3]), *PRIOR[r.encoding][3:])
     z = z_scores(F.struct("n", "df", "chi", "turns"), F.element_at(null_map(values), F.col("encoding")))
-    for r in o.select("encoding", z.alias("z")).groupBy("encoding").agg(F.count("*").alias("n"), F.percentile_approx("z", F.array(F.lit(0.5), F.lit(0.995)), F.lit(10_000)).alias("q")).where(F.col("n") >= LEAST_ORDINARY).collect():
-        values[r.encoding] = (*values[r.encoding][:3], r.q[0], max(r.q[1], r.q[0] + 1.0))
-    return values
+    for r in o.select("encoding", z.alias("z")).groupBy("encoding").agg(F.percentile_approx("z", F.array(F.lit(0.5), F.lit(0.995)), F.lit(10_000)).alias("q")).collect():
+        values[r.encoding] = (*values[r.encoding][:3], *mixed(weights[r.encoding], (r.q[0], max(r.q[1], r.q[0] + 1.0)), PRIOR[r.encoding][3:]))
+    return values, weights
 
 
 def parts(s: Column) -> Column:
@@ -207,8 +211,8 @@ def p_bin(p: Column) -> Column:
     return F.least(F.lit(BINS), F.floor(-20 * F.log10(F.greatest(p, F.lit(1e-30)))).cast("int"))
 
 
-def thresholds(found: DataFrame, fitted: list[str]) -> Column:
-    """Map from stratum to the least bin that Benjamini-Hochberg lets through; fitted: encodings whose p-values are
+def thresholds(found: DataFrame, weights: dict[str, float]) -> Column:
+    """Map from stratum to the least bin that Benjamini-Hochberg lets through; weights: how far the p-values of an encoding are
     fitted, so that the number of ordinary strings can be told from them.
 
     The histogram has one row for each stratum and bin: 6 encodings, 31 lengths and 401 bins at most,
@@ -219,8 +223,9 @@ def thresholds(found: DataFrame, fitted: list[str]) -> Column:
     whole_stratum = Window.partitionBy("stratum")
     passing = histogram.withColumn("k", F.sum("n").over(up)).withColumn("m", F.sum("n").over(whole_stratum))
     # of m strings so many are ordinary, as half of these have p over 10 ** -0.3, about 0.5
-    ordinary_ones = F.when(F.substring_index("stratum", ":", 1).isin(*fitted, ""), F.least("m", 2 * (F.sum(F.when(F.col("bin") <= 5, F.col("n")).otherwise(0)).over(whole_stratum) + 1)))
-    passing = passing.withColumn("m", F.coalesce(ordinary_ones, "m"))
+    ordinary_ones = F.least("m", 2 * (F.sum(F.when(F.col("bin") <= 5, F.col("n")).otherwise(0)).over(whole_stratum) + 1))
+    weight = F.element_at(F.create_map(*[F.lit(v) for e in weights for v in (e, weights[e])]), F.substring_index("stratum", ":", 1))
+    passing = passing.withColumn("m", weight * ordinary_ones + (1 - weight) * F.col("m"))
     # every p of a bin is at most 10 ** (-bin / 20)
     cut = passing.where(F.pow(F.lit(10.0), -F.col("bin") / 20) * F.col("m") <= FDR * F.col("k")).groupBy("stratum").agg(F.min("bin").alias("bin"))
     rows = cut.collect()
@@ -231,14 +236,14 @@ def of_kind(kind: int):
     return lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and found: array of (start, end, kind as index into KINDS), by start, then kind."""
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit: bool = False) -> DataFrame:
+    """doc_id and found: array of (start, end, kind as index into KINDS), by start, then kind. fit: the null is fitted to the data."""
     text = whole(text_col)
     base = [F.filter(spans(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= 12), spans(text, ACCESS), spans(text, HEX)]
     kept = [F.transform(s, of_kind(k)) for k, s in enumerate(base)]
     judged = F.transform(F.flatten(F.transform(spans(text, CANDIDATE), parts)), lambda s: let(tested(s["value"]), lambda t: F.struct(s["start"].alias("start"), s["end"].alias("end"), *(t[c].alias(c) for c in ("encoding", "n", "df", "chi", "turns", "p_random")))))
-    raw, path = settle(docs.select(F.col(id_col).alias("doc_id"), F.concat(*kept).alias("base"), F.filter(judged, lambda c: c["encoding"].isNotNull()).alias("candidates"), let(ordinary(text), tested).alias("o")), "spans")
-    values = fitted_null(raw)
+    raw, path = settle(docs.select(F.col(id_col).alias("doc_id"), F.concat(*kept).alias("base"), F.filter(judged, lambda c: c["encoding"].isNotNull()).alias("candidates"), *([let(ordinary(text), tested).alias("o")] if fit else [])), "spans")
+    values, weights = fitted_null(raw) if fit else (PRIOR, dict.fromkeys(PRIOR, 0.0))
     null = null_map(values)
 
     def with_p(c: Column) -> Column:
@@ -249,7 +254,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     src, _ = settle(raw.select("doc_id", "base", F.transform("candidates", with_p).alias("candidates")), "judged")
     discard(docs.sparkSession, path)
-    cut = thresholds(src, [e for e in ENCODINGS if values[e] != PRIOR[e]])
+    cut = thresholds(src, weights)
     good = F.filter("candidates", lambda c: (c["p_random"] >= REJECT) & (p_bin(c["p_text"]) >= F.element_at(cut, stratum(c))))
     added = F.transform(good, of_kind(3))
     return src.select("doc_id", F.sort_array("base").alias("base"), F.sort_array(F.concat("base", added)).alias("found"))

@@ -880,3 +880,25 @@ def test_minhash_deals_no_bucket_anew_by_its_size(spark, monkeypatch):
     rows = [(k, " ".join([*common, *(f"u{k}x{j}" for j in range(60))])) for k in range(300)]
     got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(x.kept for x in got)
+
+
+def test_null_has_no_switch(spark):
+    """One more ordinary string moves the null by little, be they few or many, and the more there are the more they count."""
+    def fitted(n):
+        o = spark.range(n).selectExpr("named_struct('encoding', 'base64', 'n', 30, 'df', 63D, 'chi', 63D + 30 * 1.5, 'turns', 4D + id % 3) o")
+        return secret_scan.fitted_null(o)
+
+    prior, some, more, many = ((secret_scan.PRIOR["base64"], 0.0) if n == 0 else tuple(x["base64"] for x in fitted(n)) for n in (0, 199, 201, 20_000))
+    assert all(abs(x - y) < 0.02 for x, y in zip(some[0], more[0], strict=True))
+    assert prior[0][0] > some[0][0] > more[0][0] > many[0][0] > 1.5
+    assert 0 < some[1] < more[1] < many[1] < 1
+
+
+def test_spans_of_a_document_do_not_depend_on_prose_beside_it(spark):
+    g = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(k, "key " + "".join(g.choice(letters) for _ in range(22))) for k in range(200)]
+    rows += [(1000 + k, "key " + identifier(g)) for k in range(400)]
+    prose_ = [(5000 + k, " ".join(g.choice(ENGLISH) for _ in range(60))) for k in range(3000)]
+    few, many = (secret_scan.scan(spark.createDataFrame(x, "doc_id long, text string")).where("doc_id < 5000").select("doc_id", secret_scan.listed("found")).collect() for x in (rows, rows + prose_))
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many))
