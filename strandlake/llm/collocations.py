@@ -39,8 +39,8 @@ from strandlake.llm.text import table
 from strandlake.session import discard, settle, spread
 
 LONGEST, LEAST, MOST_ROWS = 5, 100, 2000
-#: Bytes of a run of texts or block of a long one; fingerprints that a worker adds up before it sends them.
-RUN, HELD = 1 << 21, 1 << 20
+#: Bytes of a run of texts or block of a long one; fingerprints that a worker adds up before it sends them, and rows of a batch.
+RUN, HELD, SENT = 1 << 19, 1 << 20, 1 << 16
 #: Phrases that a worker holds before it sends them with their counts (about 100 bytes each).
 MOST_PHRASES = 1 << 20
 _BREAK = np.zeros(256, bool)
@@ -137,25 +137,26 @@ class Tally:
     def __init__(self, part: int):
         self.part, self.waiting, self.held = part, [], 0
 
-    def add(self, keys: np.ndarray, check: np.ndarray) -> pa.RecordBatch | None:
+    def add(self, keys: np.ndarray, check: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.waiting.append(grouped(keys, np.ones(len(keys), np.int64), check, check))
         self.held += len(self.waiting[-1][0])
         if self.held > HELD:
             self.merge()
-            if self.held > HELD // 2:
-                return self.rows()
-        return None
+            if self.held > HELD // 4 * 3:
+                yield from self.rows()
 
     def merge(self) -> None:
         self.waiting = [grouped(*(np.concatenate(x) for x in zip(*self.waiting, strict=True)))]
         self.held = len(self.waiting[0][0])
 
-    def rows(self) -> pa.RecordBatch:
+    def rows(self) -> Iterator[pa.RecordBatch]:
         self.merge()
         keys, n, low, high = self.waiting[0]
         self.waiting, self.held = [], 0
-        columns = [pa.array(keys.view(np.int64)), pa.array(n), pa.array(low.astype("i4")), pa.array(high.astype("i4")), pa.array(np.full(len(keys), self.part, "i4"))]
-        return pa.RecordBatch.from_arrays(columns, names=["key", "n", "low", "high", "part"])
+        for at in range(0, len(keys), SENT):
+            k, c, lo, hi = (x[at : at + SENT] for x in (keys, n, low, high))
+            columns = [pa.array(k.view(np.int64)), pa.array(c), pa.array(lo.astype("i4")), pa.array(hi.astype("i4")), pa.array(np.full(len(k), self.part, "i4"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "low", "high", "part"])
 
 
 def grouped(keys: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -175,10 +176,10 @@ def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None
             for _, p in runs(batch, bits):
                 for n in lengths:
                     first = p.whole(n) if known is None else p.frequent(n, known.value, lengths[0] - 1)
-                    if len(first) and (full := tally.add(p.of(first, n), p.check(first, n))):
-                        yield full
+                    if len(first):
+                        yield from tally.add(p.of(first, n), p.check(first, n))
         if tally.held:
-            yield tally.rows()
+            yield from tally.rows()
 
     sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("part").alias("part"))
     return sums.where(F.col("n") >= least)

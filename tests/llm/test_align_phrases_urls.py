@@ -295,3 +295,23 @@ def test_many_rules(spark):
     counts = rows.select(F.explode(url_filter.tokens(F.substring("url", 8, 100))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     assert url_filter.filed(rules, counts).where("token = 'example' OR token = 'com'").count() == 0
 
+
+
+# --- memory of the collocations -------------------------------------------------------------------
+
+
+def test_counts_are_sent_in_small_batches(monkeypatch):
+    monkeypatch.setattr(collocations, "HELD", 4000)
+    monkeypatch.setattr(collocations, "SENT", 300)
+    g, tally, sent, sums = np.random.default_rng(4), collocations.Tally(3), [], Counter()
+    for _ in range(40):
+        keys = g.integers(0, 9000, 700).astype(np.uint64)
+        sums.update(keys.tolist())
+        sent += tally.add(keys, np.zeros(700, np.int32))
+    sent += tally.rows()
+    assert max(x.num_rows for x in sent) <= 300
+    got = Counter()
+    for x in sent:
+        for k, n in zip(x.column("key").to_pylist(), x.column("n").to_pylist(), strict=True):
+            got[k] += n
+    assert got == sums
