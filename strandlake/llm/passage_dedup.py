@@ -11,8 +11,8 @@ a place where they part costs four shingles or more on each side, so c common sh
 (one up to 63).
 
 Steps:
-1. Equal word sequences are one text. Keys that two texts hold, or one text at places apart, are counted (map-side
-   combine; no list of holders).
+1. Equal word sequences are one text. Keys that two texts hold, or one text at places apart, are found by the least and
+   the greatest holder of each (combined before they travel; no list of holders).
 2. The texts are read again; a bit map lets through the windows whose keys are repeated. It takes KEY_BITS bits a
    key; with more than MOST_KEYS keys there is none, and all windows go on (more rows, the same result).
 3. Star: each holder of a key meets the first holder, the leader. The intervals are joined: the windows of both are
@@ -21,7 +21,9 @@ Steps:
 4. The rest: places where the leader of their key has no passage near them. Each meets all holders of its key, in blocks; the
    shingles around the places are laid over each other, and the first holder that agrees is verified. Then classes are
    found, and places with further holders that agree meet again those that have no class in common with them, until
-   every holder that agrees is in a class of the place or has been verified with it. No partner is left out.
+   every holder that agrees is in a class of the place or has been verified with it. No partner is left out. Holders of
+   poor texts (a few shingles again and again) may agree by place and share too few distinct shingles for any passage
+   there: they are verified at once if they meet at several places, as longer stretches may do, and need not be else.
 5. Passages that overlap in a text are one region; linked regions are one class.
 
 Result: a row for each passage found, from either side, with its class; a row for each further copy of a whole text.
@@ -37,6 +39,7 @@ told apart by 64 bits.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,24 +49,40 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.components import components
+from strandlake import session
+from strandlake.llm.components import contracted_components
 from strandlake.llm.shingles import U, batches, mix64, shingles, words
 from strandlake.llm.text import table
-from strandlake.session import discard, settle, spread
+from strandlake.session import discard, spread
 
 WIDTH, PASSAGE, SIMILARITY = 5, 50, 0.8
 SPAN = PASSAGE - WIDTH + 1  # shingles of the shortest passage
 #: Shingles of the shortest window, and min-hashes that it must share.
 RUN, HASHES = 17, 3
-#: Bits of the map for each repeated key (a wrong key in ten thousand gets through), and most keys that have a map.
+#: Bits of the map for each repeated key (a wrong key in a thousand gets through), and most keys that have a map.
 KEY_BITS, MOST_KEYS = 20, 1 << 23
 PROBES = 7
+#: Parts that keys are dealt to (a power of two), and windows of a task that are combined before they travel.
+PARTS, MOST_HELD = 1 << 12, 1 << 20
 #: Holders of a key in a block.
-BLOCK = 512
+BLOCK = 2048
+#: No classes, no texts.
+NONE = "CAST(array() AS array<long>)"
 _PLACE = U((1 << 28) - 1)
 _ODD = np.random.default_rng(20240613).integers(1, 2**63, HASHES, dtype=U) | U(1)
 
 
+def settle(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As session.settle(); what was shuffled for the table is removed once it is written, not when the driver's memory is cleared."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return session.settle(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def ranked(x: np.ndarray, q: int) -> np.ndarray:
     """Hash q of every shingle with its place in the low bits: no two are equal."""
     return ((x * _ODD[q]) & ~_PLACE) | np.arange(len(x), dtype=U)
@@ -114,7 +133,8 @@ class Batch:
         self.w, self.first = words(flat, offsets)
         n = np.diff(self.first)
         self.long = np.flatnonzero(n >= PASSAGE)
-        self.text = self.key = self.c = self.l = self.r = np.empty(0, np.int64)
+        self.text = self.key = self.c = np.empty(0, np.int64)
+        self._minima: list[tuple[np.ndarray, np.ndarray]] = []
         if not len(self.long):
             self.x = np.empty(0, U)
             return
@@ -129,16 +149,31 @@ class Batch:
             turn |= at[1:] != at[:-1]
         new = np.flatnonzero(np.concatenate([[True], turn]))
         self.text = text[new]
+        key = U(HASHES)
+        for at in least:
+            key = mix64(self.x[at[new]] * U(0x9FB21C651E98DF25) + mix64(key + np.zeros(len(new), U)))
+        self.key, self.c = key, least[0][new] - self.first[self.text]
+        self._minima = [(p, at[new]) for p, at in zip(packed, least, strict=True)]
+
+    @functools.cached_property
+    def intervals(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last shingle of every window: the compact windows of its minima, laid over each other."""
         begin, end = self.first[self.text], self.first[self.text + 1] - WIDTH
-        key, lo, hi = U(HASHES), begin, end
-        for p, at in zip(packed, least, strict=True):
-            places = np.unique(at)
-            left, right = tree_windows(p, places)
-            spot = np.searchsorted(places, at[new])
+        lo, hi = begin, end
+        for p, at in self._minima:
+            new = np.concatenate([[True], at[1:] != at[:-1]])  # minima of windows in order stand in order
+            left, right = tree_windows(p, at[new])
+            spot = np.cumsum(new) - 1
             lo, hi = np.maximum(lo, left[spot]), np.minimum(hi, right[spot])
-            key = mix64(self.x[at[new]] * U(0x9FB21C651E98DF25) + mix64(key + np.zeros(len(new), U)))
-        self.key = key
-        self.c, self.l, self.r = least[0][new] - begin, lo - begin, hi - begin
+        return lo - begin, hi - begin
+
+    @property
+    def l(self) -> np.ndarray:  # noqa: E743
+        return self.intervals[0]
+
+    @property
+    def r(self) -> np.ndarray:
+        return self.intervals[1]
 
     def ids(self) -> np.ndarray:
         """64 bits that tell the word sequences of the long texts apart."""
@@ -146,7 +181,12 @@ class Batch:
 
     def apart(self) -> tuple[np.ndarray, np.ndarray]:
         """Windows whose key the same text holds at an earlier place, a passage or more before, and the first such."""
-        order = np.lexsort((self.c, self.key, self.text))
+        both = self.key.view(U) + self.text.astype(U) * U(0x9E3779B97F4A7C15)
+        ordered = np.sort(both)
+        some = np.flatnonzero(np.isin(both, ordered[1:][ordered[1:] == ordered[:-1]]))
+        if not len(some):
+            return some, some
+        order = some[np.lexsort((self.c[some], self.key[some], self.text[some]))]
         t, k = self.text[order], self.key[order]
         same = (t[1:] == t[:-1]) & (k[1:] == k[:-1])
         group = np.concatenate([[0], np.cumsum(~same)])
@@ -155,10 +195,34 @@ class Batch:
         return order[far], head[far]
 
 
-def window_keys(docs: DataFrame) -> DataFrame:
-    """key and holder (32 bits) for every window; a key that one text holds at places apart has two holders."""
+def combined(keys: np.ndarray, holders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the least and the greatest holder of each."""
+    order = np.argsort(keys)
+    keys, holders = keys[order], holders[order]
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[begins], np.minimum.reduceat(holders, begins), np.maximum.reduceat(holders, begins)
+
+
+def repeated_keys(docs: DataFrame) -> DataFrame:
+    """Keys with two holders (32 bits of the text); a key that one text holds at places apart has two.
+
+    Keys travel in runs of one of PARTS parts by their first bits, each with its least and greatest holder of a task's
+    MOST_HELD windows, so that a frequent key does not travel with every text."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def sent() -> pa.RecordBatch:
+            keys, lo, hi = combined(*map(np.concatenate, zip(*held, strict=True)))
+            n = 1 + (hi > lo)
+            keys, holders = np.repeat(keys, n), np.repeat(lo, n)
+            holders[np.cumsum(n) - 1] = hi
+            part = (keys >> U(64 - PARTS.bit_length() + 1)).astype(np.int32)
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            ends = np.concatenate([begins, [len(part)]])
+            runs = [pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer((ends * v.itemsize).astype(np.int32).tobytes()), pa.py_buffer(v.tobytes())]) for v in (keys, holders)]
+            return pa.RecordBatch.from_arrays([pa.array(part[begins]), *runs], names=["part", "keys", "holders"])
+
         for batch in arrow:
             for _, flat, offsets in batches(batch, 1):
                 b = Batch(flat, offsets)
@@ -167,42 +231,67 @@ def window_keys(docs: DataFrame) -> DataFrame:
                     holder[b.long] = b.ids()
                     h = (holder[b.text] >> 32).astype(np.int32)
                     again, _ = b.apart()
-                    keys, holders = np.concatenate([b.key, b.key[again]]).view(np.int64), np.concatenate([h, h[again] ^ 1])
-                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(holders)], names=["key", "holder"])
+                    held.append((np.concatenate([b.key, b.key[again]]), np.concatenate([h, h[again] ^ 1])))
+                    if sum(len(keys) for keys, _ in held) >= MOST_HELD:
+                        yield sent()
+                        held.clear()
+        if held:
+            yield sent()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, holder int")
+    def met(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[bytes, bytes]] = []
+        last = None
 
+        def several() -> pa.RecordBatch:
+            keys, lo, hi = combined(np.frombuffer(b"".join(k for k, _ in held), U), np.frombuffer(b"".join(h for _, h in held), np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(keys[lo < hi].view(np.int64))], names=["key"])
 
-def probes(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+        for batch in arrow:
+            for part, *row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if held and part != last:
+                    yield several()
+                    held.clear()
+                last = part
+                held.append(tuple(row))
+        if held:
+            yield several()
+
+    runs = docs.select("doc_id", "text").mapInArrow(run, "part int, keys binary, holders binary")
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(met, "key long")
+
+
+def spots(keys: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of the bit map that has all bits of a key, and these."""
+    place, bits = mix64(keys) & U(words - 1), np.zeros(len(keys), U)
+    pick = mix64(keys + U(1))
     for k in range(PROBES):
-        yield mix64(keys + U(k)) & U(bits - 1)
+        bits |= U(1) << ((pick >> U(6 * k)) & U(63))
+    return place, bits
 
 
 def bit_map(keys: DataFrame, n: int) -> np.ndarray | None:
     """Bit map of n keys, None where they are too many: KEY_BITS * MOST_KEYS bits reach the driver at most."""
     if n > MOST_KEYS:
         return None
-    bits = 1 << max(20, (n * KEY_BITS - 1).bit_length())
+    size = (1 << max(20, (n * KEY_BITS - 1).bit_length())) // 64
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            p = np.concatenate([*probes(f["key"].to_numpy().view(U), bits)])
-            yield pd.DataFrame({"word": (p >> U(6)).astype(np.int64), "bit": (U(1) << (p & U(63))).view(np.int64)})
+            word, bits = spots(f["key"].to_numpy().view(U), size)
+            yield pd.DataFrame({"word": word.astype(np.int64), "bit": bits.view(np.int64)})
 
     rows = keys.select("key").mapInPandas(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(bits // 64, U)
+    out = np.zeros(size, U)
     out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(U)
     return out
 
 
 def known(keys: np.ndarray, held: np.ndarray | None) -> np.ndarray:
     """Indexes of the keys that the bit map lets through."""
-    at = np.arange(len(keys))
-    if held is not None:
-        for k in range(PROBES):
-            p = mix64(keys[at] + U(k)) & U(len(held) * 64 - 1)
-            at = at[((held[p >> U(6)] >> (p & U(63))) & U(1)).astype(bool)]
-    return at
+    if held is None:
+        return np.arange(len(keys))
+    word, bits = spots(keys, len(held))
+    return np.flatnonzero(held[word] & bits == bits)
 
 
 TEXTS = "doc_id long, t long, n_words int, keys array<long>, c array<int>, l array<int>, r array<int>, off int, x array<int>, own array<struct<i:int,j:int,i2:int,j2:int,similarity:double>>"
@@ -308,6 +397,33 @@ def similarity(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(s) + len(t) - both)
 
 
+def variety(x: np.ndarray) -> int:
+    """The least number of distinct values in SPAN places in a row (SPAN or more places)."""
+    order = np.argsort(x, kind="stable")
+    same = x[order[1:]] == x[order[:-1]]
+    here, before = order[1:][same], order[:-1][same]
+    near = here - before < SPAN
+    n = len(x) - SPAN + 1
+    again = np.bincount(np.maximum(here[near] - SPAN + 1, 0), minlength=n + 1) - np.bincount(np.minimum(before[near] + 1, n), minlength=n + 1)
+    return SPAN - int(np.cumsum(again)[:n].max())
+
+
+def row_variety(m: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """variety() of every row, where places that are not inside differ from all; more than any set has for rows with fewer than
+    SPAN places inside."""
+    n, width = m.shape
+    flat = np.where(inside, m.astype(U) | (np.arange(n, dtype=U)[:, None] << U(32)), (U(1) << U(63)) | np.arange(n * width, dtype=U).reshape(n, width)).ravel()
+    order = np.argsort(flat, kind="stable")
+    same = flat[order[1:]] == flat[order[:-1]]
+    here, before = order[1:][same], order[:-1][same]
+    near = here - before < SPAN
+    row, here, before, windows = here[near] // width, here[near] % width, before[near] % width, width - SPAN + 1
+    cell = row * (windows + 1)
+    again = np.bincount(cell + np.maximum(here - SPAN + 1, 0), minlength=n * (windows + 1)) - np.bincount(cell + np.minimum(before + 1, windows), minlength=n * (windows + 1))
+    least = SPAN - np.cumsum(again.reshape(n, -1), axis=1)[:, :windows].max(axis=1)
+    return np.where(inside.sum(axis=1) < SPAN, 4 * SPAN, least)
+
+
 def passages(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """Stretches of x and y (first and last shingle of each) whose sets are similar, and how similar.
 
@@ -321,6 +437,9 @@ def passages(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, flo
     hit = ordered[spot] == x
     if np.count_nonzero(hit) < LOOSE:
         return []
+    both = len(np.unique(x[hit]))
+    if both < SIMILARITY * SPAN and both < SIMILARITY * max(variety(x), variety(y)) - 1e-9:
+        return []  # either stretch of a passage has so many distinct shingles at least, and must share 0.8 of them
     out: list[tuple[int, int, int, int, float]] = []
     taken = np.zeros(len(x), bool)
     at = np.flatnonzero(hit)
@@ -349,7 +468,7 @@ def passages(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, flo
         short = max(0, SPAN - (hi - lo + 1))  # a stretch of y cut back below the least length
         begin, end = max(0, lo - short), min(len(y), hi + short + 1)
         n, own, other = hi - lo + 1 + short, set(x[first : last + 1].tolist()), y[begin:end].tolist()
-        if end - begin < n:
+        if end - begin < n or len(own.intersection(other)) < SIMILARITY * len(own) - 1e-9:
             return None
         counts: dict[int, int] = {}
         best, k, both = 0.0, 0, 0
@@ -453,11 +572,12 @@ def still_open(state: DataFrame) -> DataFrame:
 LENGTHS = {n: int(np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-9)) for n in range(SPAN, 2 * SPAN + 1, SPAN // 4)}
 
 
-def agreeing(row: np.ndarray, every: np.ndarray) -> np.ndarray:
-    """Rows of every (shingles around a place) with a stretch of LENGTHS that agrees enough with row. Shifts by one word after an edit count."""
-    eq = every == row
-    eq[:, 1:] |= every[:, 1:] == row[:-1]
-    eq[:, :-1] |= every[:, :-1] == row[1:]
+def agreeing(rows: np.ndarray, every: np.ndarray) -> np.ndarray:
+    """Rows of every (shingles around a place) with a stretch of LENGTHS that agrees enough with the same of rows, or with its only
+    one. Shifts by one word after an edit count."""
+    eq = every == rows
+    eq[:, 1:] |= every[:, 1:] == rows[..., :-1]
+    eq[:, :-1] |= every[:, :-1] == rows[..., 1:]
     near = np.flatnonzero(eq.sum(axis=1, dtype=np.int16) >= NEED)
     if not len(near):
         return near
@@ -466,89 +586,196 @@ def agreeing(row: np.ndarray, every: np.ndarray) -> np.ndarray:
     return near[np.max([(sums[:, n:] - sums[:, :-n]).max(axis=1) - need for n, need in LENGTHS.items()], axis=0) >= 0]
 
 
-def open_holders(windows: DataFrame, shingled: DataFrame, state: DataFrame) -> DataFrame:
-    """key, t, c, todo, pad, x: all holders of the keys that have a place which is still open (todo), with the shingles around."""
+def poor(m: np.ndarray, inside: np.ndarray, least: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether rows one and two of m, which agree, share too few distinct shingles for any passage inside both, as passages()
+    has it. least: variety of the rows, 0 where it is not known yet."""
+    rows = np.unique(np.concatenate([one, two]))
+    rows = rows[least[rows] == 0]
+    if len(rows):
+        least[rows] = row_variety(m[rows], inside[rows])
+    most = np.maximum(least[one], least[two])
+    out = most > SPAN
+    # a stretch of LENGTHS agrees but for an eighth or less, which is a fifth of its distinct shingles in uniform texts alone
+    some = np.flatnonzero(most <= SPAN * 3 // 5)
+    for at in range(0, len(some), 4096):  # distinct shingles of either, sorted together: what comes twice is in both
+        k = some[at : at + 4096]
+        sides = []
+        for side, r in enumerate((one[k], two[k])):
+            values = np.where(inside[r], m[r].astype(U), U((1 << 40) + (side << 20)) + np.arange(m.shape[1], dtype=U))
+            values.sort(axis=1)
+            values[:, 1:][values[:, 1:] == values[:, :-1]] = U(1 << 50)
+            sides.append(values)
+        both = np.concatenate(sides, axis=1)
+        both.sort(axis=1)
+        out[k] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < U(1 << 32))).sum(axis=1) < SIMILARITY * most[k] - 1e-9
+    return out
+
+
+def live(holders: DataFrame) -> DataFrame:
+    """holders of the keys that have a place with todo and two texts, with the blocks of all (n_all) and of those with todo (n_out)."""
+    counts = holders.groupBy("key").agg(F.count("*").alias("n"), F.count_if("todo").alias("out")).where("n > 1 AND out > 0")
+    blocks = [F.ceil(F.col(n) / BLOCK).cast("int").alias(name) for n, name in (("n", "n_all"), ("out", "n_out"))]
+    return holders.join(counts.select("key", *blocks), "key")
+
+
+def open_holders(windows: DataFrame, shingled: DataFrame, state: DataFrame) -> tuple[DataFrame, str]:
+    """key, t, c, todo, pad, x, n_all, n_out: all holders of the keys that have a place which is still open (todo), with the shingles
+    around."""
     places, _ = settle(still_open(state).withColumn("todo", F.lit(True)), "open")
     holders = windows.select("key", "t", "c")
     keys = holders.join(places, ["t", "c"], "left_semi").select("key").distinct()
     rows = holders.join(keys, "key", "left_semi").dropDuplicates(["key", "t"]).join(places, ["t", "c"], "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
+    rows, _ = settle(rows, "holders")
     begin = F.greatest(F.col("c") - SPAN - F.col("off"), F.lit(0))
-    around = rows.join(shingled, "t").withColumn("pad", begin + F.col("off") - F.col("c") + SPAN).withColumn("x", F.slice("x", begin + 1, 2 * SPAN + 1 - F.col("pad")))
-    around, _ = settle(around.select("key", "t", "c", "todo", "pad", "x"), "around")
-    return around
+    around = live(rows).join(shingled, "t").withColumn("pad", begin + F.col("off") - F.col("c") + SPAN).withColumn("x", F.slice("x", begin + 1, 2 * SPAN + 1 - F.col("pad")))
+    return settle(around.select("key", "t", "c", "todo", "pad", "x", "n_all", "n_out"), "around")
+
+
+def further(around: DataFrame, left: DataFrame, regions: DataFrame, tried: DataFrame) -> DataFrame:
+    """As open_holders(), with classes and tried, for the places left whose key has a holder that shares none of their classes."""
+    holders = around.select("key", "t", "c").join(left.select("key").distinct(), "key", "left_semi")
+    holders = holders.join(left.withColumn("todo", F.lit(True)), ["key", "t", "c"], "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
+    holders, _ = settle(holders, "left")
+    holders = holders.join(places_classes(holders, regions), ["t", "c"], "left").withColumn("classes", F.expr(f"coalesce(classes, {NONE})"))
+    n = holders.groupBy("key").agg(F.count("*").alias("n"))
+    common = holders.select("key", F.explode("classes").alias("class")).groupBy("key", "class").agg(F.count("*").alias("with")).join(n, "key").where("with = n")
+    holders = holders.join(common.groupBy("key").agg(F.collect_set("class").alias("common")), "key", "left")
+    holders = holders.withColumn("todo", F.expr("todo AND NOT coalesce(arrays_overlap(classes, common), false)")).drop("common")
+    holders, _ = settle(live(holders), "holders")
+    told = tried.join(holders.select("t", "c").distinct(), ["t", "c"], "left_semi").groupBy("t", "c").agg(F.collect_set("a").alias("tried"))
+    holders = holders.join(told, ["t", "c"], "left").withColumn("tried", F.expr(f"coalesce(tried, {NONE})"))
+    return holders.join(around.select("key", "t", "pad", "x"), ["key", "t"])
 
 
 HOLDER = ["t", "c", "pad", "x", "classes", "tried"]
+#: From so many holders on, a place is laid over all others of its block at once; those of smaller blocks are paired up.
+MANY = 64
+MET = "key long, b long, cb int, n long, a long, ca int, poor boolean"
 
 
-def partners(around: DataFrame, most: int) -> DataFrame:
-    """key, b, cb, n, first: of every place with todo, how many holders of its key agree with it, and the first `most` of them in
-    the order of texts (a, ca), among those that share none of its classes and have not been tried with it. Holders meet in blocks."""
-    counts = around.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_all"), F.ceil(F.count_if("todo") / BLOCK).cast("int").alias("n_out"), F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo < hi AND n_out > 0")
-    met = around.join(counts.drop("lo", "hi"), "key")
+def partners(met: DataFrame, most: int) -> DataFrame:
+    """key, b, cb, n, a, ca, poor: of every place with todo the first `most` holders of its key that agree with it, in the order of
+    texts (a, ca), among those that share none of its classes and have not been tried with it; n on the first row, how many
+    there are. Apart from these, at first (`most` 1), those that agree and are poor: at these places alone they cannot
+    have a passage. Holders meet in blocks."""
     block = lambda n: F.pmod(F.xxhash64("t"), F.col(n)).cast("int")
     out = met.where("todo").withColumn("i", block("n_out")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1))).withColumn("side", F.lit(0))
     every = met.withColumn("j", block("n_all")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_out") - 1))).withColumn("side", F.lit(1))
     group = ["key", "i", "j"]
     both = out.select(*group, "side", *HOLDER).unionByName(every.select(*group, "side", *HOLDER)).repartition(*group).sortWithinPartitions(*group, "side", "t")
-    firsts = pa.list_(pa.struct([("a", pa.int64()), ("ca", pa.int32())]))
 
-    def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def met() -> pa.RecordBatch:
-            n = sum(r[1] == 0 for r in held)
-            m = np.zeros((len(held), 2 * SPAN + 1), np.uint32)
-            m[n:] = 1  # what lies outside a text agrees with nothing
-            for row, r in zip(m, held, strict=True):
-                row[r[4] : r[4] + len(r[5])] = r[5].view(np.uint32)
-            t, c = (np.array([r[k] for r in held], np.int64) for k in (2, 3))
-            every, classes = m[n:], np.concatenate([r[6] for r in held[n:]])
-            owner = np.repeat(np.arange(len(every)), [len(r[6]) for r in held[n:]])
-            rows = []
-            for k, r in enumerate(held[:n]):
-                new = t[n:] != t[k]
-                if len(r[6]):
-                    new[owner[np.isin(classes, r[6])]] = False
-                if len(r[7]):
-                    new[np.isin(t[n:], r[7])] = False
-                some = np.flatnonzero(new)
-                at = some[agreeing(m[k], every[some])] if 2 * len(some) < len(every) else (near := agreeing(m[k], every))[new[near]]
-                if len(at):  # the rows of a block stand in the order of texts
-                    rows.append((r[0][0], t[k], c[k], len(at), [{"a": int(t[n + v]), "ca": int(c[n + v])} for v in at[:most].tolist()]))
-            key, b, cb, found, first = zip(*rows, strict=True) if rows else ((),) * 5
-            columns = [pa.array(key, pa.int64()), pa.array(b, pa.int64()), pa.array(cb, pa.int32()), pa.array(found, pa.int64()), pa.array(first, firsts)]
-            return pa.RecordBatch.from_arrays(columns, names=["key", "b", "cb", "n", "first"])
+    def of_blocks(rows: pa.Table) -> pa.RecordBatch:
+        """Rows of whole blocks, one after another."""
+        cells = rows.combine_chunks().to_batches()[0]
+        key, i, j, side, t, c, pad = (cells.column(k).to_numpy() for k in range(7))
+        begins = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        ends = np.concatenate([begins[1:], [len(key)]])
+        middles = begins + np.add.reduceat(side == 0, begins)
+        offsets = cells.column(7).offsets.to_numpy()
+        lengths = np.diff(offsets)
+        m, inside = np.repeat(side.astype(np.uint32)[:, None], 2 * SPAN + 1, axis=1), np.zeros((len(key), 2 * SPAN + 1), bool)  # what lies outside a text agrees with nothing
+        places = np.repeat(np.arange(len(key)), lengths), np.arange(lengths.sum()) - np.repeat(offsets[:-1] - offsets[0] - pad, lengths)
+        m[places], inside[places] = cells.column(7).values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint32), True
+        classes, tried = list(lists(cells.column(8))), list(lists(cells.column(9)))
+        fresh = not sum(map(len, classes)) and not sum(map(len, tried))
+
+        def new(k: int, every: np.ndarray) -> np.ndarray:
+            """Those of every that share no class with k and have not been tried with it."""
+            out = t[every] != t[k]
+            if len(classes[k]):
+                owner = np.repeat(np.arange(len(every)), [len(classes[v]) for v in every.tolist()])
+                out[owner[np.isin(np.concatenate([classes[v] for v in every.tolist()]), classes[k])]] = False
+            if len(tried[k]):
+                out[np.isin(t[every], tried[k])] = False
+            return every[out]
+
+        least, parts = np.zeros(len(key), np.int64), []
+
+        def keep(one: np.ndarray, two: np.ndarray) -> None:
+            """Counts pairs that agree (all of their first sides), and keeps what goes on."""
+            order = np.lexsort((two, one))  # the rows of a block stand in the order of texts
+            one, two = one[order], two[order]
+            bad = poor(m, inside, least, one, two)
+            good, weak = np.flatnonzero(~bad), np.flatnonzero(bad) if most == 1 else np.empty(0, np.int64)
+            head = np.flatnonzero(np.concatenate([[True], one[good][1:] != one[good][:-1]])[: len(good)])
+            size = np.diff(np.concatenate([head, [len(good)]]))
+            n = np.zeros(len(good), np.int64)
+            n[head] = size
+            first = np.arange(len(good)) - np.repeat(head, size) < most
+            taken = np.concatenate([good[first], weak])
+            parts.append((one[taken], two[taken], np.concatenate([n[first], np.zeros(len(weak), np.int64)]), bad[taken]))
+
+        ones, twos, n_held = [], [], 0
+        large = ends - middles >= MANY
+        for b, e, f in zip(begins[large].tolist(), middles[large].tolist(), ends[large].tolist(), strict=True):
+            for k in range(b, e):
+                some = new(k, np.arange(e, f))
+                found = some[agreeing(m[k], m[some])] if 2 * len(some) < f - e else (near := e + agreeing(m[k], m[e:f]))[np.isin(near, some, assume_unique=True)]
+                ones.append(np.full(len(found), k))
+                twos.append(found)
+                n_held += len(found)
+                if n_held > 1 << 17:
+                    keep(np.concatenate(ones), np.concatenate(twos))
+                    ones, twos, n_held = [], [], 0
+        small = np.flatnonzero(~large & (middles > begins) & (middles < ends))
+        size = (ends - middles)[small]
+        k = np.concatenate([np.arange(b, e) for b, e in zip(begins[small].tolist(), middles[small].tolist(), strict=True)] or [np.empty(0, np.int64)])
+        width, first = np.repeat(size, (middles - begins)[small]), np.repeat(middles[small], (middles - begins)[small])
+        one = np.repeat(k, width)
+        two = np.arange(len(one)) - np.repeat(np.cumsum(width) - width - first, width)
+        for at in range(0, len(one), 1 << 13):
+            p, q = one[at : at + (1 << 13)], two[at : at + (1 << 13)]
+            found = agreeing(m[p], m[q])
+            p, q = p[found], q[found]
+            if fresh:
+                other = t[p] != t[q]
+                p, q = p[other], q[other]
+            elif len(p):
+                cuts = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+                kept = [new(int(p[cut]), part) for cut, part in zip(cuts, np.split(q, cuts[1:]), strict=True)]
+                p, q = np.repeat(p[cuts], list(map(len, kept))), np.concatenate(kept)
+            ones.append(p)
+            twos.append(q)
+        if ones:
+            keep(np.concatenate(ones), np.concatenate(twos))
+        one, two, n, weak = map(np.concatenate, zip(*parts, strict=True)) if parts else (np.empty(0, np.int64),) * 3 + (np.empty(0, bool),)
+        return pa.RecordBatch.from_arrays([*map(pa.array, (key[one], t[one], c[one], n, t[two], c[two], weak))], names=["key", "b", "cb", "n", "a", "ca", "poor"])
 
+    def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in arrow:
-            cells = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(7)]
-            for key, i, j, side, t, c, pad, x, classes, tried in zip(*cells, *(lists(batch.column(k)) for k in (7, 8, 9)), strict=True):
-                if held and held[0][0] != (key, i, j):
-                    if held[0][1] == 0 and held[-1][1] == 1:
-                        yield met()
-                    held = []
-                held.append(((key, i, j), side, t, c, pad, x.copy(), classes.copy(), tried.copy()))
-        if held and held[0][1] == 0 and held[-1][1] == 1:
-            yield met()
+            if not len(batch):
+                continue
+            key, i, j = (batch.column(k).to_numpy() for k in range(3))
+            last = int(np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))[-1]) + 1 if (key[0], i[0], j[0]) != (key[-1], i[-1], j[-1]) else 0
+            if held and (last or [held[-1].column(k)[-1].as_py() for k in range(3)] != [key[0], i[0], j[0]]):
+                yield of_blocks(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            elif last:
+                yield of_blocks(pa.Table.from_batches([batch.slice(0, last)]))
+            held.append(batch.slice(last))
+        if held:
+            yield of_blocks(pa.Table.from_batches(held))
 
-    return both.mapInArrow(run, "key long, b long, cb int, n long, first array<struct<a:long,ca:int>>")
+    return both.mapInArrow(run, MET)
 
 
 def chosen(met: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs with columns as of star(): the first `most` partners of the places of half a passage; and key, t, c of the
-    places that have further ones."""
+    """Pairs with columns as of star(): the first `most` partners of the places of half a passage, and poor ones that meet at
+    several places; and key, t, c of the places that have further ones."""
     half = F.expr(f"cb div {SPAN // 2}").alias("half")
-    each = met.select("key", "b", half, "cb", F.explode("first").alias("f")).select("key", "b", "half", "cb", "f.a", "f.ca")
+    each = met.where("NOT poor").select("key", "b", half, "cb", "a", "ca")
     if most == 1:
         first = each.groupBy("b", "half").agg(F.min("a").alias("a"))
     else:
         first = each.groupBy("b", "half").agg(F.slice(F.array_sort(F.collect_set("a")), 1, most).alias("a")).withColumn("a", F.explode("a"))
     taken, _ = settle(each.join(first, ["b", "half", "a"]), "taken")
-    pairs = taken.groupBy("a", "b").agg(F.min("ca").alias("la"), F.max("ca").alias("ra"), F.min("cb").alias("lb"), F.max("cb").alias("rb"), F.collect_set("cb").alias("ws"))
-    n = met.groupBy("key", "b", "cb").agg(F.sum("n").alias("n"))
+    both = taken.select("a", "b", "ca", "cb", F.lit(False).alias("poor")).unionByName(met.where("poor").select("a", "b", "ca", "cb", "poor"))
+    pairs = both.groupBy("a", "b").agg(F.min("ca").alias("la"), F.max("ca").alias("ra"), F.min("cb").alias("lb"), F.max("cb").alias("rb"), F.collect_set("cb").alias("ws"), F.min("poor").alias("poor"))
+    n = met.where("NOT poor").groupBy("key", "b", "cb").agg(F.sum("n").alias("n"))
     done = taken.groupBy("key", "b", "cb").agg(F.count("*").alias("done"))
     left = n.join(done, ["key", "b", "cb"], "left").where("done IS NULL OR n > done").select("key", F.col("b").alias("t"), F.col("cb").alias("c"))
-    return pairs, left
+    return pairs.where("NOT poor OR la < ra OR lb < rb").drop("poor"), left
 
 
 def places_classes(holders: DataFrame, regions: DataFrame) -> DataFrame:
@@ -561,33 +788,39 @@ def of_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", F.explode("found").alias("f")).select("a", "f.i", "f.j", "b", "f.i2", "f.j2", "f.similarity")
 
 
-def pair_passages(texts: DataFrame) -> DataFrame:
+PLACES = ["a", "i", "j", "b", "i2", "j2"]
+
+
+def pair_passages(texts: DataFrame, shingled: DataFrame) -> DataFrame:
     """a, i, j, b, i2, j2 (first and last shingle in either text), similarity and class of the passages that texts share."""
     windows = texts.where("keys IS NOT NULL").select("t", F.explode(F.arrays_zip("keys", "c", "l", "r")).alias("k")).select("t", F.col("k.keys").alias("key"), "k.c", "k.l", "k.r")
-    shingled = texts.where("x IS NOT NULL").select("t", "off", "x").dropDuplicates(["t"])
     pairs, _ = settle(star(windows), "pairs")
     state, _ = settle(verified(pairs, shingled), "verified")
     own = texts.select("t", F.explode("own").alias("f")).select(F.col("t").alias("a"), "f.i", "f.j", F.col("t").alias("b"), "f.i2", "f.j2", "f.similarity")
     found = of_pairs(state).unionByName(own)
-    around = open_holders(windows, shingled, state)
-    none = F.expr("CAST(array() AS array<long>)")
-    holders, tried, most = around.withColumn("classes", none).withColumn("tried", none), None, 1
+    around, _ = open_holders(windows, shingled, state)
+    holders, tried, most = around.withColumn("classes", F.expr(NONE)).withColumn("tried", F.expr(NONE)), None, 1
     while True:
         met, _ = settle(partners(holders, most), "met")
         pairs, left = chosen(met, most)
         pairs, _ = settle(pairs, "rest")
-        more, _ = settle(verified(pairs, shingled), "verified")
+        needed = pairs.select(F.col("a").alias("t")).unionByName(pairs.select(F.col("b").alias("t"))).distinct()
+        more, _ = settle(verified(pairs, shingled.join(needed, "t", "left_semi")), "verified")
         left, _ = settle(left, "left")
-        found, _ = settle(found.unionByName(of_pairs(more)).dropDuplicates(["a", "i", "j", "b", "i2", "j2"]), "found")
-        linked, regions = with_classes(found)
+        if tried is None:
+            found, _ = settle(found.unionByName(of_pairs(more)).dropDuplicates(PLACES), "found")
+            linked, regions = with_classes(found)
+        else:
+            news, _ = settle(of_pairs(more).dropDuplicates(PLACES).join(found, PLACES, "left_anti"), "news")
+            if not news.isEmpty():
+                found = found.unionByName(news)
+                linked, regions = with_classes(found)
         if left.isEmpty():
             return linked
         new = pairs.select(F.explode("ws").alias("c"), F.col("b").alias("t"), "a")
         tried = new if tried is None else tried.unionByName(new)
-        holders = around.drop("todo").join(left.select("key").distinct(), "key", "left_semi").join(left.withColumn("todo", F.lit(True)), ["key", "t", "c"], "left").withColumn("todo", F.coalesce("todo", F.lit(False)))
-        holders = holders.join(places_classes(holders, regions), ["t", "c"], "left").join(tried.groupBy("t", "c").agg(F.collect_set("a").alias("tried")), ["t", "c"], "left")
-        holders, _ = settle(holders.withColumn("classes", F.coalesce("classes", none)).withColumn("tried", F.coalesce("tried", none)), "holders")
-        most *= 4
+        holders = further(around, left, regions, tried)
+        most *= 16
 
 
 def with_classes(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -601,7 +834,7 @@ def with_classes(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     regions, _ = settle(begins.select("t", "i", "j", F.xxhash64("t", start).alias("region")), "regions")
     one, two = regions.drop("j").toDF("a", "i", "one"), regions.drop("j").toDF("b", "i2", "two")
     linked, _ = settle(found.join(one, ["a", "i"]).join(two, ["b", "i2"]), "linked")
-    classes = components(linked.select(F.col("one").alias("a"), F.col("two").alias("b")))
+    classes = contracted_components(linked.select(F.col("one").alias("a"), F.col("two").alias("b")))
     named = lambda df, region: df.join(classes.toDF(region, "class"), region, "left").withColumn("class", F.coalesce("class", region))
     whole = named(regions.groupBy("t", "region").agg(F.min("i").alias("i"), F.max("j").alias("j")), "region")
     return named(linked, "one").drop("one", "two"), whole.drop("region")
@@ -611,11 +844,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """doc_id, start_word, end_word (exclusive), match_id, match_start, match_end, similarity, class_id (the smallest id
     that holds a passage of the class)."""
     src = spread(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
-    counted = window_keys(src).groupBy("key").agg(F.min("holder").alias("lo"), F.max("holder").alias("hi")).where("lo < hi").select("key")
-    repeated, path = settle(counted, "keys")
-    texts, _ = settle(repeated_texts(src, bit_map(repeated, repeated.count())), "texts")
-    discard(docs.sparkSession, path)
-    found = pair_passages(texts)
+    repeated, path = settle(repeated_keys(src), "keys")
+    whole, whole_path = settle(repeated_texts(src, bit_map(repeated, repeated.count())), "whole")
+    shingled, _ = settle(whole.where("x IS NOT NULL").select("t", "off", "x").dropDuplicates(["t"]), "shingled")
+    texts, _ = settle(whole.drop("off", "x"), "texts")
+    for old in (path, whole_path):
+        discard(docs.sparkSession, old)
+    found = pair_passages(texts, shingled)
 
     ids = texts.select("doc_id", "t", "n_words").distinct()
     reps, _ = settle(ids.groupBy("t").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words")), "reps")

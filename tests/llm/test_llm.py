@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandlake.llm import byte_bpe, chat_format, exact_dedup, html_extract, minhash_dedup, passage_dedup, quality_rules, queries, secret_scan, source_mix, token_files
-from strandlake.llm.components import components
+from strandlake.llm.components import components, contracted_components
 from strandlake.llm.text import table
 from strandlake.session import scratch_path, settle
 
@@ -902,3 +902,67 @@ def test_spans_of_a_document_do_not_depend_on_prose_beside_it(spark):
     prose_ = [(5000 + k, " ".join(g.choice(ENGLISH) for _ in range(60))) for k in range(3000)]
     few, many = (secret_scan.scan(spark.createDataFrame(x, "doc_id long, text string")).where("doc_id < 5000").select("doc_id", secret_scan.listed("found")).collect() for x in (rows, rows + prose_))
     assert sorted(map(tuple, few)) == sorted(map(tuple, many))
+
+
+def test_poor_texts_are_not_met_again_and_again(spark, monkeypatch):
+    """Places that agree by a few shingles again and again, and cannot have a passage, need one round; those that have one are linked."""
+    rounds, before = [], passage_dedup.partners
+    monkeypatch.setattr(passage_dedup, "partners", lambda *args: rounds.append(1) or before(*args))
+    g = random.Random(41)
+    words_ = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    rows = [(k, " ".join([*words_(30), *["buy"] * 46, *words_(30)])) for k in range(40)]
+    assert passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    assert len(rounds) == 1
+    rows += [(k, " ".join([*words_(30), *["buy"] * 50, *words_(30)])) for k in range(40, 44)]
+    found = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.class_id) for x in found} == {(k, 40) for k in range(40, 44)}
+
+
+def test_variety():
+    g = np.random.default_rng(42)
+    rows, inside = np.zeros((60, 2 * passage_dedup.SPAN + 1), np.uint32), np.zeros((60, 2 * passage_dedup.SPAN + 1), bool)
+    for k in range(60):
+        x = g.integers(0, 1 + k, g.integers(passage_dedup.SPAN, rows.shape[1] + 1), dtype=np.uint32)
+        least = min(len(set(x[i : i + passage_dedup.SPAN].tolist())) for i in range(len(x) - passage_dedup.SPAN + 1))
+        assert passage_dedup.variety(x) == least
+        at = g.integers(0, rows.shape[1] - len(x) + 1)
+        rows[k, at : at + len(x)], inside[k, at : at + len(x)] = x, True
+        assert passage_dedup.row_variety(rows[k : k + 1], inside[k : k + 1])[0] <= least
+    inside[:] = True
+    brute = [min(len(set(x[i : i + passage_dedup.SPAN].tolist())) for i in range(passage_dedup.SPAN + 2)) for x in rows]
+    assert passage_dedup.row_variety(rows, inside).tolist() == brute
+    one, two = (v.ravel() for v in np.meshgrid(np.arange(60), np.arange(60)))
+    least = np.array(brute)
+    poor = passage_dedup.poor(rows, inside, np.zeros(60, np.int64), one, two)
+    for p, a, b in zip(poor.tolist(), one.tolist(), two.tolist(), strict=True):
+        if max(least[a], least[b]) <= passage_dedup.SPAN * 3 // 5:
+            assert p == (len(set(rows[a].tolist()) & set(rows[b].tolist())) < 0.8 * max(least[a], least[b]) - 1e-9)
+        else:
+            assert not p
+
+
+def test_repeated_keys(spark):
+    """Keys of two texts, or of one text at places apart, by brute force."""
+    g = random.Random(43)
+    words_ = lambda n: [f"w{g.randrange(10**9)}" for _ in range(n)]
+    p, q = words_(40), words_(40)
+    texts = [" ".join(t) for t in (p + words_(40), words_(30) + p, q + words_(60) + q, words_(80), ["buy"] * 200, words_(20) + ["buy"] * 60)]
+    holders = defaultdict(set)
+    for k, t in enumerate(texts):
+        b = passage_dedup.Batch(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        first = {}
+        for key, c in zip(b.key.view(np.int64).tolist(), b.c.tolist(), strict=True):
+            holders[key].add((k, c - first.setdefault(key, c) >= passage_dedup.SPAN))
+    docs = spark.createDataFrame([*enumerate(texts), (9, None)], "doc_id long, text string").repartition(3)
+    got = [x.key for x in passage_dedup.repeated_keys(docs).collect()]
+    assert sorted(got) == sorted(k for k, v in holders.items() if len(v) > 1)
+
+
+def test_contracted_components(spark):
+    g = random.Random(44)
+    edges = [(k, k + 1) for k in range(100, 160)] + [(7, 1000 + k) for k in range(50)] + [(g.randrange(2000, 2400), g.randrange(2000, 2400)) for _ in range(250)] + [(5, 5)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    one, two = ({(x.node, x.component) for x in f(df).collect()} for f in (components, contracted_components))
+    assert one == two
+    assert {c for n, c in two if 100 <= n <= 160} == {100}
+    assert contracted_components(df.where("a < 0")).count() == 0
