@@ -26,6 +26,25 @@ def test_sites_are_counted_as_by_patterns(spark, monkeypatch, held):
     assert counted.counts(rows.where("false")).count() == 0
 
 
+def test_many_guides_meet_the_catalogue_without_an_index(spark, tmp_path, monkeypatch):
+    seqs = sequences(32, 3000)
+    guides = near(33, seqs[:90], 4) + ["ACGTN" + "A" * 15]
+    index = idx.open_index(spark, "k", lambda: as_sites(spark, seqs + seqs[:500]), cat.FIVE_BLOCKS, base=f"file://{tmp_path}", parts=4)
+    for name, n in (("GUIDES", 25), ("SITES", 400), ("AT_ONCE", 16)):
+        monkeypatch.setattr(blocks, name, n)
+    monkeypatch.setattr(simjoin, "FEW_GUIDES", 10)
+    own = as_guides(spark, guides)
+    got = simjoin.offtargets(own, index)
+    assert pairs(got) == brute(guides[:-1], seqs, 4)
+    assert pairs(simjoin.offtargets_by_distinct(own, index)) == brute(guides[:-1], seqs, 4)
+    direct = simjoin.offtargets(own, index.catalogue(), masks=cat.PAIRS_OF_SIX)
+    columns = ["guide_id", "guide_sig", "signature", "occurrences", "gg", "mismatches"]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, direct.select(columns).collect()))
+    assert index.published() == {}
+    with pytest.raises(ValueError, match="missed"):
+        simjoin.offtargets(own, index, 5)
+
+
 @pytest.mark.parametrize("masks", [cat.FIVE_BLOCKS, cat.PAIRS_OF_SIX])
 def test_sizes_of_buckets_need_no_index(spark, tmp_path, masks):
     """They are those of the manifest once all parts, or these parts, are built."""
