@@ -73,3 +73,8 @@ def test_indexes_of_a_source_share_its_catalogue(spark, tmp_path):
     for masks in (cat.FIVE_BLOCKS, cat.PAIRS_OF_SIX):
         assert idx.open_index(spark, "k", sites, masks, base=f"file://{tmp_path}").catalogue().count() == 100
     assert built == [1]
+
+
+def test_a_hit_is_a_short_expression(spark):
+    """So that Spark compiles it: it had 20 flags written out six times over."""
+    assert len(str(scoring.mit_hit(F.col("a"), F.col("b")))) < 5000
