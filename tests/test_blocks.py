@@ -45,6 +45,18 @@ def test_many_guides_meet_the_catalogue_without_an_index(spark, tmp_path, monkey
         simjoin.offtargets(own, index, 5)
 
 
+def test_many_guides_are_accepted_in_one_round(spark, tmp_path, monkeypatch):
+    seqs = sequences(34, 600)
+    index = idx.open_index(spark, "k", lambda: as_sites(spark, sorted({*seqs, *near(35, seqs[:15] * 40, 2)})), cat.PAIRS_OF_SIX, base=f"file://{tmp_path}", parts=1)
+    guides = as_guides(spark, seqs[:60])
+    want = {r.guide_id: r.mit_score for r in bounded.accepted(guides, index).collect()}
+    assert 20 < len(want) < 60
+    other = idx.open_index(spark, "other", index.catalogue, cat.PAIRS_OF_SIX, base=f"file://{tmp_path}", parts=1)
+    monkeypatch.setattr(simjoin, "FEW_GUIDES", 10)
+    assert {r.guide_id: r.mit_score for r in bounded.accepted(guides, other).collect()} == pytest.approx(want)
+    assert other.published() == {}
+
+
 @pytest.mark.parametrize("masks", [cat.FIVE_BLOCKS, cat.PAIRS_OF_SIX])
 def test_sizes_of_buckets_need_no_index(spark, tmp_path, masks):
     """They are those of the manifest once all parts, or these parts, are built."""
