@@ -90,3 +90,11 @@ def test_indexes_of_a_source_share_its_catalogue(spark, tmp_path):
 def test_a_hit_is_a_short_expression(spark):
     """So that Spark compiles it: it had 20 flags written out six times over."""
     assert len(str(scoring.mit_hit(F.col("a"), F.col("b")))) < 5000
+
+
+def test_few_guides_are_folded_by_many_tasks(spark):
+    """A hundred sequences are few bytes and much work: partitions are not joined."""
+    g = random.Random(38)
+    guides = spark.createDataFrame([("G" + "".join(g.choice("ACGT") for _ in range(20)) + "GG",) for _ in range(100)], "sequence string")
+    done = fold.folds(guides).withColumn("task", F.spark_partition_id())
+    assert done.select("task").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
