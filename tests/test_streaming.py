@@ -187,3 +187,17 @@ def test_guard_of_the_jobs_at_hand_alone_is_read(spark, tmp_path):
     with pytest.raises(ValueError, match="other contents"):
         commits.commit_batch(spark.createDataFrame([(3, "b", 2.0)], "job_id long, batch_id string, score double"), path, guard)
     assert spark.read.parquet(path).agg(F.sum("score")).first()[0] == 6.0
+
+
+def test_barrier_of_many_batches_calls_few_groups(spark, tmp_path):
+    """Twenty thousand batches: a call a shard and not a call a batch, and each ready once."""
+    marks = spark.range(60_000).select((F.col("id") % 20_000).alias("batch_id"), F.floor(F.col("id") / 20_000).cast("int").alias("part"), F.lit(3).alias("expected")).where("batch_id % 7 > 0 OR part < 2")
+    marks.repartition(4).write.json(f"file://{tmp_path}/in")
+    began = time.time()
+    barrier_run(spark, tmp_path).trigger(availableNow=True).start().awaitTermination(300)
+    took = time.time() - began
+    got = [r.batch_id for r in spark.read.parquet(f"file://{tmp_path}/out").where("status = 'ready'").collect()]
+    assert sorted(got) == [b for b in range(20_000) if b % 7]
+    assert took < 60
+    calls = state.barrier(spark.readStream.schema(MARKERS).json(f"file://{tmp_path}/in"))
+    assert "shard" in calls._jdf.queryExecution().analyzed().toString()
