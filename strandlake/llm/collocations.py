@@ -6,7 +6,7 @@ counted for each language on its own (null: `und`).
 1. A worker writes the words of a run of texts behind one another with one blank after each. Prefix polynomials over
    these bytes (numpy, modulo 2 ** 64) give the fingerprint of every n-gram by one subtraction and one product; the
    language is mixed in. Runs are counted by sorting; workers and Spark add the counts up before the shuffle, with a
-   pointer (the first task that has an occurrence) and the least and greatest of a second fingerprint of 31 bits.
+   pointer (of the tasks that have an occurrence, the one that a hash of both puts first, so that texts are sent by all tasks alike) and the least and greatest of a second fingerprint of 31 bits.
 2. Words are counted first, then n-grams whose shorter parts are all frequent: a bit map of the frequent
    fingerprints, of at most 16 MB, is broadcast for each length. It never hides a frequent n-gram; where it is too
    small for its keys it only lets more of the others through.
@@ -168,7 +168,7 @@ def grouped(keys: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray)
 
 def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None, least: int, bits: int = 64) -> DataFrame:
     """key, n, low, high, part of the fingerprints of these lengths that occur least times or more, among n-grams whose parts (one word shorter
-    than the least length) are known. low and high differ if texts share a fingerprint; part points to a task that has read an occurrence."""
+    than the least length) are known. low and high differ if texts share a fingerprint; part points to a task that has read an occurrence, any of them as likely."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(TaskContext.get().partitionId())
@@ -181,10 +181,19 @@ def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None
         if tally.held:
             yield from tally.rows()
 
-    sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("part").alias("part"))
+    place = F.shiftleft(F.xxhash64("key", "part").bitwiseAND(F.lit((1 << 31) - 1)), 32).bitwiseOR(F.col("part").cast("long"))
+    part = F.min(place).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), part.alias("part"))
     return sums.where(F.col("n") >= least)
 
 
+def without(keys: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Which keys are not among those told (sorted)."""
+    if not len(told):
+        return np.ones(len(keys), bool)
+    return told[np.minimum(np.searchsorted(told, keys), len(told) - 1)] != keys
+
+
 def pointed(keys: np.ndarray, part: int) -> np.ndarray:
     """What stands in the map of pointers for a fingerprint and a task."""
     return mix64(keys ^ mix64(np.full(1, part + 1, U)))
@@ -206,7 +215,8 @@ def texts(docs: DataFrame, known: Broadcast, pointing: Broadcast, bits: int = 64
     words of a language a task has read."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, told, total = TaskContext.get().partitionId(), np.empty(0, U), {}
+        part, total = TaskContext.get().partitionId(), {}
+        told = [np.empty(0, U)] * (LONGEST + 1)  # of each length, sorted
         for batch in stream:
             for p, langs, ids, word in placed(batch, total, bits):
                 rows: list[tuple] = []
@@ -214,9 +224,11 @@ def texts(docs: DataFrame, known: Broadcast, pointing: Broadcast, bits: int = 64
                     first = p.whole(n) if n == 1 else p.frequent(n, known.value, n - 1)
                     keys, at = np.unique(p.of(first, n), return_index=True)
                     here = bitmap.holds(pointing.value, pointed(keys, part))
-                    here[here] = ~np.isin(keys[here], told)
-                    told = np.concatenate([told, keys[here]])
-                    raw = p.packed.tobytes() if here.any() else b""
+                    here[here] = without(keys[here], told[n])
+                    if not here.any():
+                        continue
+                    told[n] = np.sort(np.concatenate([told[n], keys[here]]), kind="stable")
+                    raw = p.packed.tobytes()
                     for key, k in zip(keys[here].view(np.int64).tolist(), first[at[here]].tolist(), strict=True):
                         rows.append((key, langs[p.text[k]], raw[p.begin[k] : p.end[k + n - 1]].decode(), n, ids[p.text[k]], int(word[k])))
                 if rows:
