@@ -6,7 +6,7 @@ counted for each language on its own (null: `und`).
 1. A worker writes the words of a run of texts behind one another with one blank after each. Prefix polynomials over
    these bytes (numpy, modulo 2 ** 64) give the fingerprint of every n-gram by one subtraction and one product; the
    language is mixed in. Runs are counted by sorting; workers and Spark add the counts up before the shuffle, with a
-   pointer (of the tasks that have an occurrence, the one that a hash of both puts first, so that texts are sent by all tasks alike) and the least and greatest of a second fingerprint of 31 bits.
+   pointer (of the tasks that have an occurrence, the next one from a place that the fingerprint sets, so that texts are sent by all tasks alike) and the least and greatest of a second fingerprint of 31 bits.
 2. Words are counted first, then n-grams whose shorter parts are all frequent: a bit map of the frequent
    fingerprints, of at most 16 MB, is broadcast for each length. It never hides a frequent n-gram; where it is too
    small for its keys it only lets more of the others through.
@@ -43,6 +43,8 @@ LONGEST, LEAST, MOST_ROWS = 5, 100, 2000
 RUN, HELD, SENT = 1 << 19, 1 << 20, 1 << 16
 #: Phrases that a worker holds before it sends them with their counts (about 100 bytes each).
 MOST_PHRASES = 1 << 20
+#: Tasks at which the search for the one that sends a text begins; more even the work out and make the shuffle larger.
+STARTS = 4
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 _GAP = _BREAK.copy()
@@ -168,7 +170,7 @@ def grouped(keys: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray)
 
 def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None, least: int, bits: int = 64) -> DataFrame:
     """key, n, low, high, part of the fingerprints of these lengths that occur least times or more, among n-grams whose parts (one word shorter
-    than the least length) are known. low and high differ if texts share a fingerprint; part points to a task that has read an occurrence, any of them as likely."""
+    than the least length) are known. low and high differ if texts share a fingerprint; part points to a task that has read an occurrence, the next one from one of STARTS places."""
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(TaskContext.get().partitionId())
@@ -181,10 +183,13 @@ def frequent_prints(docs: DataFrame, lengths: list[int], known: Broadcast | None
         if tally.held:
             yield from tally.rows()
 
-    place = F.shiftleft(F.xxhash64("key", "part").bitwiseAND(F.lit((1 << 31) - 1)), 32).bitwiseOR(F.col("part").cast("long"))
-    part = F.min(place).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-    sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), part.alias("part"))
-    return sums.where(F.col("n") >= least)
+    # a task's number of its turn of all tasks, counted from one of STARTS places by the key: few bits, as they are shuffled
+    tasks = F.lit(max(1, docs.rdd.getNumPartitions()))
+    turn, begin = F.floor(F.col("part") / tasks).cast("int") * tasks, F.floor(F.pmod(F.xxhash64("key"), F.lit(STARTS)) * tasks / STARTS).cast("int")
+    place = F.min(turn + F.pmod(F.col("part") - begin, tasks)).alias("place")
+    sums = docs.mapInArrow(run, Tally.SCHEMA).groupBy("key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), place)
+    part = F.floor(F.col("place") / tasks).cast("int") * tasks + F.pmod(F.col("place") + begin, tasks)
+    return sums.where(F.col("n") >= least).withColumn("part", part.cast("int")).drop("place")
 
 
 def without(keys: np.ndarray, told: np.ndarray) -> np.ndarray:
